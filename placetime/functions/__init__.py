@@ -7,6 +7,7 @@ from .features import (
     hour_intensity,
     hour_sin,
     in_domain,
+    is_number,
     keyed_day,
     literal_map,
     normalize_day,
@@ -25,6 +26,7 @@ __all__ = [
     "hour_intensity",
     "hour_sin",
     "in_domain",
+    "is_number",
     "keyed_bits",
     "keyed_choice",
     "keyed_day",

@@ -16,10 +16,10 @@ from ..functions.features import (
     hour_cos,
     hour_sin,
     in_domain,
+    is_number,
     keyed_day,
     normalize_day,
     time_band,
-    to_number,
 )
 from ..roles import DAY_COLUMN_ALIASES, DAY_NAMES, TIME_BANDS, ColumnRoles
 from ..sources.schema import find_first_existing_column
@@ -43,14 +43,17 @@ def coerce_incidents(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     into the text ``'None'`` first); +-infinity is dropped instead of failing.
     """
     c, la, lo, h = roles.category, roles.lat, roles.lon, roles.hour
-    out = df.withColumns({
+    # Validate the raw values first, then convert: each input is read once
+    # by the filter and once by the projection (a filter on the converted
+    # columns would be pushed below the projection with every conversion
+    # inlined into it).
+    valid = F.col(c).isNotNull() & is_number(la) & is_number(lo) & is_number(h)
+    return df.where(valid).withColumns({
         c: F.col(c).cast("string"),
-        la: to_number(la),
-        lo: to_number(lo),
-        h: to_number(h),
+        la: F.col(la).try_cast("double"),
+        lo: F.col(lo).try_cast("double"),
+        h: clip_hour(F.col(h).try_cast("double")),
     })
-    out = out.where(F.col(c).isNotNull() & F.col(la).isNotNull() & F.col(lo).isNotNull() & F.col(h).isNotNull())
-    return out.withColumn(h, clip_hour(h))
 
 
 def day_column(df: DataFrame, roles: ColumnRoles) -> str | None:

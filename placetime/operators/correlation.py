@@ -28,7 +28,12 @@ def guarded_corr(a: str, b: str):
 
 def correlation_frame(df: DataFrame, hour: str, lat: str, lon: str, day: str, band: str,
                       cluster: str) -> DataFrame:
-    """The eight numeric features, rows with any missing value dropped."""
+    """The eight numeric features plus ``_valid`` (no feature missing).
+
+    Listwise deletion is applied inside the aggregate (``corr_matrix``)
+    rather than with a filter, which Catalyst would push below this
+    projection with every feature expression inlined.
+    """
     out = df.select(
         F.col(hour).cast("double").alias("Hour"),
         F.col(lat).cast("double").alias("Latitude"),
@@ -39,25 +44,31 @@ def correlation_frame(df: DataFrame, hour: str, lat: str, lon: str, day: str, ba
         time_code(band).alias("Time Code"),
         F.col(cluster).try_cast("double").alias("Cluster Code"),
     )
-    return out.na.drop(how="any")
+    checks = [F.col(f"`{f}`").isNotNull() & ~F.isnan(F.col(f"`{f}`")) for f in CORR_FEATURES]
+    valid = checks[0]
+    for c in checks[1:]:
+        valid = valid & c
+    return out.withColumn("_valid", valid)
 
 
 def corr_matrix(feats: DataFrame, features: Sequence[str] = CORR_FEATURES) -> DataFrame:
     """Long (feature_a, feature_b, r) for every ordered pair, diagonal included."""
     names = list(features)
-    cols = {f: f"`{f}`" for f in names}
-    aggs = []
+    ok = F.col("_valid") if "_valid" in feats.columns else F.lit(True)
+    cols = {f: F.when(ok, F.col(f"`{f}`")) for f in names}
+    sd = {f: F.stddev_pop(cols[f]) for f in names}
+    aggs = [sd[f].alias(f"sd{i}") for i, f in enumerate(names)]
     for i, a in enumerate(names):
-        for b in names[i:]:
-            aggs.append(guarded_corr(cols[a], cols[b]).alias(f"{i}_{names.index(b)}"))
+        for j in range(i, len(names)):
+            aggs.append(F.covar_pop(cols[a], cols[names[j]]).alias(f"cv{i}_{j}"))
     one = feats.agg(*aggs)
     structs = []
     for i, a in enumerate(names):
         for j, b in enumerate(names):
             lo, hi = min(i, j), max(i, j)
+            r = F.try_divide(F.col(f"cv{lo}_{hi}"), F.col(f"sd{lo}") * F.col(f"sd{hi}"))
             structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                    F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                    F.col(f"{lo}_{hi}").alias("r")))
+                                    F.lit(i).alias("i"), F.lit(j).alias("j"), r.alias("r")))
     return one.select(F.inline(F.array(*structs)))
 
 

@@ -1,5 +1,5 @@
 """Registered queries with their SQL twins, and the composite jobs."""
 
-from .queries import oracle_sql, queries
+from .registry import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]

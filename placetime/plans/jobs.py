@@ -22,7 +22,7 @@ from ..sources import files
 from ..sources import fixtures as fxt
 from ..sources.schema import find_location_column, require_columns
 from . import oracle as o
-from .queries import RAW_ROLES, ROLES, W, register
+from .registry import RAW_ROLES, ROLES, W, register
 
 EXPORT_SCHEMA = "key long, category string, lat double, lon double, hour int"
 

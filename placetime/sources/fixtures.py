@@ -20,7 +20,22 @@ INCIDENT_ROLES = ColumnRoles(category="category", lat="lat", lon="lon", hour="ho
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A parquet file with a single row group is read by one task however
+    large the cluster; every narrow step after it (hashing, features,
+    model training) would then run on one core.  Big inputs have many
+    splits and are returned untouched, so this never shuffles a large
+    table.  Filters and column pruning still reach the scan below it.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def weekday_name(ts: str) -> F.Column:
