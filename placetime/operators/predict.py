@@ -3,9 +3,9 @@ expansion over the seven days, day-averaged class probabilities, and the
 baseline answer when no model exists.
 
 Points are a DataFrame, so a batch of millions of scenarios scores in
-parallel.  The seven day variants of a point are produced by ``explode``
-(no join); the per-(point, class) average is a grouped aggregate whose
-partial step merges a point's seven rows before any shuffle.
+parallel.  Scoring keeps a point's seven day variants in one row (seven
+feature columns, seven forest passes), so averaging and ranking need no
+shuffle; ``expand_days`` gives the same variants as rows when wanted.
 """
 
 from __future__ import annotations
@@ -41,6 +41,13 @@ def scenario_features(points: DataFrame, hour: str = "hour", lat: str = "lat", l
     return out.withColumn(cluster, cid)
 
 
+def _day_weights(weights: dict[str, float] | None) -> list[tuple[str, float]]:
+    tot = sum(max(0.0, float(weights.get(d, 0.0))) for d in DAY_NAMES) if weights else 0.0
+    if tot <= 0:
+        return [(d, 1.0 / len(DAY_NAMES)) for d in DAY_NAMES]
+    return [(d, max(0.0, float(weights.get(d, 0.0))) / tot) for d in DAY_NAMES]
+
+
 def expand_days(points: DataFrame, weights: dict[str, float] | None = None, day: str = "day",
                 weight: str = "day_weight") -> DataFrame:
     """Seven rows per point, one per day, with the day's weight.
@@ -48,40 +55,84 @@ def expand_days(points: DataFrame, weights: dict[str, float] | None = None, day:
     The original weighted by a prior that, as written, is always uniform;
     uniform 1/7 is the default, a real day prior may be passed.
     """
-    if weights:
-        tot = sum(max(0.0, float(weights.get(d, 0.0))) for d in DAY_NAMES)
-    else:
-        tot = 0.0
-    if tot <= 0:
-        pairs = [(d, 1.0 / len(DAY_NAMES)) for d in DAY_NAMES]
-    else:
-        pairs = [(d, max(0.0, float(weights.get(d, 0.0))) / tot) for d in DAY_NAMES]
-    arr = F.array(*[F.struct(F.lit(d).alias(day), F.lit(w).alias(weight)) for d, w in pairs])
+    arr = F.array(*[F.struct(F.lit(d).alias(day), F.lit(w).alias(weight)) for d, w in _day_weights(weights)])
     return points.select("*", F.inline(arr))
 
 
-def score_scenarios(model, classes: Sequence[str], points: DataFrame, key: str = "key",
-                    weights: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Day-averaged class probabilities per point.
+def _set_slot(slot: int):
+    return lambda v, j: F.when(j == F.lit(int(slot)), F.lit(1.0)).otherwise(v)
 
-    Returns (best, ranked): best = (key, prediction, confidence), first class
-    in order on ties; ranked = (key, class, probability, rank).
+
+def score_scenarios(model, classes: Sequence[str], points: DataFrame, key: str = "key",
+                    weights: dict[str, float] | None = None, day: str = "day") -> tuple[DataFrame, DataFrame]:
+    """Day-averaged class probabilities per point, without a shuffle.
+
+    ``model`` is the fitted pipeline (label indexer, preprocessing stages,
+    forest).  Points are preprocessed once with an unknown day (an all-zero
+    day block); each day variant sets its day's one-hot slot in a copy of
+    that vector and is scored by a copy of the forest reading it.  A point's
+    seven probability vectors thus sit in one row and are averaged there:
+    the whole job is narrow, for any number of points.
+
+    Returns (best, ranked): best = (key, prediction, confidence), the first
+    class in order on ties; ranked = (key, class, probability, rank).
     """
-    expanded = expand_days(points, weights)
-    scored = model.transform(expanded).select(key, "day_weight", vector_to_array("probability").alias("_p"))
-    cells = scored.select(key, "day_weight", F.posexplode("_p").alias("_i", "_pi"))
-    avg = cells.groupBy(key, "_i").agg(
-        (F.sum(F.col("_pi") * F.col("day_weight")) / F.sum("day_weight")).alias("probability"))
+    from pyspark.ml.functions import array_to_vector
+
+    from .ml import feature_names
+
+    stages = list(model.stages)
+    prep, forest = stages[1:-1], stages[-1]
+    pairs = _day_weights(weights)
+    base_cols = [c for c in points.columns if c != day]
+    # Preprocess once with an unknown day: its one-hot block is all zeros.
+    x = points.withColumn(day, F.lit(None).cast("string"))
+    for st in prep:
+        x = st.transform(x)
+    fcol = forest.getFeaturesCol()
+    names = feature_names(x.schema[fcol].metadata)
+    x = x.select(*base_cols, vector_to_array(fcol).alias("_base"))
+    probs = []
+    for i, (d, w) in enumerate(pairs):
+        slot = names.index(f"cat__{day}_{d}") if f"cat__{day}_{d}" in names else None
+        if slot is None:  # a day unseen in training stays all-zero, as one-hot "ignore" does
+            arr = F.col("_base")
+        else:
+            arr = F.transform(F.col("_base"), _set_slot(slot))
+        x = x.withColumn(f"_f{i}", array_to_vector(arr))
+        scorer = forest.copy()
+        scorer.setFeaturesCol(f"_f{i}").setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}") \
+            .setPredictionCol(f"_y{i}")
+        x = scorer.transform(x).drop(f"_f{i}", f"_r{i}", f"_y{i}")
+        x = x.withColumn(f"_a{i}", vector_to_array(f"_p{i}")).drop(f"_p{i}")
+        probs.append((f"_a{i}", w))
+    cur = x
+
+    def scale(w: float):
+        return lambda v: v * F.lit(float(w))
+
+    total = F.lit(0.0)
+    avg = None
+    for col, w in probs:
+        term = F.transform(F.col(col), scale(w))
+        avg = term if avg is None else F.zip_with(avg, term, lambda a, b: a + b)
+        total = total + F.lit(float(w))
+    avg = F.transform(avg, lambda v: v / total)
+    scored = cur.select(*base_cols, avg.alias("_avg"))
     cls = F.array(*[F.lit(c) for c in classes])
-    ranked = avg.select(key, F.element_at(cls, F.col("_i") + 1).alias("class"), "probability", "_i")
-    best = ranked.groupBy(key).agg(
-        F.max_by(F.struct(F.col("class"), F.col("probability")),
-                 F.struct(F.col("probability"), -F.col("_i"))).alias("b"))
-    best = best.select(key, F.col("b.class").alias("prediction"), F.col("b.probability").alias("confidence"))
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col("probability").desc(), F.col("_i")))
-    return best, ranked.withColumn("rank", rank.cast("long")).drop("_i")
+    best_idx = F.array_position(F.col("_avg"), F.array_max(F.col("_avg")))
+    best = scored.select(key, F.element_at(cls, best_idx.cast("int")).alias("prediction"),
+                         F.array_max(F.col("_avg")).alias("confidence"))
+    # Rank inside the row: sort (-p, index) pairs, then number them.
+    pairs_arr = F.transform(F.col("_avg"), lambda p, i: F.struct((-p).alias("np"), i.alias("i")))
+    ordered = F.array_sort(pairs_arr)
+    ranked = scored.select(key, F.posexplode(ordered).alias("_r", "_s")).select(
+        key,
+        F.element_at(cls, F.col("_s.i") + 1).alias("class"),
+        (-F.col("_s.np")).alias("probability"),
+        (F.col("_r") + 1).cast("long").alias("rank"),
+    )
+    return best, ranked
 
 
 def baseline_prediction(df: DataFrame, category: str) -> DataFrame:

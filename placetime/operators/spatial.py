@@ -129,18 +129,24 @@ def cluster_count(n: int, n_points: int) -> int:
     return k if k >= CLUSTER_MIN else 0
 
 
-def cluster_count_expr(n: Column, n_points: Column) -> Column:
-    """The same rule as a column expression over aggregated counts."""
+def cluster_count_expr(n: Column, multi_point: Column) -> Column:
+    """The same rule as a column expression over aggregated values."""
     k = F.least(F.lit(CLUSTER_MAX), F.greatest(F.lit(CLUSTER_MIN), F.floor(n / CLUSTER_ROWS_PER_STEP) + 2))
     k = F.least(k, n)
-    return F.when((n < 3) | (n_points < 2) | (k < CLUSTER_MIN), F.lit(0)).otherwise(k).cast("int")
+    return F.when((n < 3) | ~multi_point | (k < CLUSTER_MIN), F.lit(0)).otherwise(k).cast("int")
 
 
 def cluster_plan(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    """One row: n, distinct points, and k."""
+    """One row: n, whether there are at least two distinct points, and k.
+
+    "At least two distinct points" holds exactly when latitude or longitude
+    varies, so the gate is a min/max aggregate (no distinct shuffle).
+    """
     pts = df.select(lat, lon).na.drop(how="any")
-    agg = pts.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(lat, lon).alias("n_points"))
-    return agg.withColumn("k", cluster_count_expr(F.col("n"), F.col("n_points")))
+    agg = pts.agg(F.count(F.lit(1)).alias("n"),
+                  ((F.max(lat) > F.min(lat)) | (F.max(lon) > F.min(lon))).alias("multi_point"))
+    agg = agg.withColumn("multi_point", F.coalesce(F.col("multi_point"), F.lit(False)))
+    return agg.withColumn("k", cluster_count_expr(F.col("n"), F.col("multi_point")))
 
 
 def nearest_center_expr(lat: Column, lon: Column, centers: Sequence[tuple[float, float]]) -> Column:

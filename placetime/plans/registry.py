@@ -567,9 +567,10 @@ def q_hour_count_corr(spark, d):
 # Step 7: clustering
 # ---------------------------------------------------------------------------
 @register("cluster_count", W(o.INCIDENTS) + """
-, a AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT lat, lon FROM incidents)) AS n_points FROM incidents)
-SELECT n, n_points, CAST(CASE WHEN n < 3 OR n_points < 2 THEN 0
-                              ELSE least(least(6, greatest(2, n // 250 + 2)), n) END AS INTEGER) AS k FROM a""")
+, a AS (SELECT count(*) AS n, coalesce(max(lat) > min(lat) OR max(lon) > min(lon), false) AS multi_point
+        FROM incidents)
+SELECT n, multi_point, CAST(CASE WHEN n < 3 OR NOT multi_point THEN 0
+                                 ELSE least(least(6, greatest(2, n // 250 + 2)), n) END AS INTEGER) AS k FROM a""")
 def q_cluster_count(spark, d):
     return spatial.cluster_plan(_inc(spark, d), "lat", "lon")
 

@@ -26,7 +26,10 @@ def test_cluster_count_rule(n, points, k):
 def test_cluster_plan_expr_matches_rule(spark):
     df = frame(spark, [(i, "a", 28.4 + i * 1e-3, 77.0, 1) for i in range(600)])
     r = spatial.cluster_plan(df, "lat", "lon").first()
-    assert (r["n"], r["n_points"], r["k"]) == (600, 600, spatial.cluster_count(600, 600))
+    assert (r["n"], r["multi_point"], r["k"]) == (600, True, spatial.cluster_count(600, 600))
+    same = frame(spark, [(i, "a", 28.4, 77.0, 1) for i in range(30)])
+    r = spatial.cluster_plan(same, "lat", "lon").first()
+    assert (r["n"], r["multi_point"], r["k"]) == (30, False, 0)
 
 
 def test_nearest_center_ties_pick_lowest(spark):
