@@ -135,6 +135,11 @@ def score_scenarios(model, classes: Sequence[str], points: DataFrame, key: str =
     return best, ranked
 
 
+def top_probabilities(ranked: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` most probable classes per point (ranks are per row already)."""
+    return ranked.where(F.col("rank") <= F.lit(int(n)))
+
+
 def baseline_prediction(df: DataFrame, category: str) -> DataFrame:
     """Most frequent category and its share (used when no model exists)."""
     return top_category(df, category, "confidence").withColumnRenamed(category, "prediction")

@@ -724,7 +724,8 @@ def q_rf_train_score(spark, d):
 
 @register("feature_importance")
 def q_feature_importance(spark, d):
-    return ml.feature_importance(spark, _trained(spark, d))
+    imp = ml.feature_importance(spark, _trained(spark, d))
+    return sort.rank_small(imp, [F.col("importance").desc(), F.col("feature").asc()])
 
 
 @register("scenario_scores")
@@ -735,6 +736,91 @@ def q_scenario_scores(spark, d):
     return best
 
 
+@register("scenario_top10")
+def q_scenario_top10(spark, d):
+    res = _trained(spark, d)
+    pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
+    _best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
+    return predict.top_probabilities(ranked, 10)
+
+
+@register("train_status")
+def q_train_status(spark, d):
+    base = clean.prepare_base(_inc(spark, d), ROLES)
+    res = ml.train_classifier(spatial.assign_centers(base, "lat", "lon", CENTERS), "category", "key", "small")
+    return ml.status_frame(spark, res)
+
+
+@register("impute_median")
+def q_impute_median(spark, d):
+    raw = fxt.incidents_raw(spark, d).select("key", "lat_raw")
+    return ml.impute_median(raw, ["lat_raw"])
+
+
+@register("one_hot_features", W(o.INCIDENTS) + f"""
+, e AS (SELECT key, {o.time_band('hour')} AS time_band, day FROM incidents)
+, b AS (SELECT list(DISTINCT time_band ORDER BY time_band) AS bands, list(DISTINCT day ORDER BY day) AS days FROM e)
+SELECT key, time_band, day,
+       list_transform(bands, lambda x: CASE WHEN x = time_band THEN 1.0 ELSE 0.0 END::DOUBLE) AS cat__time_band,
+       list_transform(days, lambda x: CASE WHEN x = day THEN 1.0 ELSE 0.0 END::DOUBLE) AS cat__day
+FROM e, b""")
+def q_one_hot_features(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    e = clean.enrich(_inc(spark, d), ROLES)
+    oh = ml.one_hot(e, ["time_band", "day"])
+    return oh.select("key", "time_band", "day", vector_to_array("cat__time_band").alias("cat__time_band"),
+                     vector_to_array("cat__day").alias("cat__day"))
+
+
+# ---------------------------------------------------------------------------
+# More SQL-checked operator forms
+# ---------------------------------------------------------------------------
+@register("union_copies", W(o.INCIDENTS) + """
+SELECT key, category FROM incidents UNION ALL SELECT key, category FROM incidents
+UNION ALL SELECT key, category FROM incidents""")
+def q_union_copies(spark, d):
+    return replicate.union_copies(_inc(spark, d).select("key", "category"), 3)
+
+
+@register("drop_nulls_subset", W(o.INCIDENTS_RAW) + """
+SELECT key, category, lat_raw, day_raw FROM incidents_raw WHERE lat_raw IS NOT NULL AND NOT isnan(lat_raw)
+  AND day_raw IS NOT NULL""")
+def q_drop_nulls_subset(spark, d):
+    raw = fxt.incidents_raw(spark, d).select("key", "category", "lat_raw", "day_raw")
+    return clean.drop_nulls(raw, ["lat_raw", "day_raw"])
+
+
+@register("density_points", W(o.INCIDENTS) + "SELECT lat, lon, 1 AS weight FROM incidents")
+def q_density_points(spark, d):
+    return filters.with_weight(_inc(spark, d).select("lat", "lon"))
+
+
+@register("parts_sold_share", f"""
+WITH s AS (SELECT p_brand AS category FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT category, count(*) AS n, round(count(*) / (SELECT count(*) FROM s)::DOUBLE, {R}) AS share
+FROM s GROUP BY category""")
+def q_parts_sold_share(spark, d):
+    return agg.category_share(fxt.parts_sold(spark, d), "category").withColumn("share", rnd("share"))
+
+
+@register("summary_export", _dense_sql("true") + """
+, tot AS (SELECT count(*) AS total, count(DISTINCT category) AS nd FROM f)
+SELECT 'Total Crimes' AS metric, total AS value FROM tot
+UNION ALL SELECT 'Unique Crime Types', nd FROM tot WHERE total > 0
+UNION ALL SELECT 'Peak Crime Hour', CAST(peak_hour AS BIGINT) FROM pk, tot WHERE total > 0
+UNION ALL SELECT 'Least Crime Hour', CAST(least_hour AS BIGINT) FROM lt, tot WHERE total > 0""")
+def q_summary_export(spark, d):
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import files
+
+    out = scratch_path(spark, f"summary-{uuid.uuid4().hex}")
+    files.write_summary(agg.summary_stats(_inc(spark, d), "category", "hour"), out)
+    return files.read_raw_csv(spark, out, "metric string, value long")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from . import jobs  # noqa: F401  (registers the composite jobs)
 

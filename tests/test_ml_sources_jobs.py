@@ -134,3 +134,19 @@ def test_streaming_hourly_counts(spark, scratch):
     got = {r["hour"]: r["n"] for r in spark.sql("SELECT * FROM hourly_test").collect()}
     want = {r["hour"]: r["n"] for r in inc.groupBy("hour").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == want
+
+
+def test_one_hot_unknown_is_all_zeros(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    train = spark.createDataFrame([("a",), ("b",), ("a",)], "c string")
+    enc = ml.one_hot(train, ["c"])
+    got = sorted(tuple(r[0]) for r in enc.select(vector_to_array("cat__c")).collect())
+    assert got == [(0.0, 1.0), (1.0, 0.0), (1.0, 0.0)]
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+    idx = StringIndexer(inputCol="c", outputCol="i", handleInvalid="keep").fit(train)
+    ohe = OneHotEncoder(inputCols=["i"], outputCols=["v"], dropLast=True).fit(idx.transform(train))
+    unseen = spark.createDataFrame([("zz",), (None,)], "c string")
+    vecs = [tuple(r[0]) for r in ohe.transform(idx.transform(unseen)).select(vector_to_array("v")).collect()]
+    assert vecs == [(0.0, 0.0), (0.0, 0.0)]

@@ -12,7 +12,8 @@ import __spark_entry__ as entry
 from .conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events labels".split()
-MODEL_QUERIES = {"kmeans_fit", "rf_train_score", "feature_importance", "scenario_scores", "report_job"}
+MODEL_QUERIES = {"kmeans_fit", "rf_train_score", "feature_importance", "scenario_scores", "scenario_top10",
+                 "train_status", "impute_median", "report_job"}
 
 
 def _norm(v):
@@ -22,6 +23,8 @@ def _norm(v):
         return ("nan",) if math.isnan(v) else round(v, 9)
     if isinstance(v, datetime.datetime):
         return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
     return v
 
 
