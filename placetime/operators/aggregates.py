@@ -43,10 +43,14 @@ def top_k(df: DataFrame, category: str, k: int, name: str = N, pos: str = "pos")
 
 
 def category_share(df: DataFrame, category: str, name: str = N, share: str = "share") -> DataFrame:
-    """Count and share of all rows per category (value_counts(normalize))."""
-    total = df.select(_count()).scalar()
+    """Count and share of all rows per category (value_counts(normalize)).
+
+    The total is summed over the per-category table (one row per category),
+    so the rows are scanned once.
+    """
     counts = category_counts(df, category, name)
-    return counts.withColumn(share, F.try_divide(F.col(name), total.cast("double")))
+    total = F.sum(name).over(Window.partitionBy())
+    return counts.withColumn(share, F.try_divide(F.col(name).cast("double"), total))
 
 
 def top_k_share(df: DataFrame, category: str, k: int = 10, name: str = N, share: str = "share",
@@ -116,14 +120,20 @@ def hour_probability(df: DataFrame, hour: str, name: str = "probability") -> Dat
 def summary_stats(df: DataFrame, category: str, hour: str) -> DataFrame:
     """(metric, value) rows: total, distinct categories, peak and least hour.
 
-    An empty input gives the single row ``Total Crimes, 0``.
+    One linear pipeline over one scan: rows -> (hour, category) counts ->
+    per-hour counts and category sets (<= 24 rows) -> one row.  The least
+    hour counts zero-filled hours: the smallest missing hour, if any, has
+    the least count.  An empty input gives the single row ``Total Crimes, 0``.
     """
-    totals = df.agg(_count().alias("total"), F.count_distinct(category).alias("distinct"))
-    peaks = peak_least_hour(hourly_counts(df, hour), hour)
-    one = totals.withColumns({
-        "peak_hour": peaks.select("peak_hour").scalar(),
-        "least_hour": peaks.select("least_hour").scalar(),
-    })
+    cells = df.groupBy(F.col(hour).cast("int").alias(hour), category).agg(_count().alias(N))
+    per_hour = cells.groupBy(hour).agg(F.sum(N).alias(N), F.collect_set(category).alias("_cats"))
+    missing = F.array_except(F.sequence(F.lit(0), F.lit(23)), F.collect_list(hour))
+    one = per_hour.agg(
+        F.coalesce(F.sum(N), F.lit(0)).alias("total"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_cats")))).alias("distinct"),
+        F.max_by(hour, F.struct(F.col(N), -F.col(hour))).alias("peak_hour"),
+        F.coalesce(F.array_min(missing), F.min_by(hour, F.struct(F.col(N), F.col(hour)))).alias("least_hour"),
+    )
     m = SUMMARY_METRICS
     rows = one.select(F.inline(F.array(
         F.struct(F.lit(m[0]).alias("metric"), F.col("total").cast("long").alias("value"), F.lit(0).alias("i")),

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +18,28 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
+def materialize_small(df: DataFrame) -> DataFrame:
+    """Compute an aggregated table once and cut its lineage.
+
+    For small results (one row per category, cell or class) that several
+    later steps read: without this, each reference re-runs the scan and the
+    shuffle beneath it.  The table is written by ``checkpoint`` to the
+    session's shared checkpoint folder, so a lost executor does not lose it.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join an aggregated lookup to row data, broadcasting it when it is small.
 
-    The lookup is persisted and counted (one job over its input); the count
-    is the size check behind the broadcast.
+    The lookup is materialised once and counted; the count is the size check
+    behind the broadcast.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = materialize_small(small)
     n = small.count()
     side = F.broadcast(small) if n <= max_rows else small
     return big.join(side, on, how)

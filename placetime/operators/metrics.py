@@ -38,11 +38,19 @@ def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "p
 
     Rows with a label outside ``classes`` are not counted.
     """
+    from .joins import materialize_small
+
     spark = pred.sparkSession
-    arr = class_list(pred, label, prediction, classes)
+    # One scan of the predictions: the cell counts (<= classes^2 rows) are
+    # materialised and everything else reads them.
+    cells = materialize_small(cell_counts(pred, label, prediction))
+    if classes is not None:
+        arr = F.array(*[F.lit(c) for c in sorted(classes)])
+    else:
+        both = cells.select(F.col("actual").alias("c")).union(cells.select(F.col("predicted").alias("c")))
+        arr = both.where(F.col("c").isNotNull()).select(F.sort_array(F.collect_set("c"))).scalar()
     grid = spark.range(1).select(F.explode(arr).alias("actual")).select(
         "actual", F.explode(arr).alias("predicted"))
-    cells = cell_counts(pred, label, prediction)
     return grid.join(cells, ["actual", "predicted"], "left").na.fill({"n": 0})
 
 
@@ -54,7 +62,9 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     As in the original table, the ``accuracy`` row repeats the accuracy in
     all four value columns.
     """
-    cm = confusion_matrix(pred, label, prediction, classes)
+    from .joins import materialize_small
+
+    cm = materialize_small(confusion_matrix(pred, label, prediction, classes))
     per = cm.groupBy(F.col("actual").alias("label")).agg(
         F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)).alias("tp"),
         F.sum("n").alias("support"))

@@ -32,15 +32,21 @@ def heatmap_normalized(df: DataFrame, category: str, hour: str, value: str = "va
     """Counts divided by the category's row maximum, long form.
 
     Columns are the hours present in the frame (as in a pandas pivot table);
-    rows are ordered by category total (descending, then name).  The cell
-    grid is built per category by exploding the present-hour list (at most
-    24 values), never by joining row data.
+    rows are ordered by category total (descending, then name).  One scan:
+    the (category, hour) counts are materialised once (at most categories x
+    24 rows); the present-hour list, row maxima, totals and zero cells all
+    come from that small table, and each category's cells are completed by
+    exploding the present-hour list (never by joining row data).
     """
-    cells = pivot_long(df, category, hour)
-    present = df.select(F.sort_array(F.collect_set(F.col(hour)))).scalar()
-    per_cat = cells.groupBy(category).agg(F.sum(N).alias("_total"), F.max(N).alias("_max"))
-    grid = per_cat.select(category, "_total", "_max", F.explode(present).alias(hour))
-    dense = grid.join(cells, [category, hour], "left").na.fill({N: 0})
-    out = dense.withColumn(value, F.col(N) / F.greatest(F.col("_max"), F.lit(1)).cast("double"))
-    ranks = rank_small(per_cat.select(category, "_total"), [F.col("_total").desc(), F.col(category).asc()], order)
-    return out.join(ranks.select(category, order), category).select(category, hour, N, value, order)
+    from .joins import materialize_small
+
+    cells = materialize_small(pivot_long(df, category, hour))
+    present = cells.select(F.sort_array(F.collect_set(F.col(hour)))).scalar()
+    per_cat = cells.groupBy(category).agg(
+        F.sum(N).alias("_total"), F.max(N).alias("_max"),
+        F.map_from_entries(F.collect_list(F.struct(F.col(hour), F.col(N)))).alias("_cells"))
+    per_cat = rank_small(per_cat, [F.col("_total").desc(), F.col(category).asc()], order)
+    dense = per_cat.select(category, order, "_max", "_cells", F.explode(present).alias(hour))
+    n = F.coalesce(F.element_at(F.col("_cells"), F.col(hour)), F.lit(0)).cast("long")
+    return dense.select(category, hour, n.alias(N),
+                        (n / F.greatest(F.col("_max"), F.lit(1)).cast("double")).alias(value), order)

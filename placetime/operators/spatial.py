@@ -47,12 +47,18 @@ def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 def density_grid(df: DataFrame, x: str, y: str, bins: int = GRID_BINS) -> DataFrame:
     """(x_bin, y_bin, n) for the non-empty cells of a bins x bins grid over
-    the data's [min, max] extents."""
-    ext = df.select(F.struct(F.min(x).alias("x0"), F.max(x).alias("x1"),
-                             F.min(y).alias("y0"), F.max(y).alias("y1"))).scalar()
+    the data's [min, max] extents.
+
+    The extents are one aggregate row, fetched once and used as literals
+    (a scalar subquery would be re-run for every reference to it).
+    """
     pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    binned = pts.select(_bin(F.col(x), ext["x0"], ext["x1"], bins).alias("x_bin"),
-                        _bin(F.col(y), ext["y0"], ext["y1"], bins).alias("y_bin"))
+    ext = pts.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")).first()
+    if ext is None or ext["x0"] is None:
+        return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, n long")
+    lit = {k: F.lit(float(ext[k])) for k in ("x0", "x1", "y0", "y1")}
+    binned = pts.select(_bin(F.col(x), lit["x0"], lit["x1"], bins).alias("x_bin"),
+                        _bin(F.col(y), lit["y0"], lit["y1"], bins).alias("y_bin"))
     return binned.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n"))
 
 
