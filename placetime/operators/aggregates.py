@@ -120,20 +120,23 @@ def hour_probability(df: DataFrame, hour: str, name: str = "probability") -> Dat
 def summary_stats(df: DataFrame, category: str, hour: str) -> DataFrame:
     """(metric, value) rows: total, distinct categories, peak and least hour.
 
-    One linear pipeline over one scan: rows -> (hour, category) counts ->
-    per-hour counts and category sets (<= 24 rows) -> one row.  The least
-    hour counts zero-filled hours: the smallest missing hour, if any, has
-    the least count.  An empty input gives the single row ``Total Crimes, 0``.
+    One scan: the (hour, category) counts are materialised once; the distinct
+    category count is a distributed aggregate over them, and the per-hour
+    counts (<= 24 rows) give total, peak and least hour.  The least hour
+    counts zero-filled hours: the smallest missing hour, if any, has the
+    least count.  An empty input gives the single row ``Total Crimes, 0``.
     """
-    cells = df.groupBy(F.col(hour).cast("int").alias(hour), category).agg(_count().alias(N))
-    per_hour = cells.groupBy(hour).agg(F.sum(N).alias(N), F.collect_set(category).alias("_cats"))
+    from .joins import materialize_small
+
+    cells = materialize_small(df.groupBy(F.col(hour).cast("int").alias(hour), category).agg(_count().alias(N)))
+    distinct = cells.select(F.count_distinct(category)).scalar()
+    per_hour = cells.groupBy(hour).agg(F.sum(N).alias(N))
     missing = F.array_except(F.sequence(F.lit(0), F.lit(23)), F.collect_list(hour))
     one = per_hour.agg(
         F.coalesce(F.sum(N), F.lit(0)).alias("total"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("_cats")))).alias("distinct"),
         F.max_by(hour, F.struct(F.col(N), -F.col(hour))).alias("peak_hour"),
         F.coalesce(F.array_min(missing), F.min_by(hour, F.struct(F.col(N), F.col(hour)))).alias("least_hour"),
-    )
+    ).withColumn("distinct", distinct)
     m = SUMMARY_METRICS
     rows = one.select(F.inline(F.array(
         F.struct(F.lit(m[0]).alias("metric"), F.col("total").cast("long").alias("value"), F.lit(0).alias("i")),
