@@ -150,3 +150,38 @@ def test_one_hot_unknown_is_all_zeros(spark):
     unseen = spark.createDataFrame([("zz",), (None,)], "c string")
     vecs = [tuple(r[0]) for r in ohe.transform(idx.transform(unseen)).select(vector_to_array("v")).collect()]
     assert vecs == [(0.0, 0.0), (0.0, 0.0)]
+
+
+def _feature_rows(n, classes):
+    return [(i, classes[i % len(classes)], 28.5 + i * 1e-3, 77.1, i % 24, 0.1, 0.9, "Night", "Monday", "0")
+            for i in range(n)]
+
+
+FEATURE_SCHEMA = ("key long, category string, lat double, lon double, hour int, hour_sin double, hour_cos double, "
+                  "time_band string, day string, cluster_id string")
+
+
+def test_gate_19_vs_20_rows(spark):
+    nineteen = spark.createDataFrame(_feature_rows(19, ["a", "b"]), FEATURE_SCHEMA)
+    twenty = spark.createDataFrame(_feature_rows(20, ["a", "b"]), FEATURE_SCHEMA)
+    assert not ml.train_classifier(nineteen, "category", "key").ready
+    res = ml.train_classifier(twenty, "category", "key")
+    assert res.ready and res.training_rows == 20
+
+
+def test_single_row_class_falls_back_to_keyed_split(spark):
+    rows = _feature_rows(40, ["a", "b"]) + [(999, "lonely", 28.6, 77.2, 5, 0.1, 0.9, "Morning", "Friday", "0")]
+    res = ml.train_classifier(spark.createDataFrame(rows, FEATURE_SCHEMA), "category", "key")
+    assert res.ready and res.predictions.count() > 0
+
+
+def test_one_row_and_null_category(spark):
+    one = spark.createDataFrame([(1, "a", 28.5, 77.2, 5)], "key long, category string, lat double, lon double, hour int")
+    from placetime.operators import aggregates as agg
+
+    assert agg.summary_stats(one, "category", "hour").count() == 4
+    out, fit = spatial.attach_clusters(one, ColumnRoles())
+    assert fit is None and out.first()["cluster_id"] == "0"
+    nulls = spark.createDataFrame([(1, None, 28.5, 77.2, 5.0), (2, "a", 28.5, 77.2, 5.0)],
+                                  "key long, category string, lat double, lon double, hour double")
+    assert clean.coerce_incidents(nulls, ColumnRoles()).count() == 1  # null category dropped (documented)
