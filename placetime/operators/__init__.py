@@ -11,6 +11,7 @@ from . import (
     ml,
     pivot,
     predict,
+    quantile,
     replicate,
     sort,
     spatial,
@@ -27,6 +28,7 @@ __all__ = [
     "ml",
     "pivot",
     "predict",
+    "quantile",
     "replicate",
     "sort",
     "spatial",

@@ -751,10 +751,13 @@ def q_train_status(spark, d):
     return ml.status_frame(spark, res)
 
 
-@register("impute_median")
+@register("impute_median", W(o.INCIDENTS_RAW) + f"""
+SELECT key, round(coalesce(lat_raw, (SELECT median(lat_raw) FROM incidents_raw)), {R}) AS lat_raw FROM incidents_raw""")
 def q_impute_median(spark, d):
+    from ..operators import quantile
+
     raw = fxt.incidents_raw(spark, d).select("key", "lat_raw")
-    return ml.impute_median(raw, ["lat_raw"])
+    return quantile.impute_median_exact(raw, ["lat_raw"]).withColumn("lat_raw", rnd("lat_raw"))
 
 
 @register("one_hot_features", W(o.INCIDENTS) + f"""
