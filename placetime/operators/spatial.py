@@ -22,7 +22,6 @@ from ..roles import (
     CLUSTER_MAX,
     CLUSTER_MIN,
     CLUSTER_ROWS_PER_STEP,
-    INTENSITY_LABELS,
     INTENSITY_LEGEND,
     LEGEND_ROWS,
     MAP_INTENSITY,
