@@ -19,8 +19,13 @@ from ..roles import DAY_NAMES, LAT_LOW, LAT_WIDTH, LON_LOW, LON_WIDTH, ColumnRol
 INCIDENT_ROLES = ColumnRoles(category="category", lat="lat", lon="lon", hour="hour", day="day", key="key")
 
 
+# Fixed-size dimension tables (25 nations, 5 regions): broadcast as they are.
+FIXED_SIZE = ("nation", "region")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in FIXED_SIZE else spread(df)
 
 
 def spread(df: DataFrame) -> DataFrame:
