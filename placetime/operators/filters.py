@@ -30,7 +30,11 @@ def validate_pattern(pattern: str) -> str:
 
 
 def text_match(c: Column, term: str, case_sensitive: bool = True, regex: bool = False) -> Column:
-    """Null-safe match: literal ``contains`` or a (case-insensitive) regex."""
+    """Literal ``contains`` or a (case-insensitive) regex; null for null input.
+
+    Used bare in filters (a null row is dropped either way), so literal
+    matches reach the parquet reader as pushed ``StringContains`` filters.
+    """
     if regex:
         pat = validate_pattern(term)
         m = c.rlike(pat if case_sensitive else f"(?i){pat}")
@@ -38,7 +42,7 @@ def text_match(c: Column, term: str, case_sensitive: bool = True, regex: bool =
         m = c.contains(term)
     else:
         m = F.lower(c).contains(term.lower())
-    return F.coalesce(m, F.lit(False))
+    return m
 
 
 def place_filter(df: DataFrame, column: str, term: str, case_sensitive: bool = True,
@@ -62,7 +66,8 @@ def first_string_match(df: DataFrame, term: str, case_sensitive: bool = True,
     cols = string_columns(df)
     if not cols:
         return df, None
-    probes = [F.max(text_match(F.col(c), term, case_sensitive, regex).cast("int")).alias(c) for c in cols]
+    probes = [F.max(F.coalesce(text_match(F.col(c), term, case_sensitive, regex), F.lit(False)).cast("int")).alias(c)
+              for c in cols]
     hit = df.select(*probes).first()
     for c in cols:
         if hit is not None and hit[c] == 1:
