@@ -185,3 +185,18 @@ def test_one_row_and_null_category(spark):
     nulls = spark.createDataFrame([(1, None, 28.5, 77.2, 5.0), (2, "a", 28.5, 77.2, 5.0)],
                                   "key long, category string, lat double, lon double, hour double")
     assert clean.coerce_incidents(nulls, ColumnRoles()).count() == 1  # null category dropped (documented)
+
+
+def test_class_only_in_test_rows_is_scored(spark):
+    from placetime.operators import split as sp
+
+    rows = _feature_rows(60, ["a", "b"])
+    # find a key that the keyed split sends to the test side and give it its own class
+    df = spark.createDataFrame(rows, FEATURE_SCHEMA)
+    test_key = sp.keyed_split(df, "key", 0.25, 42).where("is_test").first()["key"]
+    rows = [(k, "only_test" if k == test_key else c, *rest) for k, c, *rest in rows]
+    preset = ml.ForestPreset(num_trees=5, max_depth=3, stratified=False)
+    res = ml.train_classifier(spark.createDataFrame(rows, FEATURE_SCHEMA), "category", "key", preset)
+    assert res.ready and "only_test" not in res.classes
+    labels = {r["label"] for r in res.predictions.collect()}
+    assert "only_test" in labels
