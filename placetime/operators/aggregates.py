@@ -71,10 +71,12 @@ def top_category(df: DataFrame, category: str, share: str = "share") -> DataFram
 def hourly_counts(df: DataFrame, hour: str, name: str = N) -> DataFrame:
     """Dense 0..23 counts with zeros (groupby + reindex(range(24))).
 
-    Hours are clipped to 0..23, so the aggregate has at most 24 rows: it is
-    broadcast onto the 24-row domain.  An empty input gives 24 zeros.
+    Only hours 0..23 can join the domain, so only they are counted: the
+    aggregate has at most 24 rows by construction and is broadcast onto the
+    24-row domain.  An empty input gives 24 zeros.
     """
-    counts = df.groupBy(F.col(hour).cast("int").alias(hour)).agg(_count().alias(name))
+    h = F.col(hour).cast("int")
+    counts = df.where(h.between(0, 23)).groupBy(h.alias(hour)).agg(_count().alias(name))
     return complete_domain(counts, hour_domain(df.sparkSession, hour), hour, {name: 0})
 
 

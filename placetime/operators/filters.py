@@ -84,8 +84,10 @@ def category_filter(df: DataFrame, column: str, selected: Sequence[str] | DataFr
     if selected is None:
         return df
     if isinstance(selected, DataFrame):
+        from .joins import join_small
+
         vals = selected.select(F.col(selected.columns[0]).alias(column)).distinct()
-        return df.join(F.broadcast(vals), column, "left_semi")
+        return join_small(df, vals, column, "left_semi")
     values = list(selected)
     if not values:
         return df.where(F.lit(False))

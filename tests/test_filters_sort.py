@@ -91,3 +91,8 @@ def test_empty_frames(spark):
     empty = frame(spark, [])
     assert sort.sorted_with_position(empty, ROLES, SORT_HOUR_ASC).count() == 0
     assert filters.apply_filters(empty, ROLES, FilterSpec()).count() == 0
+
+
+def test_category_filter_with_frame(spark, small):
+    sel = spark.createDataFrame([("Theft",), ("Theft",), ("nope",)], "c string")
+    assert filters.category_filter(small, "category", sel).count() == 20
