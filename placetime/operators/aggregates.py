@@ -3,10 +3,10 @@ trailing hourly mean.
 
 Every aggregate is a grouped ``agg`` (partial aggregation before the
 shuffle, so a hot category costs one partial row per task, not a hot
-partition).  Whole-table totals are scalar subqueries (``DataFrame.scalar``):
-computed once, inlined as a literal, no cross join.  Results are small
-(one row per category or hour); only those small results are ranked with
-unpartitioned windows.
+partition).  Whole-table totals are windows over the already aggregated
+table (one row per category or hour), so the rows are scanned once and no
+cross join is needed; only such small results are ranked with unpartitioned
+windows.
 """
 
 from __future__ import annotations
