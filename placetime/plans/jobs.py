@@ -86,7 +86,7 @@ def q_prepare_job(spark, d):
 # ---------------------------------------------------------------------------
 # K1: analysis report
 # ---------------------------------------------------------------------------
-def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42, restarts: int = 3,
+def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42, restarts: int = 10,
                  preset: str = "small", train: bool = True) -> dict[str, str]:
     """clean -> cluster -> train -> correlation, hourly counts, summary,
     heatmap; one table per output under ``out_dir``.
@@ -134,7 +134,7 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
 @register("report_job")
 def q_report_job(spark, d):
     out = scratch_path(spark, f"report-{uuid.uuid4().hex}")
-    paths = build_report(fxt.incidents(spark, d), ROLES, out, restarts=1, train=False)
+    paths = build_report(fxt.incidents(spark, d), ROLES, out, train=False)
     tables = [spark.read.parquet(p).select(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows"))
               for n, p in sorted(paths.items())]
     result = tables[0]

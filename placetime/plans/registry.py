@@ -595,7 +595,7 @@ def q_cluster_summary(spark, d):
 def q_kmeans_fit(spark, d):
     i = _inc(spark, d)
     plan = spatial.cluster_plan(i, "lat", "lon").first()
-    fit = spatial.fit_kmeans(i, "lat", "lon", int(plan["k"]), seed=42, restarts=2)
+    fit = spatial.fit_kmeans(i, "lat", "lon", int(plan["k"]), seed=42)
     return spatial.centers_frame(spark, fit).withColumn("cost", F.lit(fit.cost))
 
 
