@@ -1,7 +1,5 @@
 """Physical-plan checks: no Python evaluation, pushdown, pruning, one scan."""
 
-import re
-
 import pytest
 
 import __spark_entry__ as entry
@@ -37,3 +35,21 @@ def test_summary_and_heatmap_scan_events_once(spark):
     for name in ("summary_stats", "heatmap_normalized", "category_share"):
         plan = _plan(entry.queries()[name](spark, SF_SMALL))
         assert plan.count("FileScan parquet") <= 1, name
+
+
+def test_scenario_scoring_has_no_key_shuffle(spark):
+    from placetime.operators import clean, ml, predict, spatial
+    from placetime.roles import ColumnRoles
+    from placetime.sources import fixtures
+
+    roles = ColumnRoles(day="day")
+    base = clean.prepare_base(fixtures.incidents(spark, SF_SMALL), roles)
+    centers = [(28.5, 77.1), (28.8, 77.4)]
+    res = ml.train_classifier(spatial.assign_centers(base, "lat", "lon", centers), "category", "key",
+                              ml.ForestPreset(num_trees=3, max_depth=3))
+    pts = predict.scenario_features(fixtures.incidents(spark, SF_SMALL).select("key", "hour", "lat", "lon"),
+                                    centers=centers)
+    best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
+    for df in (best, ranked):
+        plan = _plan(df)
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
