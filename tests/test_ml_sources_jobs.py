@@ -200,3 +200,24 @@ def test_class_only_in_test_rows_is_scored(spark):
     assert res.ready and "only_test" not in res.classes
     labels = {r["label"] for r in res.predictions.collect()}
     assert "only_test" in labels
+
+
+def test_fit_failure_is_reported_not_raised(spark):
+    bad = ml.ForestPreset(num_trees=2, max_depth=-1)
+    res = ml.train_classifier(spark.createDataFrame(_feature_rows(40, ["a", "b"]), FEATURE_SCHEMA),
+                              "category", "key", bad)
+    assert not res.ready and res.message.startswith("Model training failed")
+    assert res.prior is not None and res.training_rows == 40
+
+
+def test_start_hourly_counts_on_files(spark, scratch):
+    from placetime.streaming import start_hourly_counts
+
+    src = os.path.join(scratch, "feed")
+    inc = fixtures.incidents(spark, SF_SMALL)
+    inc.write.parquet(src)
+    q = start_hourly_counts(spark, src, inc.schema, ROLES, os.path.join(scratch, "ck2"), name="hourly_feed")
+    q.processAllAvailable()
+    q.stop()
+    got = {r["hour"]: r["n"] for r in spark.sql("SELECT * FROM hourly_feed").collect()}
+    assert sum(got.values()) == inc.count() and len(got) <= 24
