@@ -719,7 +719,10 @@ def _trained(spark, d):
 
 @register("rf_train_score")
 def q_rf_train_score(spark, d):
-    return _trained(spark, d).predictions
+    res = _trained(spark, d)
+    if res.predictions is None:
+        return spark.createDataFrame([], "key long, label string, prediction string")
+    return res.predictions
 
 
 @register("feature_importance")
@@ -731,6 +734,8 @@ def q_feature_importance(spark, d):
 @register("scenario_scores")
 def q_scenario_scores(spark, d):
     res = _trained(spark, d)
+    if not res.ready:
+        return spark.createDataFrame([], "key long, prediction string, confidence double")
     pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
     best, _ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
     return best
@@ -739,6 +744,8 @@ def q_scenario_scores(spark, d):
 @register("scenario_top10")
 def q_scenario_top10(spark, d):
     res = _trained(spark, d)
+    if not res.ready:
+        return spark.createDataFrame([], "key long, class string, probability double, rank long")
     pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
     _best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
     return predict.top_probabilities(ranked, 10)
