@@ -1,9 +1,9 @@
 """Pearson correlation: the 8-feature matrix, its strongest pairs, and the
 hour-versus-hourly-count coefficient.
 
-All pairs come from ONE aggregate (covariances and deviations are
-algebraic aggregates with partial merge), so the matrix costs one pass over
-the data however many features there are.  ``F.corr`` is avoided: under
+All pairs come from ONE aggregate of shifted sums and cross products
+(partial merge), so the matrix costs one pass over the data however many
+features there are.  ``F.corr`` is avoided: under
 ANSI mode it raises on a constant column; here an undefined coefficient is
 null.
 """
@@ -52,23 +52,40 @@ def correlation_frame(df: DataFrame, hour: str, lat: str, lon: str, day: str, ba
 
 
 def corr_matrix(feats: DataFrame, features: Sequence[str] = CORR_FEATURES) -> DataFrame:
-    """Long (feature_a, feature_b, r) for every ordered pair, diagonal included."""
+    """Long (feature_a, feature_b, r) for every ordered pair, diagonal included.
+
+    One aggregate of plain sums over the valid rows: n, sum(x_i) and
+    sum(x_i * x_j), with every feature shifted by its value in the first row
+    (one-row job, no filter).  The shift keeps the sums free of cancellation
+    for values far from zero; sums have small update code, so the one pass
+    stays cheap per row.  Listwise deletion is applied inside the sums
+    (``when(_valid, x)``): a row filter would be pushed below the feature
+    projection with every feature expression inlined into it.
+    """
     names = list(features)
+    k = len(names)
     ok = F.col("_valid") if "_valid" in feats.columns else F.lit(True)
-    cols = {f: F.when(ok, F.col(f"`{f}`")) for f in names}
-    sd = {f: F.stddev_pop(cols[f]) for f in names}
-    aggs = [sd[f].alias(f"sd{i}") for i, f in enumerate(names)]
-    for i, a in enumerate(names):
-        for j in range(i, len(names)):
-            aggs.append(F.covar_pop(cols[a], cols[names[j]]).alias(f"cv{i}_{j}"))
+    ref = feats.select(*[F.col(f"`{f}`") for f in names]).first()
+    shift = [float(ref[i]) if ref is not None and ref[i] is not None and ref[i] == ref[i] else 0.0
+             for i in range(k)]
+    x = [F.when(ok, F.col(f"`{f}`") - F.lit(shift[i])) for i, f in enumerate(names)]
+    aggs = [F.count(F.when(ok, F.lit(1))).cast("double").alias("n")]
+    aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(k)]
+    aggs += [F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k)]
     one = feats.agg(*aggs)
+
+    def cov(i: int, j: int):
+        lo, hi = min(i, j), max(i, j)
+        n = F.col("n")
+        return F.col(f"p{lo}_{hi}") / n - (F.col(f"s{lo}") / n) * (F.col(f"s{hi}") / n)
+
+    sd = [F.sqrt(F.greatest(cov(i, i), F.lit(0.0))) for i in range(k)]
     structs = []
     for i, a in enumerate(names):
         for j, b in enumerate(names):
-            lo, hi = min(i, j), max(i, j)
-            r = F.try_divide(F.col(f"cv{lo}_{hi}"), F.col(f"sd{lo}") * F.col(f"sd{hi}"))
             structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                    F.lit(i).alias("i"), F.lit(j).alias("j"), r.alias("r")))
+                                    F.lit(i).alias("i"), F.lit(j).alias("j"),
+                                    F.try_divide(cov(i, j), sd[i] * sd[j]).alias("r")))
     return one.select(F.inline(F.array(*structs)))
 
 
