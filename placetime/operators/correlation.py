@@ -55,8 +55,8 @@ def corr_matrix(feats: DataFrame, features: Sequence[str] = CORR_FEATURES) -> Da
     """Long (feature_a, feature_b, r) for every ordered pair, diagonal included.
 
     One aggregate of plain sums over the valid rows: n, sum(x_i) and
-    sum(x_i * x_j), with every feature shifted by its value in the first row
-    (one-row job, no filter).  The shift keeps the sums free of cancellation
+    sum(x_i * x_j), with every feature shifted by its first finite value in
+    the valid rows of a bounded prefix (one small job, no filter).  The shift keeps the sums free of cancellation
     for values far from zero; sums have small update code, so the one pass
     stays cheap per row.  Listwise deletion is applied inside the sums
     (``when(_valid, x)``): a row filter would be pushed below the feature
@@ -65,9 +65,12 @@ def corr_matrix(feats: DataFrame, features: Sequence[str] = CORR_FEATURES) -> Da
     names = list(features)
     k = len(names)
     ok = F.col("_valid") if "_valid" in feats.columns else F.lit(True)
-    ref = feats.select(*[F.col(f"`{f}`") for f in names]).first()
-    shift = [float(ref[i]) if ref is not None and ref[i] is not None and ref[i] == ref[i] else 0.0
-             for i in range(k)]
+    # Each feature's shift: its first finite value among the valid rows of a
+    # bounded prefix (the rows the sums use; nulls and NaN skipped).  The
+    # condition sits inside the aggregate, not in a pushed-down filter.
+    finite = [F.when(ok & ~F.isnan(F.col(f"`{f}`")), F.col(f"`{f}`")) for f in names]
+    ref = feats.limit(1000).agg(*[F.first(c, ignorenulls=True).alias(f"f{i}") for i, c in enumerate(finite)]).first()
+    shift = [float(ref[f"f{i}"]) if ref is not None and ref[f"f{i}"] is not None else 0.0 for i in range(k)]
     x = [F.when(ok, F.col(f"`{f}`") - F.lit(shift[i])) for i, f in enumerate(names)]
     aggs = [F.count(F.when(ok, F.lit(1))).cast("double").alias("n")]
     aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(k)]

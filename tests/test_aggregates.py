@@ -86,3 +86,24 @@ def test_hour_count_corr_flat_is_null(spark):
     h = agg.hourly_counts(df, "hour").select(F.col("hour").cast("double").alias("hour"),
                                              F.col("n").cast("double").alias("n"))
     assert correlation.hour_count_corr(h, "hour", "n").first()["r"] is None
+
+
+def test_correlation_stable_for_large_offsets(spark):
+    import random
+
+    random.seed(3)
+    rows = []
+    for _ in range(2000):
+        a = random.gauss(0, 1)
+        rows.append((1e9 + a, 5e8 + 0.5 * a + random.gauss(0, 1), True))
+    rows.insert(0, (None, 7.0, False))  # invalid first row: its null shifts by 0, its row is excluded
+    df = spark.createDataFrame(rows, "a double, b double, _valid boolean")
+    got = {(r["feature_a"], r["feature_b"]): r["r"] for r in correlation.corr_matrix(df, ["a", "b"]).collect()}
+    xs = [(x, y) for x, y, v in rows if v]
+    n = len(xs)
+    ma, mb = sum(x for x, _ in xs) / n, sum(y for _, y in xs) / n
+    cab = sum((x - ma) * (y - mb) for x, y in xs)
+    caa = sum((x - ma) ** 2 for x, _ in xs)
+    cbb = sum((y - mb) ** 2 for _, y in xs)
+    want = cab / (caa * cbb) ** 0.5
+    assert got[("a", "b")] == pytest.approx(want, abs=1e-6)
