@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from placetime.plans import oracle_sql as registered_sql
+from placetime.plans import queries as registered
 
 from .conftest import SF_SMALL
 
@@ -47,12 +49,12 @@ def test_entry_smoke(spark):
 
 
 def test_registry_has_sql_for_all_but_models():
-    q, s = entry.queries(), entry.oracle_sql()
+    q, s = registered(), registered_sql()
     assert set(s) <= set(q)
     assert set(q) - set(s) == MODEL_QUERIES
 
 
-SQL_NAMES = sorted(entry.oracle_sql())
+SQL_NAMES = sorted(registered_sql())
 
 
 @pytest.mark.parametrize("name", SQL_NAMES)
