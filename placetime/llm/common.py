@@ -52,7 +52,7 @@ def stored(spark: SparkSession, df: DataFrame, name: str, by: str | None = None)
     path = scratch_dir(spark, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if by is None else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut(df: DataFrame) -> DataFrame:
