@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-DEPTH = 5
+DEPTH = 4
 TOP = 2
 BUNDLE_BYTES = 12 << 20
 SLICE_BYTES = 3 << 20
