@@ -162,9 +162,11 @@ def fit(
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
     stats = rows.select("label_id", "good", measure(F.col("text")).alias("m")).select(
         "label_id", (F.col("good") > 0).cast("int").alias("good"), *flatten(F.col("m")))
-    stats = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     stats = cut(stats.select((F.xxhash64(F.lit("prune"), "label_id") % 3 == 0).alias("prune"), "good",
-                         *[F.col(f).cast("double").alias(f) for f in FEATURES]))
+                         *[F.col(f).cast("double").alias(f) for f in FEATURES],
+                         base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("failed")))
+    # After the cut: before it, this filter would be pushed below the join and measure every document.
+    stats = stats.where("not failed")
     share = [i / bins for i in range(1, bins)] + [0.005, 0.01, 0.02, 0.98, 0.99, 0.995]
     per_class = lambda f, good: F.percentile_approx(F.when(F.col("good") == good, F.col(f)), share, 2000)
     cuts = stats.agg(*[per_class(f, g).alias(f"{f}_{g}") for f in FEATURES for g in (0, 1)]).first()
