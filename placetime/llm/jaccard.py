@@ -194,7 +194,7 @@ def _bounded(pairs: DataFrame, maps: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """Pairs (a, b) with ``linked`` from their full sets."""
+    """The components (root_a, root_b) of pairs, with ``linked`` from the pairs' full sets."""
     side = lambda x: full.select(F.col("class").alias(x), F.col("members").alias(f"set_{x}"))
 
     def run(batches):
@@ -206,10 +206,10 @@ def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 ok.append(bool(links(int((y[at] == x).sum()), len(x), len(y))))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
+            yield pa.RecordBatch.from_arrays([batch["root_a"], batch["root_b"], pa.array(ok, pa.bool_())], names=["root_a", "root_b", "linked"])
 
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return both.mapInArrow(run, "a binary, b binary, linked boolean")
+    both = pairs.select("a", "b", "root_a", "root_b").join(side("a"), "a").join(side("b"), "b")
+    return both.select("root_a", "root_b", "set_a", "set_b").mapInArrow(run, "root_a binary, root_b binary, linked boolean")
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -229,33 +229,31 @@ def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
     return rows.mapInArrow(run, "class binary, members binary").dropDuplicates(["class"])
 
 
-def _waves(pairs: DataFrame, full: DataFrame, found: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Verify ``pairs`` until each is verified or within one component.
+def _waves(pairs: DataFrame, full: DataFrame, roots: DataFrame) -> DataFrame:
+    """Verify ``pairs`` until each is verified or within one component of
+    ``roots`` (node, root); returns the components after that.
 
-    Returns all links found so far, the components, and the pairs tried.
+    A wave tests the most promising pairs of each class: one, then 4, 16, ...
+    Links join components, so the graph to be closed is that of their roots.
     """
-    left, tried = pairs, None
+    left, most = pairs, 1
+    best = Window.partitionBy("b").orderBy(F.desc("bound"), "a")
     while True:
-        if roots is not None:
-            of = lambda x: roots.select(F.col("node").alias(f"node_{x}"), F.col("root").alias(f"root_{x}"))
-            left = left.join(of("a"), F.col("a") == F.col("node_a"), "left").join(of("b"), F.col("b") == F.col("node_b"), "left")
-            left = left.where(~F.coalesce("root_a", "a").eqNullSafe(F.coalesce("root_b", "b"))).select("a", "b", "bound")
-        # The most promising pair of each class: classes are tested as b by their best a.
-        best = Window.partitionBy("b").orderBy(F.desc("bound"), "a")
+        of = lambda x: roots.select(F.col("node").alias(f"node_{x}"), F.col("root").alias(f"root_{x}"))
+        left = left.join(of("a"), F.col("a") == F.col("node_a")).join(of("b"), F.col("b") == F.col("node_b"))
+        left = left.where("root_a <> root_b").select("a", "b", "bound", "root_a", "root_b")
         left = cut(left.withColumn("turn", F.row_number().over(best)))
         if left.isEmpty():
-            return found, roots, tried
-        now = cut(_verified(left.where("turn = 1"), full))
-        tried = now.select("a", "b") if tried is None else tried.unionByName(now.select("a", "b"))
-        good = now.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if not good.isEmpty():
-            found = cut(good if found is None else found.unionByName(good))
-            roots = components(found)
-        left = left.where("turn > 1").select("a", "b", "bound")
-
-
-def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Rows (doc_id, n, class) of all documents, and (node, root) of linked classes."""
+            return roots
+        now = _verified(left.where(F.col("turn") <= most), full).where("linked")
+        joined = components(now.select(F.col("root_a").alias("u"), F.col("root_b").alias("v")))
+        joined = joined.select(F.col("node").alias("old"), F.col("root").alias("new"))
+        roots = cut(roots.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")))
+        left, most = left.where(F.col("turn") > most).select("a", "b", "bound"), most * 4
+
+
+def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, class) of all documents, and (node, root) of classes that share entries."""
     spark = docs.sparkSession
     rows = stored(spark, sets(docs, hot_shingles(docs)), "sets")
     classes = rows.where("n > 0").groupBy("class").agg(
@@ -270,11 +268,11 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     maps = classes.select("class", "n", "bitmap")
     pairs = cut(_bounded(pairs, maps))
     full = stored(spark, _full_sets(docs, classes, pairs), "members")
-    found, roots, tried = _waves(pairs, full, None, None)
+    roots = cut(entries.select(F.col("class").alias("node"), F.col("class").alias("root")).distinct())
+    roots = _waves(pairs, full, roots)
     rest = cut(_bounded(_remaining(entries, roots, pairs), maps))
     if not rest.isEmpty():
-        full = stored(spark, _full_sets(docs, classes, rest), "members")
-        found, roots, _ = _waves(rest, full, found, roots)
+        roots = _waves(rest, stored(spark, _full_sets(docs, classes, rest), "members"), roots)
     return rows.select("doc_id", "n", "class"), roots
 
 
@@ -294,13 +292,9 @@ def _first_pairs(entries: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("shared"))
 
 
-def _remaining(entries: DataFrame, roots: DataFrame | None, done: DataFrame) -> DataFrame:
+def _remaining(entries: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
     """The rest of the product: pairs of a row in different components that were not tested."""
-    rows = entries.select("gram", "class", "n")
-    if roots is not None:
-        rows = rows.join(roots, F.col("class") == F.col("node"), "left").select("gram", "class", "n", F.coalesce("root", "class").alias("root"))
-    else:
-        rows = rows.withColumn("root", F.col("class"))
+    rows = entries.join(roots, F.col("class") == F.col("node")).select("gram", "class", "n", "root")
     mixed = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("gram").alias("g"))
     rows = cut(rows.join(mixed, F.col("gram") == F.col("g"), "left_semi"))
     x = rows.select("gram", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
@@ -312,10 +306,7 @@ def _remaining(entries: DataFrame, roots: DataFrame | None, done: DataFrame) ->
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links)."""
     rows, roots = link_classes(docs)
-    if roots is None:
-        ids = rows.withColumn("root", F.col("class"))
-    else:
-        ids = rows.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
+    ids = rows.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     ids = stored(docs.sparkSession, ids.select("doc_id", "n", "root"), "ids")
     # Components are named by an aggregation; the names return by a join that Spark can split.
     named = ids.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")).select(F.col("root").alias("of"), "least")
