@@ -10,7 +10,11 @@ lineage: a lost executor re-reads the files.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +83,17 @@ def total_chars(df: DataFrame, text: str) -> int:
     """Bytes of all texts (at least 1), for the choice of a number of blocks."""
     row = df.agg(F.sum(F.octet_length(F.col(text))).alias("n")).first()
     return max(1, int(row["n"] or 0))
+
+
+def text_slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text, one row at least.
+
+    Parts are copies: Arrow's string kernels misread arrays that begin inside
+    their buffers.
+    """
+    size = pc.binary_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+    part = (np.cumsum(size) - size) // most
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if a < b:
+            yield batch.take(pa.array(np.arange(a, b)))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import stored, table, text_slices
 
 DEPTH = 4
 TOP = 2
@@ -57,7 +57,7 @@ def bundles(docs: DataFrame, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
         for batch in batches:
             text = pc.ascii_lower(batch["text"].cast(pa.large_string()).fill_null(""))
             folded = pa.RecordBatch.from_arrays([batch["doc_id"], text, batch["held_out"]], names=["doc_id", "text", "held_out"])
-            for piece in _slices(folded, SLICE_BYTES):
+            for piece in text_slices(folded, SLICE_BYTES):
                 rows.append(piece)
                 held += pc.sum(pc.binary_length(piece["text"])).as_py() + 64 * piece.num_rows
                 if held >= bundle_bytes:
@@ -69,17 +69,6 @@ def bundles(docs: DataFrame, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(run, "bundle string, blob binary")
 
 
-def _slices(batch: pa.RecordBatch, most: int):
-    first, held = 0, 0
-    for i, n in enumerate(pc.binary_length(batch["text"]).to_pylist()):
-        held += n + 64
-        if held >= most:
-            yield batch.slice(first, i + 1 - first)
-            first, held = i + 1, 0
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 def _bundle(name: str, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:

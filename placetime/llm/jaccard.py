@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, stored, table
+from .common import cut, stored, table, text_slices
 from .graph import components
 
 WORDS = 5
@@ -84,17 +84,6 @@ def shingle_sets(text: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def _slices(batch: pa.RecordBatch, most: int = SLICE):
-    first, held = 0, 0
-    for i, n in enumerate(pc.binary_length(batch["text"]).fill_null(0).to_pylist()):
-        held += n
-        if held >= most:
-            yield batch.slice(first, i + 1 - first)
-            first, held = i + 1, 0
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 def class_of(own: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(own.tobytes())
 
@@ -132,7 +121,7 @@ def hot_shingles(docs: DataFrame, most: int = HOT_LIST) -> tuple[np.ndarray, np.
     """
     def run(batches):
         for batch in batches:
-            for some in _slices(batch):
+            for some in text_slices(batch, SLICE):
                 key, n = np.unique(np.concatenate(shingle_sets(some["text"])), return_counts=True)
                 often = n >= HOT_LOCAL
                 yield pa.RecordBatch.from_arrays([pa.array(key[often].astype(np.int64)), pa.array(n[often].astype(np.int64))], names=["h", "c"])
@@ -161,7 +150,7 @@ def sets(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for some in _slices(batch):
+            for some in text_slices(batch, SLICE):
                 own = shingle_sets(some["text"])
                 yield pa.RecordBatch.from_arrays([
                     some["doc_id"], pa.array([len(x) for x in own], pa.int64()), pa.array([class_of(x) for x in own], pa.binary()),
@@ -219,7 +208,7 @@ def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
 
     def run(batches):
         for batch in batches:
-            for some in _slices(batch):
+            for some in text_slices(batch, SLICE):
                 own = shingle_sets(some["text"])
                 names = [class_of(x) for x in own]
                 keep = pa.array([x == y for x, y in zip(names, some["wanted"].to_pylist(), strict=True)], pa.bool_())

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_slices
 
 HELD_OUT_OF = 5
 SAMPLE_DOCS = 1000
@@ -225,17 +225,6 @@ def fit(examples: list[tuple[str, str]], seed: int = 7) -> Model:
 
 # --- scoring -----------------------------------------------------------------
 
-def _slices(batch: pa.RecordBatch, most: int = 6 << 20):
-    first, held = 0, 0
-    for i, n in enumerate(pc.binary_length(batch["text"]).fill_null(0).to_pylist()):
-        held += n
-        if held >= most:
-            yield batch.slice(first, i + 1 - first)
-            first, held = i + 1, 0
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score, and words per language (a map) of every row."""
     names = list(model.labels)
@@ -244,7 +233,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for some in _slices(batch):
+            for some in text_slices(batch, 6 << 20):
                 text = some["text"].cast(pa.large_string()).fill_null("")
                 known = pc.match_substring_regex(text, r"\pL").to_numpy(zero_copy_only=False)
                 total = np.zeros((len(text), len(names)))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import stored, table, text_slices
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids binary, part long, nth long"
@@ -116,7 +116,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
             _LOADED[path] = Ids(path)
         seen, part = defaultdict(int), TaskContext.get().partitionId()
         for batch in batches:
-            for some in _slices(batch):
+            for some in text_slices(batch, 8 << 20):
                 flat, ends = _LOADED[path].of(some["text"])
                 rows, first = [], 0
                 for doc_id, last in zip(some["doc_id"].to_pylist(), ends.tolist(), strict=True):
@@ -132,18 +132,6 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 
 
-def _slices(batch: pa.RecordBatch, most: int = 8 << 20):
-    """Parts of a batch with about ``most`` bytes of text, one row at least."""
-    first, held = 0, 0
-    for i, n in enumerate(pc.binary_length(batch["text"]).fill_null(0).to_pylist()):
-        held += n
-        if held >= most:
-            yield batch.slice(first, i + 1 - first)
-            first, held = i + 1, 0
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """Runs (length, first rank, end rank, first sequence, offset) for pieces of given lengths."""
     left = {n: c for n, c in counts.items() if c > 0}

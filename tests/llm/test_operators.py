@@ -536,3 +536,14 @@ def test_mtree_skips_by_bounds():
     tree.search(q, evaluate, 1e-9)
     best = set(np.argsort(((points - q) ** 2).sum(1))[:10].tolist())
     assert best <= set(seen) and len(seen) < len(points) / 3
+
+
+def test_text_slices_are_whole_and_readable():
+    import pyarrow.compute as pc
+
+    texts = [None, "É" * 50, "", "Ab…c " * 40, None, "ß x" * 100, "Z"] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(common.text_slices(batch.slice(1), 500))
+    assert len(parts) > 5 and [x for p in parts for x in p["doc_id"].to_pylist()] == list(range(1, len(texts)))
+    folded = [x for p in parts for x in pc.ascii_lower(p["text"].cast(pa.large_string()).fill_null("")).to_pylist()]
+    assert folded == [(t or "").encode().lower().decode() for t in texts[1:]]
