@@ -11,6 +11,8 @@ the set sizes.
    n - ceil(0.8 n) + 1 elements of each in any common order.  Only these
    entries of the incidence are shuffled.  The order puts frequent shingles
    last (frequent by a bounded list, which affects cost, never results).
+   The classes of a row that have too few shared entries to reach the overlap
+   their sizes ask for are left out of its pairs.
 3. Within an n-gram's row of classes, ordered by how many of their entries are
    shared, each class is first paired with the first one and with its
    neighbour of next size: as many pairs as rows.  Shared entries are counted
@@ -166,6 +168,17 @@ def _sizes_fit(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+def _may_link(shared, a: str, b: str):
+    """Whether sets of sizes ``a`` and ``b`` can link that share ``shared`` prefix entries.
+
+    Of the two prefixes one ends first in the common order; none of its
+    elements stand behind the other's prefix.  So the overlap is at most the
+    shared entries and the rest of that set behind its prefix.
+    """
+    rest = F.ceil(F.greatest(a, b) * PERCENT / 100) - 1
+    return (shared + rest) * (100 + PERCENT) >= (F.col(a) + F.col(b)) * PERCENT
+
+
 def _bounded(pairs: DataFrame, maps: DataFrame) -> DataFrame:
     """Pairs (a, b, shared) that the bitmaps don't rule out, with that bound."""
     side = lambda x: maps.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("bitmap").alias(f"map_{x}"))
@@ -273,23 +286,28 @@ def _first_pairs(entries: DataFrame) -> DataFrame:
     """
     head = Window.partitionBy("gram").orderBy(F.desc("degree"), "class")
     size = Window.partitionBy("gram").orderBy("n", "class")
-    ends = F.struct("class", "n")
-    near = entries.select("class", "n", F.first(ends).over(head).alias("head"), F.lag(ends).over(size).alias("next"))
-    both = near.select("class", "n", F.explode(F.array("head", "next")).alias("to")).where("to is not null and to.class <> class")
-    both = both.where(_sizes_fit("n", "to.n"))
+    ends = F.struct("class", "n", "degree")
+    near = entries.select("class", "n", "degree", F.first(ends).over(head).alias("head"), F.lag(ends).over(size).alias("next"))
+    both = near.select("class", "n", "degree", F.explode(F.array("head", "next")).alias("to")).where("to is not null and to.class <> class")
+    both = both.select("class", "n", "degree", "to", F.col("to.n").alias("to_n"))
+    both = both.where(_sizes_fit("n", "to_n") & _may_link(F.least("degree", "to.degree"), "n", "to_n"))
     return both.select(F.least("class", "to.class").alias("a"), F.greatest("class", "to.class").alias("b")).groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("shared"))
 
 
 def _remaining(entries: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
     """The rest of the product: pairs of a row in different components that were not tested."""
-    rows = entries.join(roots, F.col("class") == F.col("node")).select("gram", "class", "n", "root")
+    rows = entries.join(roots, F.col("class") == F.col("node")).select("gram", "class", "n", "degree", "root")
     mixed = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("gram").alias("g"))
     rows = cut(rows.join(mixed, F.col("gram") == F.col("g"), "left_semi"))
-    x = rows.select("gram", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    y = rows.select(F.col("gram").alias("g"), F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    pairs = x.join(y, (F.col("gram") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sizes_fit("n_a", "n_b"))
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")).join(done.select("a", "b"), ["a", "b"], "left_anti")
+    x = rows.select("gram", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("degree").alias("d_a"), F.col("root").alias("root_a"))
+    y = rows.select(F.col("gram").alias("g"), F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("degree").alias("d_b"), F.col("root").alias("root_b"))
+    # A pair shares at most the shared entries of either class; once counted, what it does share.
+    pairs = x.join(y, (F.col("gram") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+                   & _sizes_fit("n_a", "n_b") & _may_link(F.least("d_a", "d_b"), "n_a", "n_b"))
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    pairs = pairs.where(_may_link(F.col("shared"), "n_a", "n_b")).select("a", "b", "shared")
+    return pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def join(docs: DataFrame) -> DataFrame:
