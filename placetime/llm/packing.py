@@ -52,7 +52,7 @@ class Ids(dict):
     when it is full, which bounds a worker's memory and changes no result.
     """
 
-    MOST, JOINED = 1_500_000, 256
+    MOST, JOINED = 500_000, 256
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
