@@ -18,7 +18,7 @@ the set sizes.
    neighbour of next size: as many pairs as rows.  Shared entries are counted
    per pair; pairs fall by size, and by a bound from hashed bitmaps: each
    cell set in one and not in the other is an element not shared.
-4. Remaining pairs are verified on the full sets, in waves of one pair per
+4. Remaining pairs are verified on the full sets, in waves of a few pairs per
    class at most; classes in one component need no further pair.
 5. The product is then completed: all pairs of a row whose classes are in
    different components, minus the verified ones, go through the same bounds
@@ -235,10 +235,10 @@ def _waves(pairs: DataFrame, full: DataFrame, roots: DataFrame) -> DataFrame:
     """Verify ``pairs`` until each is verified or within one component of
     ``roots`` (node, root); returns the components after that.
 
-    A wave tests the most promising pairs of each class: one, then 4, 16, ...
+    A wave tests the most promising pairs of each class: 8, then 256, ...
     Links join components, so the graph to be closed is that of their roots.
     """
-    left, most = pairs, 1
+    left, most = pairs, 8
     best = Window.partitionBy("b").orderBy(F.desc("bound"), "a")
     while True:
         of = lambda x: roots.select(F.col("node").alias(f"node_{x}"), F.col("root").alias(f"root_{x}"))
@@ -251,7 +251,7 @@ def _waves(pairs: DataFrame, full: DataFrame, roots: DataFrame) -> DataFrame:
         joined = components(now.select(F.col("root_a").alias("u"), F.col("root_b").alias("v")))
         joined = joined.select(F.col("node").alias("old"), F.col("root").alias("new"))
         roots = cut(roots.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")))
-        left, most = left.where(F.col("turn") > most).select("a", "b", "bound"), most * 4
+        left, most = left.where(F.col("turn") > most).select("a", "b", "bound"), most * 32
 
 
 def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
