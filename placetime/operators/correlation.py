@@ -54,22 +54,19 @@ def correlation_frame(df: DataFrame, hour: str, lat: str, lon: str, day: str, ba
 def corr_matrix(feats: DataFrame, features: Sequence[str] = CORR_FEATURES) -> DataFrame:
     """Long (feature_a, feature_b, r) for every ordered pair, diagonal included.
 
-    One aggregate of plain sums over the valid rows: n, sum(x_i) and
-    sum(x_i * x_j), with every feature shifted by its first finite value in
-    the valid rows of a bounded prefix (one small job, no filter).  The shift keeps the sums free of cancellation
-    for values far from zero; sums have small update code, so the one pass
-    stays cheap per row.  Listwise deletion is applied inside the sums
-    (``when(_valid, x)``): a row filter would be pushed below the feature
-    projection with every feature expression inlined into it.
+    Two aggregates over all rows: the mean of each feature over its valid
+    finite values, then n, sum(x_i) and sum(x_i * x_j) of the features shifted
+    by these means, which keeps the sums free of cancellation for values far
+    from zero.  Listwise deletion is applied inside the sums (``when(_valid,
+    x)``): a row filter would be pushed below the feature projection with
+    every feature expression inlined into it.  The pairs are unpivoted with
+    their raw sums and r is computed once per pair row.
     """
     names = list(features)
     k = len(names)
     ok = F.col("_valid") if "_valid" in feats.columns else F.lit(True)
-    # Each feature's shift: its first finite value among the valid rows of a
-    # bounded prefix (the rows the sums use; nulls and NaN skipped).  The
-    # condition sits inside the aggregate, not in a pushed-down filter.
-    finite = [F.when(ok & ~F.isnan(F.col(f"`{f}`")), F.col(f"`{f}`")) for f in names]
-    ref = feats.limit(1000).agg(*[F.first(c, ignorenulls=True).alias(f"f{i}") for i, c in enumerate(finite)]).first()
+    finite = [F.when(ok & ~F.isnan(F.col(f"`{f}`")) & (F.abs(F.col(f"`{f}`")) < F.lit(float("inf"))), F.col(f"`{f}`")) for f in names]
+    ref = feats.agg(*[F.avg(c).alias(f"f{i}") for i, c in enumerate(finite)]).first()
     shift = [float(ref[f"f{i}"]) if ref is not None and ref[f"f{i}"] is not None else 0.0 for i in range(k)]
     x = [F.when(ok, F.col(f"`{f}`") - F.lit(shift[i])) for i, f in enumerate(names)]
     aggs = [F.count(F.when(ok, F.lit(1))).cast("double").alias("n")]
@@ -77,19 +74,20 @@ def corr_matrix(feats: DataFrame, features: Sequence[str] = CORR_FEATURES) -> Da
     aggs += [F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k)]
     one = feats.agg(*aggs)
 
-    def cov(i: int, j: int):
-        lo, hi = min(i, j), max(i, j)
-        n = F.col("n")
-        return F.col(f"p{lo}_{hi}") / n - (F.col(f"s{lo}") / n) * (F.col(f"s{hi}") / n)
-
-    sd = [F.sqrt(F.greatest(cov(i, i), F.lit(0.0))) for i in range(k)]
     structs = []
     for i, a in enumerate(names):
         for j, b in enumerate(names):
-            structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                    F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                    F.try_divide(cov(i, j), sd[i] * sd[j]).alias("r")))
-    return one.select(F.inline(F.array(*structs)))
+            sums = {"si": f"s{i}", "sj": f"s{j}", "pij": f"p{min(i, j)}_{max(i, j)}", "pii": f"p{i}_{i}", "pjj": f"p{j}_{j}"}
+            structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.lit(i).alias("i"), F.lit(j).alias("j"),
+                                    F.col("n"), *[F.col(c).alias(v) for v, c in sums.items()]))
+    pairs = one.select(F.inline(F.array(*structs)))
+
+    def cov(p: str, s: str, t: str):
+        return F.col(p) / F.col("n") - (F.col(s) / F.col("n")) * (F.col(t) / F.col("n"))
+
+    sd = F.sqrt(F.greatest(cov("pii", "si", "si"), F.lit(0.0))) * F.sqrt(F.greatest(cov("pjj", "sj", "sj"), F.lit(0.0)))
+    r = F.when(F.col("n") > 0, F.try_divide(cov("pij", "si", "sj"), sd))
+    return pairs.select("feature_a", "feature_b", "i", "j", r.alias("r"))
 
 
 def strongest_pairs(matrix: DataFrame, k: int = 5, pos: str = "pos") -> DataFrame:

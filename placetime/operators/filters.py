@@ -9,7 +9,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..roles import ColumnRoles, FilterSpec
@@ -22,9 +23,13 @@ MAX_INLINE_VALUES = 1000
 
 def validate_pattern(pattern: str) -> str:
     """Reject a malformed regular expression before a job fails on it."""
+    session = SparkSession.getActiveSession()
     try:
-        re.compile(pattern)
-    except re.error as exc:
+        if session is None:
+            re.compile(pattern)
+        else:  # the dialect of the executors
+            session._jvm.java.util.regex.Pattern.compile(pattern)
+    except (re.error, IllegalArgumentException) as exc:
         raise ValueError(f"Invalid search pattern {pattern!r}: {exc}") from exc
     return pattern
 

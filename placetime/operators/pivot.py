@@ -40,7 +40,7 @@ def heatmap_normalized(df: DataFrame, category: str, hour: str, value: str = "va
     """
     from .joins import materialize_small
 
-    cells = materialize_small(pivot_long(df, category, hour))
+    cells = materialize_small(pivot_long(df.where(F.col(hour).isNotNull()), category, hour))
     present = cells.select(F.sort_array(F.collect_set(F.col(hour)))).scalar()
     per_cat = cells.groupBy(category).agg(
         F.sum(N).alias("_total"), F.max(N).alias("_max"),

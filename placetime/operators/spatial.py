@@ -51,7 +51,9 @@ def density_grid(df: DataFrame, x: str, y: str, bins: int = GRID_BINS) -> DataFr
     The extents are one aggregate row, fetched once and used as literals
     (a scalar subquery would be re-run for every reference to it).
     """
-    pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    # NaN and infinity would stretch the extents: a point needs two finite coordinates.
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+    pts = df.where(finite(x) & finite(y))
     ext = pts.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")).first()
     if ext is None or ext["x0"] is None:
         return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, n long")
@@ -190,7 +192,7 @@ KMEANS_RESTARTS = 10
 
 
 def fit_kmeans(df: DataFrame, lat: str, lon: str, k: int, seed: int = 42, restarts: int = KMEANS_RESTARTS,
-               max_iter: int = 20, parallel: int = 4) -> ClusterFit:
+               max_iter: int = 300, parallel: int = 4) -> ClusterFit:
     """K-means on (lat, lon) with several seeds; the lowest cost wins (ties:
     the lowest seed).
 

@@ -120,7 +120,7 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
 
             outputs["predictions"] = res.predictions
             outputs["confusion"] = metrics.confusion_matrix(res.predictions, classes=res.classes)
-            outputs["report"] = metrics.classification_report(res.predictions, classes=res.classes)
+            outputs["report"] = metrics.classification_report(res.predictions)
             outputs["importance"] = ml.feature_importance(spark, res)
     paths = {}
     for name, table in outputs.items():
