@@ -5,9 +5,11 @@ topologically by their dependencies; arguments are checked against the
 schema of their tool; each linked call is serialised as canonical JSON (keys
 sorted, no blanks, text unescaped).
 
-Ordering proceeds in rounds over the whole table: a round gives a level to
-every call whose parents all have one.  No conversation is gathered in a task,
-so one that holds a third of all rows is only more rows of the same joins.
+Ordering works on the whole table: calls with one parent double their pointers
+until these reach a call with none or several, so a chain takes as many rounds
+as the logarithm of its length; then a round gives a level to every call with
+several parents whose parents all have one.  No conversation is gathered in a
+task, so one that holds a third of all rows is only more rows of the same joins.
 
 Defined results: a null id links with nothing; of several results of a call
 that with the smallest (turn, content) counts; a dependency on an id that does
@@ -73,25 +75,63 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
 
 def order(calls: DataFrame) -> DataFrame:
     """call_id, level (0 without parents, else one above the highest parent), missing parents."""
-    nodes = calls.where("call_id is not null").select("call_id").distinct()
-    edges = calls.where("call_id is not null").select("call_id", F.explode("parents").alias("parent")).distinct()
+    given = calls.where("call_id is not null")
+    nodes = given.select("call_id").distinct()
+    edges = given.select("call_id", F.explode("parents").alias("parent")).distinct()
     known = edges.join(nodes.select(F.col("call_id").alias("there")), F.col("parent") == F.col("there"), "left")
     known = stored(calls.sparkSession, known, "edges")
     missing = known.where("there is null").groupBy("call_id").agg(F.count(F.lit(1)).alias("missing"))
-    open_edges = cut(known.where("there is not null").select("call_id", "parent"))
-    waiting = open_edges.select("call_id").distinct()
-    levels = [cut(nodes.join(waiting, "call_id", "left_anti").withColumn("level", F.lit(0).cast("long")))]
-    while not levels[-1].isEmpty():
-        done = levels[-1].select(F.col("call_id").alias("done"))
-        rest = cut(open_edges.join(done, F.col("parent") == F.col("done"), "left_anti"))
-        ready = open_edges.select("call_id").distinct().join(rest.select("call_id").distinct(), "call_id", "left_anti")
-        levels.append(cut(ready.withColumn("level", F.lit(len(levels)).cast("long"))))
-        open_edges = rest
-    placed = levels[0]
-    for more in levels[1:]:
-        placed = placed.unionByName(more)
-    return nodes.join(placed, "call_id", "left").join(missing, "call_id", "left").select(
-        "call_id", "level", F.coalesce("missing", F.lit(0)).cast("long").alias("missing"))
+    inner = known.where("there is not null").select("call_id", "parent")
+    counts = cut(inner.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("parent")))
+    kinds = counts.select(F.col("call_id").alias("of"), F.col("n").alias("many"))
+    chains = _chains(counts, kinds)
+    levels = chains.where("many = 0").select("call_id", F.col("steps").alias("level"))
+    meets = inner.join(kinds.where("many > 1").select("of"), F.col("call_id") == F.col("of"), "left_semi")
+    if not meets.isEmpty():
+        met = _meets(meets, kinds, chains)
+        base = met.select(F.col("call_id").alias("of"), F.col("level").alias("base"))
+        above = chains.where("many > 1").join(base, F.col("to") == F.col("of"))
+        levels = levels.unionByName(met).unionByName(above.select("call_id", (F.col("base") + F.col("steps")).alias("level")))
+    out = nodes.join(levels, "call_id", "left").join(kinds, F.col("call_id") == F.col("of"), "left").join(missing, "call_id", "left")
+    level = F.when(F.col("of").isNull(), F.lit(0)).otherwise(F.col("level")).cast("long")
+    return out.select("call_id", level.alias("level"), F.coalesce("missing", F.lit(0)).cast("long").alias("missing"))
+
+
+def _chains(counts: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Per call with one parent: its nearest ancestor ``to`` with none or several (``many``), and the steps there.
+
+    Each round doubles the steps of all open pointers.  Those still open once
+    the steps exceed the number of rows are on or after a cycle.
+    """
+    one = counts.where("n = 1").join(kinds, F.col("parent") == F.col("of"), "left")
+    now = cut(one.select("call_id", F.col("parent").alias("to"), F.lit(1).cast("long").alias("steps"), F.coalesce("many", F.lit(0)).alias("many")))
+    rows, reach = now.count(), 1
+    while reach <= rows and not now.where("many = 1").isEmpty():
+        further = now.select(F.col("call_id").alias("of"), F.col("to").alias("next"), F.col("steps").alias("more"), F.col("many").alias("then"))
+        jumped = now.where("many = 1").join(further, F.col("to") == F.col("of"))
+        jumped = jumped.select("call_id", F.col("next").alias("to"), (F.col("steps") + F.col("more")).alias("steps"), F.col("then").alias("many"))
+        now, reach = cut(now.where("many <> 1").unionByName(jumped)), 2 * reach
+    return now.where("many <> 1")
+
+
+def _meets(edges: DataFrame, kinds: DataFrame, chains: DataFrame) -> DataFrame:
+    """call_id and level of calls with several parents; a round places those whose parents all have a level."""
+    tops = chains.select(F.col("call_id").alias("chain"), "to", "steps", F.col("many").alias("top"))
+    rows = edges.join(kinds, F.col("parent") == F.col("of"), "left").join(tops, F.col("parent") == F.col("chain"), "left")
+    rows = cut(rows.select(
+        "call_id", F.when(F.col("many").isNull(), F.lit(0).cast("long")).when(F.col("top") == 0, F.col("steps")).alias("value"),
+        F.when(F.col("many") > 1, F.col("parent")).when(F.col("top") > 1, F.col("to")).alias("wait"),
+        F.coalesce("steps", F.lit(0)).cast("long").alias("steps")))
+    placed = None
+    while True:
+        all_known = rows.groupBy("call_id").agg(F.max("value").alias("value"), F.count_if(F.col("value").isNull()).alias("left"))
+        ready = cut(all_known.where("left = 0").select("call_id", (F.col("value") + 1).alias("level")))
+        placed = ready if placed is None else placed.unionByName(ready)
+        if ready.isEmpty():
+            return placed
+        base = ready.select(F.col("call_id").alias("of"), F.col("level").alias("base"))
+        rest = rows.join(ready.select("call_id"), "call_id", "left_anti").join(base, F.col("wait") == F.col("of"), "left")
+        rows = cut(rest.select("call_id", F.coalesce("value", F.col("base") + F.col("steps")).alias("value"), "wait", "steps"))
 
 
 def render(linked: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:

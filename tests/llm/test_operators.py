@@ -154,6 +154,24 @@ def test_toolcalls(spark):
     assert toolcalls.format_calls(calls.limit(0), results.limit(0)).count() == 0
 
 
+def test_toolcall_levels_match_brute_force(spark):
+    """Long chains, calls with several parents, cycles and what hangs from them."""
+    rng = random.Random(5)
+    parents = {f"c{i}": ([f"c{i - 1}"] if i % 40 else []) for i in range(120)}
+    parents |= {f"d{i}": rng.sample([*parents, *(f"d{j}" for j in range(i))], rng.choice([0, 1, 1, 2, 3])) for i in range(60)}
+    parents |= {"x": ["y"], "y": ["z"], "z": ["x"], "tail": ["x"], "self": ["self"], "both": ["tail", "c5"], "gone": ["nowhere", "c7"]}
+
+    def level(call, path=()):
+        if call in path:
+            return None
+        found = [level(p, (*path, call)) for p in parents[call] if p in parents]
+        return None if None in found else max(found, default=-1) + 1
+
+    calls = spark.createDataFrame([(k, v) for k, v in parents.items()], "call_id string, parents array<string>")
+    out = {r["call_id"]: (r["level"], r["missing"]) for r in toolcalls.order(calls).collect()}
+    assert out == {k: (level(k), sum(p not in parents for p in v)) for k, v in parents.items()}
+
+
 def test_toolcalls_query(spark):
     rows = common.table(spark, SF, "conversations").collect()
     users = {(r["conv_id"], r["turn"]) for r in rows if r["role"] == "user"}
