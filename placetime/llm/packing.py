@@ -52,7 +52,7 @@ class Ids(dict):
     when it is full, which bounds a worker's memory and changes no result.
     """
 
-    MOST, JOINED = 500_000, 256
+    MOST, JOINED = 300_000, 256
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -116,7 +116,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
             _LOADED[path] = Ids(path)
         seen, part = defaultdict(int), TaskContext.get().partitionId()
         for batch in batches:
-            for some in text_slices(batch, 8 << 20):
+            for some in text_slices(batch, 4 << 20):
                 flat, ends = _LOADED[path].of(some["text"])
                 rows, first = [], 0
                 for doc_id, last in zip(some["doc_id"].to_pylist(), ends.tolist(), strict=True):
@@ -217,6 +217,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    pieces = stored(docs.sparkSession, tokenize(docs, default_tokenizer()), "pieces")
-    light = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "nth")
-    return place(light).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    """The placed pieces with a checksum instead of their ids; the ids are hashed before the table is written."""
+    pieces = tokenize(docs, default_tokenizer()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    placed = place(stored(docs.sparkSession, pieces, "pieces"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
