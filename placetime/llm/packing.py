@@ -18,6 +18,7 @@ the text; repeated rows are packed one by one; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 from bisect import bisect_left, insort
 from collections import defaultdict
 
@@ -55,6 +56,8 @@ class Ids(dict):
     MOST, JOINED = 300_000, 256
 
     def __init__(self, path: str):
+        # A task has one core, and threads of its own would only leave it scattered memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -128,6 +131,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
                         seen[n] += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 
