@@ -31,20 +31,15 @@ def _small(links: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (u, v); root is the least node of its component."""
-    now = cut(links.select("u", "v").where("u <> v").distinct())
-    mark = _mark(now)
-    while mark[0]:
+    now = cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+    while not _stars(now):
         now = cut(_small(_large(now)))
-        # Stars to the least node are the fixed point.
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _mark(links: DataFrame) -> tuple[int, int]:
-    """Number of links and a sum of their hashes, equal for equal tables."""
-    h = F.xxhash64("u", "v")
-    row = links.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(20,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _stars(links: DataFrame) -> bool:
+    """Whether each node points to one smaller node that itself points to none: the fixed point."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()

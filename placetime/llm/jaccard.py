@@ -235,10 +235,10 @@ def _waves(pairs: DataFrame, full: DataFrame, roots: DataFrame) -> DataFrame:
     """Verify ``pairs`` until each is verified or within one component of
     ``roots`` (node, root); returns the components after that.
 
-    A wave tests the most promising pairs of each class: 8, then 256, ...
+    A wave tests the most promising pairs of each class: 64, then 2048, ...
     Links join components, so the graph to be closed is that of their roots.
     """
-    left, most = pairs, 8
+    left, most = pairs, 64
     best = Window.partitionBy("b").orderBy(F.desc("bound"), "a")
     while True:
         of = lambda x: roots.select(F.col("node").alias(f"node_{x}"), F.col("root").alias(f"root_{x}"))
