@@ -15,7 +15,6 @@ from .features import (
     pair_label,
     time_band,
     time_code,
-    to_number,
 )
 from .hashing import keyed_bits, keyed_choice, keyed_int, keyed_range, keyed_uniform
 
@@ -39,5 +38,4 @@ __all__ = [
     "pair_label",
     "time_band",
     "time_code",
-    "to_number",
 ]

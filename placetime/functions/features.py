@@ -36,16 +36,6 @@ def literal_map(mapping: dict) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
 
 
-def to_number(c: str | Column) -> Column:
-    """Numeric coercion with bad values as null (``to_numeric(errors="coerce")``).
-
-    Text that is not a number, NaN and +-infinity all become null (Spark
-    orders NaN above +infinity, so ``abs(x) < inf`` rejects all three).
-    """
-    x = _as_col(c).try_cast("double")
-    return F.when(F.abs(x) < F.lit(float("inf")), x)
-
-
 def is_number(c: str | Column) -> Column:
     """True when ``c`` coerces to a finite number (false for null, text, NaN)."""
     return F.coalesce(F.abs(_as_col(c).try_cast("double")) < F.lit(float("inf")), F.lit(False))

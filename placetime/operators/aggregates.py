@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..roles import SUMMARY_METRICS
 from .joins import complete_domain, hour_domain
-from .sort import rank_small
+from .sort import rank_small, with_position
 
 N = "n"
 
@@ -32,7 +32,7 @@ def category_counts(df: DataFrame, category: str, name: str = N) -> DataFrame:
 
 def ranked_counts(df: DataFrame, category: str, name: str = N, pos: str = "pos") -> DataFrame:
     counts = category_counts(df, category, name)
-    return rank_small(counts, [F.col(name).desc(), F.col(category).asc()], pos)
+    return with_position(counts, [F.col(name).desc(), F.col(category).asc()], pos)
 
 
 def top_k(df: DataFrame, category: str, k: int, name: str = N, pos: str = "pos") -> DataFrame:
@@ -45,12 +45,17 @@ def top_k(df: DataFrame, category: str, k: int, name: str = N, pos: str = "pos")
 def category_share(df: DataFrame, category: str, name: str = N, share: str = "share") -> DataFrame:
     """Count and share of all rows per category (value_counts(normalize)).
 
-    The total is summed over the per-category table (one row per category),
-    so the rows are scanned once.
+    The total is a scalar over the per-category table, which is computed once.
     """
-    counts = category_counts(df, category, name)
-    total = F.sum(name).over(Window.partitionBy())
-    return counts.withColumn(share, F.try_divide(F.col(name).cast("double"), total))
+    return share_of_counts(category_counts(df, category, name), name, share)
+
+
+def share_of_counts(counts: DataFrame, name: str = N, share: str = "share") -> DataFrame:
+    """Add each row's share of the sum of counts."""
+    from .joins import materialize_small
+
+    counts = materialize_small(counts)
+    return counts.withColumn(share, F.try_divide(F.col(name).cast("double"), counts.agg(F.sum(name)).scalar()))
 
 
 def top_k_share(df: DataFrame, category: str, k: int = 10, name: str = N, share: str = "share",
@@ -154,19 +159,20 @@ def centroid(df: DataFrame, lat: str, lon: str) -> DataFrame:
 
 
 def distinct_sorted(df: DataFrame, column: str, pos: str = "pos") -> DataFrame:
-    """Sorted distinct values (bounded: categories or hours)."""
-    return rank_small(df.select(column).distinct(), [F.col(column).asc()], pos)
+    """Sorted distinct values."""
+    return with_position(df.select(column).distinct(), [F.col(column).asc()], pos)
 
 
 def row_stats(df: DataFrame, category: str, hour: str, lat: str, lon: str) -> DataFrame:
     """Row count, distinct categories, min/max hour, distinct points and the
-    smallest class size, in one job (the distinct parts shuffle by value)."""
+    smallest class size.  Categories and classes come from the category counts;
+    only the points are counted as distinct rows, so no row is doubled."""
     base = df.agg(
         _count().alias("n_rows"),
-        F.count_distinct(category).alias("n_categories"),
         F.min(hour).alias("min_hour"),
         F.max(hour).alias("max_hour"),
         F.count_distinct(lat, lon).alias("n_points"),
     )
-    min_class = category_counts(df, category).select(F.min(N)).scalar()
-    return base.withColumn("min_class", min_class)
+    classes = category_counts(df, category).agg(F.count(category).alias("k"), F.min(N).alias("m"))
+    both = classes.select(F.struct("k", "m")).scalar()
+    return base.withColumns({"n_categories": both["k"], "min_class": both["m"]})

@@ -22,7 +22,7 @@ from ..functions.features import (
     time_band,
 )
 from ..roles import DAY_COLUMN_ALIASES, DAY_NAMES, TIME_BANDS, ColumnRoles
-from ..sources.schema import find_first_existing_column
+from ..sources.schema import aliased_column
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:
@@ -35,21 +35,23 @@ def drop_nulls(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.na.drop(how="any", subset=list(subset))
 
 
-def coerce_incidents(df: DataFrame, roles: ColumnRoles) -> DataFrame:
+def coerce_incidents(df: DataFrame, roles: ColumnRoles, keep_missing: bool = True) -> DataFrame:
     """Category as string, coordinates and hour as numbers (bad -> null),
-    rows missing any of the four dropped, hour truncated and clipped to 0..23.
+    rows missing a number dropped, hour truncated and clipped to 0..23.
 
-    Deviation: a missing category stays null and is dropped (pandas turns it
-    into the text ``'None'`` first); +-infinity is dropped instead of failing.
+    A missing category becomes the text ``None`` (``keep_missing=False``
+    drops the row).  Deviation: +-infinity is dropped instead of failing.
     """
     c, la, lo, h = roles.category, roles.lat, roles.lon, roles.hour
     # Validate the raw values first, then convert: each input is read once
     # by the filter and once by the projection (a filter on the converted
     # columns would be pushed below the projection with every conversion
     # inlined into it).
-    valid = F.col(c).isNotNull() & is_number(la) & is_number(lo) & is_number(h)
+    valid = is_number(la) & is_number(lo) & is_number(h)
+    if not keep_missing:
+        valid = F.col(c).isNotNull() & valid
     return df.where(valid).withColumns({
-        c: F.col(c).cast("string"),
+        c: F.coalesce(F.col(c).cast("string"), F.lit("None")),
         la: F.col(la).try_cast("double"),
         lo: F.col(lo).try_cast("double"),
         h: clip_hour(F.col(h).try_cast("double")),
@@ -59,7 +61,7 @@ def coerce_incidents(df: DataFrame, roles: ColumnRoles) -> DataFrame:
 def day_column(df: DataFrame, roles: ColumnRoles) -> str | None:
     if roles.day and roles.day in df.columns:
         return roles.day
-    return find_first_existing_column(df.columns, DAY_COLUMN_ALIASES)
+    return aliased_column(df.columns, DAY_COLUMN_ALIASES)
 
 
 def complete_day(df: DataFrame, roles: ColumnRoles, day_seed: str = "day", out: str = "day") -> DataFrame:

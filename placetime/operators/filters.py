@@ -17,9 +17,6 @@ from ..roles import ColumnRoles, FilterSpec
 from ..sources.schema import string_columns
 from .clean import coerce_incidents
 
-# Category lists longer than this become a broadcast semi join, not IN (...).
-MAX_INLINE_VALUES = 1000
-
 
 def validate_pattern(pattern: str) -> str:
     """Reject a malformed regular expression before a job fails on it."""
@@ -83,8 +80,8 @@ def first_string_match(df: DataFrame, term: str, case_sensitive: bool = True,
 def category_filter(df: DataFrame, column: str, selected: Sequence[str] | DataFrame | None) -> DataFrame:
     """Multi-select: keep listed categories; an empty selection keeps none.
 
-    ``None`` keeps everything.  A long list (or a DataFrame of values) is
-    applied as a broadcast left-semi join instead of a giant IN list.
+    ``None`` keeps everything.  A list is a set lookup in the filter,
+    whatever its length; a DataFrame of values is a left-semi join.
     """
     if selected is None:
         return df
@@ -96,9 +93,6 @@ def category_filter(df: DataFrame, column: str, selected: Sequence[str] | DataFr
     values = list(selected)
     if not values:
         return df.where(F.lit(False))
-    if len(values) > MAX_INLINE_VALUES:
-        vals = df.sparkSession.createDataFrame([(v,) for v in values], [column])
-        return df.join(F.broadcast(vals), column, "left_semi")
     return df.where(F.col(column).isin(values))
 
 

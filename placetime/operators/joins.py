@@ -2,8 +2,8 @@
 
 The reference aligns pandas indexes; in Spark that is a join.  Row tables
 grow with the data, aggregated lookups (one row per category, hour, cluster)
-do not.  ``join_small`` broadcasts a lookup only after checking its row
-count, and falls back to a shuffle join (with AQE skew splitting) beyond the
+do not.  ``join_small`` broadcasts a lookup only after checking its size
+in bytes, and falls back to a shuffle join (with AQE skew splitting) beyond the
 bound, so a hot key never lands whole in one task.
 """
 
@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Lookups up to this many rows are broadcast (a few MB for a category table).
-MAX_BROADCAST_ROWS = 200_000
+# Lookups up to this many bytes are broadcast.
+MAX_BROADCAST_BYTES = 16 << 20
 
 
 def materialize_small(df: DataFrame) -> DataFrame:
@@ -32,16 +32,23 @@ def materialize_small(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's number of shuffle partitions, for data that a fit reads many times."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join an aggregated lookup to row data, broadcasting it when it is small.
 
-    The lookup is materialised once and counted; the count is the size check
-    behind the broadcast.
+    The lookup is materialised once and measured: the bytes of its texts, and 16
+    for any other value.
     """
     small = materialize_small(small)
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
+    width = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if f.dataType.typeName() == "string" else F.lit(16)
+                 for f in small.schema.fields), F.lit(0))
+    size = small.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("b")).first()["b"]
+    side = F.broadcast(small) if size <= max_bytes else small
     return big.join(side, on, how)
 
 
@@ -55,13 +62,6 @@ def complete_domain(counts: DataFrame, domain: DataFrame, key: str | Sequence[st
     """Left-join aggregated values onto a fixed domain and fill the gaps.
 
     ``counts`` must already be aggregated to at most one row per domain
-    value, so its size is bounded by the domain and it is broadcast.
+    value; the planner picks the join by their sizes.
     """
-    return domain.join(F.broadcast(counts), key, "left").na.fill(fill)
-
-
-def lookup(c, mapping: dict):
-    """Series.map(dict) for a small literal dict: a map literal in the plan."""
-    from ..functions.features import literal_map
-
-    return F.try_element_at(literal_map(mapping), c)
+    return domain.join(counts, key, "left").na.fill(fill)

@@ -22,16 +22,6 @@ def cell_counts(pred: DataFrame, label: str = "label", prediction: str = "predic
         F.count(F.lit(1)).alias("n"))
 
 
-def class_list(pred: DataFrame, label: str = "label", prediction: str = "prediction",
-               classes: Sequence[str] | None = None):
-    """Sorted classes as an array column (a scalar subquery over the cells)."""
-    if classes is not None:
-        return F.array(*[F.lit(c) for c in sorted(classes)])
-    cells = cell_counts(pred, label, prediction)
-    both = cells.select(F.col("actual").alias("c")).union(cells.select(F.col("predicted").alias("c")))
-    return both.where(F.col("c").isNotNull()).select(F.sort_array(F.collect_set("c"))).scalar()
-
-
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                      classes: Sequence[str] | None = None) -> DataFrame:
     """(actual, predicted, n) over the full class x class grid, zeros included.

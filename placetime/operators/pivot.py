@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sort import rank_small
+from .sort import with_position
 
 N = "n"
 
@@ -45,7 +45,7 @@ def heatmap_normalized(df: DataFrame, category: str, hour: str, value: str = "va
     per_cat = cells.groupBy(category).agg(
         F.sum(N).alias("_total"), F.max(N).alias("_max"),
         F.map_from_entries(F.collect_list(F.struct(F.col(hour), F.col(N)))).alias("_cells"))
-    per_cat = rank_small(per_cat, [F.col("_total").desc(), F.col(category).asc()], order)
+    per_cat = with_position(per_cat, [F.col("_total").desc(), F.col(category).asc()], order)
     dense = per_cat.select(category, order, "_max", "_cells", F.explode(present).alias(hour))
     n = F.coalesce(F.element_at(F.col("_cells"), F.col(hour)), F.lit(0)).cast("long")
     return dense.select(category, hour, n.alias(N),

@@ -15,14 +15,6 @@ def replicate(df: DataFrame, n: int = 3, copy: str = "copy") -> DataFrame:
     return df.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(int(n)))))
 
 
-def union_copies(df: DataFrame, n: int = 3) -> DataFrame:
-    """The literal ``union`` form (n scans); kept for parity tests."""
-    out = df
-    for _ in range(int(n) - 1):
-        out = out.unionAll(df)
-    return out
-
-
 def simulate_place_time(df: DataFrame, roles: ColumnRoles, copy: str | None = "copy") -> DataFrame:
     """Draw latitude, longitude and hour per (key[, copy]) in the reference box.
 

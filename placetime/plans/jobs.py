@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -16,13 +17,14 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import clean, correlation, filters, ml, pivot, replicate, spatial
-from ..roles import LAT_LOW, LAT_WIDTH, LON_LOW, LON_WIDTH, ColumnRoles
+from ..functions.hashing import keyed_int
+from ..roles import LAT_LOW, LAT_WIDTH, LON_LOW, LON_WIDTH, NA_TOKENS, ColumnRoles, FilterSpec
 from ..session import scratch_path
 from ..sources import files
 from ..sources import fixtures as fxt
-from ..sources.schema import find_location_column, require_columns
+from ..sources.schema import place_column, require_columns
 from . import oracle as o
-from .registry import RAW_ROLES, ROLES, W, register
+from .registry import FIT_ROWS, RAW_ROLES, ROLES, W, register
 
 EXPORT_SCHEMA = "key long, category string, lat double, lon double, hour int"
 
@@ -38,7 +40,7 @@ class PrepareResult:
     location_column: str | None
 
 
-def prepare(df: DataFrame, roles: ColumnRoles, out_path: str, term: str = "Delhi", copies: int = 3,
+def prepare(df: DataFrame, roles: ColumnRoles, out_path: str, term: str, copies: int = 3,
             train: bool = True, location_keywords=None) -> PrepareResult:
     """scan -> drop nulls -> place filter -> replicate -> simulate place/time
     -> top categories -> train -> export.
@@ -50,7 +52,7 @@ def prepare(df: DataFrame, roles: ColumnRoles, out_path: str, term: str = "Delhi
     """
     require_columns(df, [roles.category, roles.key])
     data = clean.drop_any_null(df)
-    loc = find_location_column(data.columns, location_keywords) if location_keywords else find_location_column(
+    loc = place_column(data.columns, location_keywords) if location_keywords else place_column(
         data.columns)
     if loc:
         picked = filters.place_filter(data, loc, term)
@@ -79,7 +81,7 @@ FROM (SELECT key, category, CAST(c.range AS INTEGER) AS copy FROM incidents_plac
 def q_prepare_job(spark, d):
     src = fxt.incidents_place(spark, d).select("key", "category", "region", "nation")
     out = scratch_path(spark, f"prepare-{uuid.uuid4().hex}")
-    res = prepare(src, ROLES, out, term="AMERICA", train=False)
+    res = prepare(src, ROLES, out, term="AMERICA")
     return res.rows
 
 
@@ -87,7 +89,8 @@ def q_prepare_job(spark, d):
 # K1: analysis report
 # ---------------------------------------------------------------------------
 def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42, restarts: int = 10,
-                 preset: str = "small", train: bool = True) -> dict[str, str]:
+                 preset: str = "dashboard", train: bool = True,
+                 fit_rows: int | None = None) -> dict[str, str]:
     """clean -> cluster -> train -> correlation, hourly counts, summary,
     heatmap; one table per output under ``out_dir``.
 
@@ -99,6 +102,7 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
     clustered = clustered.persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession
     outputs: dict[str, DataFrame] = {}
+    paths: dict[str, str] = {}
     feats = correlation.correlation_frame(clustered, roles.hour, roles.lat, roles.lon, "day", "time_band",
                                           "cluster_id")
     outputs["correlation"] = correlation.corr_matrix(feats)
@@ -109,20 +113,21 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
     outputs["centers"] = spatial.centers_frame(spark, fit)
     outputs["clusters"] = spatial.cluster_summary(clustered, "cluster_id", roles.lat, roles.lon)
     if train:
-        res = ml.train_classifier(clustered, roles.category, roles.key, preset, seed=seed)
-        status = spark.createDataFrame([(res.ready, res.message, res.training_rows)],
-                                       "ready boolean, message string, training_rows long")
-        outputs["model_status"] = status
+        res = ml.train_classifier(clustered, roles.category, roles.key, preset, seed=seed, fit_rows=fit_rows)
+        outputs["model_status"] = ml.status_frame(spark, res)
         if res.prior is not None:
             outputs["prior"] = res.prior
         if res.ready:
             from ..operators import metrics
 
-            outputs["predictions"] = res.predictions
-            outputs["confusion"] = metrics.confusion_matrix(res.predictions, classes=res.classes)
-            outputs["report"] = metrics.classification_report(res.predictions)
+            # Scored once; the matrix and the report read the written rows.
+            path = f"{out_dir.rstrip('/')}/predictions"
+            files.write_table(res.predictions, path, "parquet")
+            paths["predictions"] = path
+            scored = spark.read.parquet(path)
+            outputs["confusion"] = metrics.confusion_matrix(scored, classes=res.classes)
+            outputs["report"] = metrics.classification_report(scored)
             outputs["importance"] = ml.feature_importance(spark, res)
-    paths = {}
     for name, table in outputs.items():
         path = f"{out_dir.rstrip('/')}/{name}"
         files.write_table(table, path, "parquet")
@@ -131,16 +136,40 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
     return paths
 
 
-@register("report_job")
+REPORT_SQL = W(o.INCIDENTS, o.HOURS) + """
+, c AS (SELECT hour, count(*) AS n FROM incidents GROUP BY hour)
+, h AS (SELECT hours.hour, coalesce(c.n, 0) AS n FROM hours LEFT JOIN c USING (hour))
+SELECT 'hourly' AS part, CAST(hour AS VARCHAR) AS item, CAST(n AS DOUBLE) AS value FROM h
+UNION ALL SELECT 'heatmap', a.category || ' ' || p.hour, CAST(count(i.key) AS DOUBLE)
+  FROM (SELECT DISTINCT category FROM incidents) a CROSS JOIN (SELECT DISTINCT hour FROM incidents) p
+  LEFT JOIN incidents i ON i.category = a.category AND i.hour = p.hour GROUP BY a.category, p.hour
+UNION ALL SELECT 'clusters', 'records', CAST(count(*) AS DOUBLE) FROM incidents
+UNION ALL SELECT 'correlation', 'hour vs latitude', round(CAST(corr(hour, lat) AS DOUBLE), 6) FROM incidents
+UNION ALL SELECT 'report', category, CAST(ceil(count(*) * 0.25::DOUBLE) AS DOUBLE) FROM incidents GROUP BY category
+UNION ALL SELECT 'confusion', 'rows', (SELECT sum(ceil(n * 0.25::DOUBLE)) FROM (SELECT count(*) AS n FROM incidents GROUP BY category))"""
+
+
+@register("report_job", REPORT_SQL)
 def q_report_job(spark, d):
+    """What SQL can state of the written tables, the trained forest's included."""
     out = scratch_path(spark, f"report-{uuid.uuid4().hex}")
-    paths = build_report(fxt.incidents(spark, d), ROLES, out, train=False)
-    tables = [spark.read.parquet(p).select(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows"))
-              for n, p in sorted(paths.items())]
-    result = tables[0]
-    for t in tables[1:]:
-        result = result.unionByName(t)
-    return result
+    paths = build_report(fxt.incidents(spark, d), ROLES, out, fit_rows=FIT_ROWS)
+    read = {name: spark.read.parquet(path) for name, path in paths.items()}
+    def part(name, item, value, rows):
+        return rows.select(F.lit(name).alias("part"), item.alias("item"), value.cast("double").alias("value"))
+
+    a, b = correlation.CORR_FEATURES[:2]
+    rows = [
+        part("hourly", F.col("hour").cast("string"), F.col("n"), read["hourly"]),
+        part("heatmap", F.concat_ws(" ", "category", F.col("hour").cast("string")), F.col("n"), read["heatmap"]),
+        part("clusters", F.lit("records"), F.col("n"), read["clusters"].agg(F.sum("records").alias("n"))),
+        part("correlation", F.lit("hour vs latitude"), F.round("r", 6),
+             read["correlation"].where((F.col("feature_a") == a) & (F.col("feature_b") == b))),
+        part("report", F.col("label"), F.col("support"),
+             read["report"].where(~F.col("label").isin("accuracy", "macro avg", "weighted avg"))),
+        part("confusion", F.lit("rows"), F.col("n"), read["confusion"].agg(F.sum("n").alias("n"))),
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 # ---------------------------------------------------------------------------
@@ -154,7 +183,7 @@ def q_export_roundtrip(spark, d):
 
 
 @register("csv_missing_tokens", W(o.INCIDENTS_RAW) + f"""
-SELECT key, category, CASE WHEN trim(coalesce(day_raw, 'NA')) IN ({', '.join(o.q(t) for t in ('', 'NA', 'nan'))})
+SELECT key, category, CASE WHEN coalesce(day_raw, 'NA') IN ({', '.join(o.q(t) for t in NA_TOKENS)})
                            THEN NULL ELSE coalesce(day_raw, 'NA') END AS day_raw
 FROM incidents_raw""")
 def q_csv_missing_tokens(spark, d):
@@ -165,4 +194,35 @@ def q_csv_missing_tokens(spark, d):
     return back
 
 
+#: A token of each kind and near misses, dealt to the rows by key.
+MIXED_FIELDS = [*NA_TOKENS, " NA ", "na", "7", "8.5", "-3"]
+_mixed = "list_extract([" + ", ".join(o.q(t) for t in MIXED_FIELDS) + f"], {o.kint('field', len(MIXED_FIELDS), 'key')} + 1)"
+_dealt = f"list_extract([{', '.join(o.q(t) for t in [*NA_TOKENS, '4', '5'])}], {o.kint('whole', len(NA_TOKENS) + 2, 'key')} + 1)"
+_tokens = ", ".join(o.q(t) for t in NA_TOKENS)
+
+
+@register("csv_inferred_types", W(o.INCIDENTS) + f"""
+, f AS (SELECT key, {_mixed} AS mixed, {_dealt} AS whole FROM incidents)
+SELECT key, CASE WHEN mixed IN ({_tokens}) THEN NULL ELSE mixed END AS mixed,
+       CAST(CASE WHEN whole IN ({_tokens}) THEN NULL ELSE whole END AS BIGINT) AS whole FROM f""")
+def q_csv_inferred_types(spark, d):
+    def deal(seed, values):
+        return F.element_at(F.array(*map(F.lit, values)), keyed_int(seed, len(values), "key") + 1)
+
+    raw = fxt.incidents(spark, d).select("key", deal("field", MIXED_FIELDS).alias("mixed"),
+                                         deal("whole", [*NA_TOKENS, "4", "5"]).alias("whole"))
+    out = scratch_path(spark, f"inferred-{uuid.uuid4().hex}")
+    files.write_table(raw, out, "csv")
+    return files.read_csv_na(spark, out)
+
+
+@register("filtered_export", W(o.INCIDENTS_WIDE) + """
+SELECT key, category, lat, lon, hour FROM incidents_wide WHERE hour BETWEEN 3 AND 20 AND regexp_matches(category, '^1', 'i')""")
+def q_filtered_export(spark, d):
+    out = scratch_path(spark, f"filtered-{uuid.uuid4().hex}")
+    picked = filters.apply_filters(fxt.incidents_wide(spark, d), ROLES, FilterSpec(hour_range=(3, 20), search="^1"))
+    files.write_table(picked, out, "csv", columns=["key", "category", "lat", "lon", "hour"])
+    return files.read_raw_csv(spark, out, EXPORT_SCHEMA)
+
+
 __all__ = ["PrepareResult", "RAW_ROLES", "build_report", "prepare"]

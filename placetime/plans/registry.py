@@ -43,10 +43,6 @@ ROLES = fxt.INCIDENT_ROLES
 RAW_ROLES = ColumnRoles(category="category", lat="lat_raw", lon="lon", hour="hour_raw", day="day_raw", key="key")
 
 # Query parameters (fixed, part of each query's definition).
-TREND_HOURS = (6, 9)
-SUMMARY_HOURS = (6, 20)
-BASELINE_HOURS = (0, 5)
-PEAK_CATEGORY = "click"
 SEARCH_TEXT = "CL|vi"
 CHAIN_CATEGORIES = tuple(str(i) for i in range(0, 100, 3))
 CHAIN_HOURS = (3, 20)
@@ -55,6 +51,8 @@ PLACE_TERM = "NATION_1"
 PLACE_PATTERN = "nation_2"
 PROBE_TERM = "SMALL"
 PREVIEW_ROWS = 25
+# Labelled rows that the two large forests are fitted on (trees and depth stay whole).
+FIT_ROWS = 1000
 # Six fixed centers for the nearest-center queries (the model is a parameter).
 CENTERS = ((28.5, 77.1), (28.5, 77.4), (28.65, 77.25), (28.8, 77.1), (28.8, 77.4), (28.6139, 77.209))
 
@@ -91,8 +89,8 @@ def _clean_raw(spark, d) -> DataFrame:
 
 W = o.with_
 CLEAN_RAW_SQL = f"""clean_raw AS (
-  SELECT key, category, {o.clip_hour('hour_raw')} AS hour, lat_raw AS lat, lon, day_raw FROM incidents_raw
-  WHERE category IS NOT NULL AND hour_raw IS NOT NULL AND NOT isnan(hour_raw) AND isfinite(hour_raw)
+  SELECT key, coalesce(category, 'None') AS category, {o.clip_hour('hour_raw')} AS hour, lat_raw AS lat, lon, day_raw FROM incidents_raw
+  WHERE hour_raw IS NOT NULL AND NOT isnan(hour_raw) AND isfinite(hour_raw)
     AND lat_raw IS NOT NULL AND NOT isnan(lat_raw) AND lon IS NOT NULL AND NOT isnan(lon))"""
 
 
@@ -100,11 +98,11 @@ CLEAN_RAW_SQL = f"""clean_raw AS (
 # Step 1: slice — clean, hour range, dense hourly counts, trailing mean
 # ---------------------------------------------------------------------------
 @register("hourly_trend", W(o.INCIDENTS, o.HOURS) + f"""
-, c AS (SELECT hour, count(*) AS n FROM incidents WHERE hour BETWEEN {TREND_HOURS[0]} AND {TREND_HOURS[1]} GROUP BY hour)
+, c AS (SELECT hour, count(*) AS n FROM incidents GROUP BY hour)
 , h AS (SELECT hours.hour, coalesce(c.n, 0) AS n FROM hours LEFT JOIN c USING (hour))
 SELECT hour, n, round(avg(n) OVER (ORDER BY hour ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), {R}) AS rolling_avg FROM h""")
 def q_hourly_trend(spark, d):
-    f = filters.hour_range(clean.coerce_incidents(_inc(spark, d), ROLES), "hour", *TREND_HOURS)
+    f = clean.coerce_incidents(_inc(spark, d), ROLES)
     return agg.hourly_trend(f, "hour").withColumn("rolling_avg", rnd("rolling_avg"))
 
 
@@ -222,6 +220,15 @@ def q_preview(spark, d):
     return sort.preview(_inc(spark, d), ROLES, PREVIEW_ROWS, ["key", "category", "hour"])
 
 
+@register("filtered_preview", W(o.INCIDENTS_WIDE) + f"""
+SELECT key, category, hour, row_number() OVER (ORDER BY hour, category, key) AS pos
+FROM (SELECT * FROM incidents_wide WHERE category IN ({_chain_in}) AND hour BETWEEN {CHAIN_HOURS[0]} AND {CHAIN_HOURS[1]}
+        AND regexp_matches(category, {o.q(CHAIN_SEARCH)}, 'i') ORDER BY hour, category, key LIMIT {PREVIEW_ROWS})""")
+def q_filtered_preview(spark, d):
+    spec = FilterSpec(categories=CHAIN_CATEGORIES, hour_range=CHAIN_HOURS, search=CHAIN_SEARCH)
+    return sort.preview(filters.apply_filters(_wide(spark, d), ROLES, spec), ROLES, PREVIEW_ROWS, ["key", "category", "hour"])
+
+
 @register("category_frequency", W(o.INCIDENTS_WIDE) + """
 SELECT key, category, count(*) OVER (PARTITION BY category) AS freq FROM incidents_wide""")
 def q_category_frequency(spark, d):
@@ -293,38 +300,35 @@ def _dense_sql(where: str) -> str:
 """
 
 
-@register("summary_stats", _dense_sql(f"hour BETWEEN {SUMMARY_HOURS[0]} AND {SUMMARY_HOURS[1]}") + """
+@register("summary_stats", _dense_sql("true") + """
 , tot AS (SELECT count(*) AS total, count(DISTINCT category) AS nd FROM f)
 SELECT 'Total Crimes' AS metric, total AS value FROM tot
 UNION ALL SELECT 'Unique Crime Types', nd FROM tot WHERE total > 0
 UNION ALL SELECT 'Peak Crime Hour', CAST(peak_hour AS BIGINT) FROM pk, tot WHERE total > 0
 UNION ALL SELECT 'Least Crime Hour', CAST(least_hour AS BIGINT) FROM lt, tot WHERE total > 0""")
 def q_summary_stats(spark, d):
-    f = filters.hour_range(_inc(spark, d), "hour", *SUMMARY_HOURS)
-    return agg.summary_stats(f, "category", "hour")
+    return agg.summary_stats(_inc(spark, d), "category", "hour")
 
 
-@register("peak_least_hour", _dense_sql(f"category = {o.q(PEAK_CATEGORY)}") + """
+@register("peak_least_hour", _dense_sql("true") + """
 SELECT peak_hour, least_hour FROM pk, lt""")
 def q_peak_least_hour(spark, d):
-    f = _inc(spark, d).where(F.col("category") == PEAK_CATEGORY)
-    return agg.peak_least_hour(agg.hourly_counts(f, "hour"), "hour")
+    return agg.peak_least_hour(agg.hourly_counts(_inc(spark, d), "hour"), "hour")
 
 
 @register("peak_hour_present", W(o.INCIDENTS_WIDE) + """
-SELECT hour AS peak_hour FROM (SELECT hour, count(*) AS n FROM incidents_wide WHERE category = '7' GROUP BY hour)
+SELECT hour AS peak_hour FROM (SELECT hour, count(*) AS n FROM incidents_wide GROUP BY hour)
 ORDER BY n DESC, hour LIMIT 1""")
 def q_peak_hour_present(spark, d):
-    return agg.peak_hour_present(_wide(spark, d).where(F.col("category") == "7"), "hour")
+    return agg.peak_hour_present(_wide(spark, d), "hour")
 
 
 @register("hour_probability", W(o.INCIDENTS, o.HOURS) + f"""
-, c AS (SELECT hour, count(*) AS n FROM incidents WHERE category = {o.q(PEAK_CATEGORY)} GROUP BY hour)
+, c AS (SELECT hour, count(*) AS n FROM incidents GROUP BY hour)
 , h AS (SELECT hours.hour, coalesce(c.n, 0) AS n FROM hours LEFT JOIN c USING (hour))
 SELECT hour, n, round(coalesce(n / nullif(sum(n) OVER (), 0)::DOUBLE, 0.0), {R}) AS probability FROM h""")
 def q_hour_probability(spark, d):
-    f = _inc(spark, d).where(F.col("category") == PEAK_CATEGORY)
-    return agg.hour_probability(f, "hour").withColumn("probability", rnd("probability"))
+    return agg.hour_probability(_inc(spark, d), "hour").withColumn("probability", rnd("probability"))
 
 
 @register("centroid", W(o.INCIDENTS) + f"""
@@ -335,9 +339,9 @@ def q_centroid(spark, d):
 
 
 @register("distinct_hours", W(o.INCIDENTS_WIDE) + """
-SELECT hour, row_number() OVER (ORDER BY hour) AS pos FROM (SELECT DISTINCT hour FROM incidents_wide WHERE category = '42')""")
+SELECT hour, row_number() OVER (ORDER BY hour) AS pos FROM (SELECT DISTINCT hour FROM incidents_wide)""")
 def q_distinct_hours(spark, d):
-    return agg.distinct_sorted(_wide(spark, d).where(F.col("category") == "42"), "hour")
+    return agg.distinct_sorted(_wide(spark, d), "hour")
 
 
 @register("distinct_categories", W(o.INCIDENTS_WIDE) + """
@@ -431,7 +435,7 @@ def q_pivot_wide(spark, d):
 
 
 @register("heatmap_normalized", W(o.INCIDENTS_WIDE) + f"""
-, f AS (SELECT * FROM incidents_wide WHERE hour BETWEEN 2 AND 21)
+, f AS (SELECT * FROM incidents_wide)
 , cells AS (SELECT category, hour, count(*) AS n FROM f GROUP BY category, hour)
 , per AS (SELECT category, sum(n) AS total, max(n) AS mx FROM cells GROUP BY category)
 , hrs AS (SELECT DISTINCT hour FROM f)
@@ -441,8 +445,7 @@ SELECT per.category, hrs.hour, coalesce(cells.n, 0) AS n,
 FROM per CROSS JOIN hrs LEFT JOIN cells ON cells.category = per.category AND cells.hour = hrs.hour
 JOIN ranks ON ranks.category = per.category""")
 def q_heatmap_normalized(spark, d):
-    f = filters.hour_range(_wide(spark, d), "hour", 2, 21)
-    return pivot.heatmap_normalized(f, "category", "hour").withColumn("value", rnd("value"))
+    return pivot.heatmap_normalized(_wide(spark, d), "category", "hour").withColumn("value", rnd("value"))
 
 
 @register("density_grid", W(o.INCIDENTS) + """
@@ -553,13 +556,12 @@ def q_strongest_pairs(spark, d):
 
 
 @register("hour_count_corr", W(o.INCIDENTS, o.HOURS) + f"""
-, c AS (SELECT hour, count(*) AS n FROM incidents WHERE category = {o.q(PEAK_CATEGORY)} GROUP BY hour)
+, c AS (SELECT hour, count(*) AS n FROM incidents GROUP BY hour)
 , h AS (SELECT CAST(hours.hour AS DOUBLE) AS hour, CAST(coalesce(c.n, 0) AS DOUBLE) AS n FROM hours LEFT JOIN c USING (hour))
 SELECT round(CASE WHEN stddev_pop(hour) * stddev_pop(n) = 0 THEN NULL
                   ELSE covar_pop(hour, n) / (stddev_pop(hour) * stddev_pop(n)) END, {R}) AS r FROM h""")
 def q_hour_count_corr(spark, d):
-    f = _inc(spark, d).where(F.col("category") == PEAK_CATEGORY)
-    h = agg.hourly_counts(f, "hour").select(F.col("hour").cast("double").alias("hour"), F.col("n").cast("double").alias("n"))
+    h = agg.hourly_counts(_inc(spark, d), "hour").select(F.col("hour").cast("double").alias("hour"), F.col("n").cast("double").alias("n"))
     return correlation.hour_count_corr(h, "hour", "n").withColumn("r", rnd("r"))
 
 
@@ -593,10 +595,21 @@ def q_cluster_summary(spark, d):
 
 @register("kmeans_fit")
 def q_kmeans_fit(spark, d):
-    i = _inc(spark, d)
-    plan = spatial.cluster_plan(i, "lat", "lon").first()
-    fit = spatial.fit_kmeans(i, "lat", "lon", int(plan["k"]), seed=42)
-    return spatial.centers_frame(spark, fit).withColumn("cost", F.lit(fit.cost))
+    _rows, fit = spatial.attach_clusters(_inc(spark, d), ROLES)
+    cost = F.lit(fit.cost if fit else None).cast("double")
+    return spatial.centers_frame(spark, fit).withColumn("cost", cost)
+
+
+@register("attach_clusters", W(o.INCIDENTS) + """
+SELECT key, true AS nearest, (SELECT least(least(6, greatest(2, count(*) // 250 + 2)), count(*)) FROM incidents) AS k
+FROM incidents""")
+def q_attach_clusters(spark, d):
+    """Whether each row got the id of a center that no other is nearer than."""
+    rows, fit = spatial.attach_clusters(_inc(spark, d), ROLES)
+    centers = fit.centers if fit else []
+    far = F.array(*[F.pow(F.col("lat") - F.lit(a), F.lit(2.0)) + F.pow(F.col("lon") - F.lit(b), F.lit(2.0)) for a, b in centers])
+    own = F.element_at(far, F.col("cluster_id").cast("int") + 1)
+    return rows.select("key", (own <= F.array_min(far) + 1e-12).alias("nearest"), F.lit(len(centers)).cast("long").alias("k"))
 
 
 # ---------------------------------------------------------------------------
@@ -684,12 +697,11 @@ def q_classification_report(spark, d):
 # Step 9: model, scenarios, baseline
 # ---------------------------------------------------------------------------
 @register("baseline_prediction", W(o.INCIDENTS_WIDE) + f"""
-, f AS (SELECT * FROM incidents_wide WHERE hour BETWEEN {BASELINE_HOURS[0]} AND {BASELINE_HOURS[1]})
+, f AS (SELECT * FROM incidents_wide)
 SELECT category AS prediction, round(count(*) / (SELECT count(*) FROM f)::DOUBLE, {R}) AS confidence
 FROM f GROUP BY category ORDER BY count(*) DESC, category LIMIT 1""")
 def q_baseline_prediction(spark, d):
-    f = filters.hour_range(_wide(spark, d), "hour", *BASELINE_HOURS)
-    return predict.baseline_prediction(f, "category").withColumn("confidence", rnd("confidence"))
+    return predict.baseline_prediction(_wide(spark, d), "category").withColumn("confidence", rnd("confidence"))
 
 
 @register("scenario_features", W(o.INCIDENTS) + f"""
@@ -714,15 +726,61 @@ def q_scenario_expand(spark, d):
 def _trained(spark, d):
     base = clean.prepare_base(_inc(spark, d), ROLES)
     clustered = spatial.assign_centers(base, "lat", "lon", CENTERS)
-    return ml.train_classifier(clustered, "category", "key", "small")
+    return ml.train_classifier(clustered, "category", "key", "batch")
+
+
+def _scored_per_class(res) -> DataFrame:
+    """Per class: scored test rows, and whether all got a class that was trained on."""
+    known = F.col("prediction").isin(res.classes)
+    return res.predictions.groupBy("label").agg(F.count(F.lit(1)).alias("scored"), F.bool_and(known).alias("known"))
+
+
+def _stratified_sql(fraction: float) -> str:
+    return W(o.INCIDENTS) + f"""
+SELECT category AS label, CAST(ceil(count(*) * {fraction}::DOUBLE) AS BIGINT) AS scored, true AS known
+FROM incidents GROUP BY category"""
+
+
+@register("forest_batch", W(o.INCIDENTS) + f"""
+SELECT category AS label, count(*) AS scored, true AS known FROM incidents WHERE {o.u('split42', 'key')} < 0.2::DOUBLE
+GROUP BY category""")
+def q_forest_batch(spark, d):
+    return _scored_per_class(ml.train_classifier(_inc(spark, d), "category", "key", "batch", ("lat", "lon", "hour"), ()))
+
+
+@register("forest_dashboard", _stratified_sql(0.25))
+def q_forest_dashboard(spark, d):
+    base = spatial.assign_centers(clean.prepare_base(_inc(spark, d), ROLES), "lat", "lon", CENTERS)
+    return _scored_per_class(ml.train_classifier(base, "category", "key", "dashboard", fit_rows=FIT_ROWS))
+
+
+@register("forest_recovered", _stratified_sql(0.2))
+def q_forest_recovered(spark, d):
+    return _scored_per_class(ml.train_classifier(_inc(spark, d), "category", "key", "recovered", ("hour", "lat", "lon"), (),
+                                                  fit_rows=FIT_ROWS))
+
+
+@register("importance_total", "SELECT 1.0::DOUBLE AS total, 8::BIGINT AS features")
+def q_importance_total(spark, d):
+    imp = ml.feature_importance(spark, _trained(spark, d))
+    return imp.agg(F.round(F.sum("importance"), R).alias("total"), F.count(F.lit(1)).alias("features"))
+
+
+@register("scenario_totals", W(o.INCIDENTS) + """
+SELECT key, 1.0::DOUBLE AS total, (SELECT count(DISTINCT category) FROM incidents) AS classes, true AS ordered FROM incidents""")
+def q_scenario_totals(spark, d):
+    """Per point: probabilities sum to 1 over all classes, and rank 1 has the greatest."""
+    res = _trained(spark, d)
+    pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
+    _best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
+    first = F.max(F.when(F.col("rank") == 1, F.col("probability")))
+    return ranked.groupBy("key").agg(F.round(F.sum("probability"), R).alias("total"), F.count(F.lit(1)).alias("classes"),
+                                     (first == F.max("probability")).alias("ordered"))
 
 
 @register("rf_train_score")
 def q_rf_train_score(spark, d):
-    res = _trained(spark, d)
-    if res.predictions is None:
-        return spark.createDataFrame([], "key long, label string, prediction string")
-    return res.predictions
+    return _trained(spark, d).predictions
 
 
 @register("feature_importance")
@@ -734,8 +792,6 @@ def q_feature_importance(spark, d):
 @register("scenario_scores")
 def q_scenario_scores(spark, d):
     res = _trained(spark, d)
-    if not res.ready:
-        return spark.createDataFrame([], "key long, prediction string, confidence double")
     pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
     best, _ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
     return best
@@ -743,9 +799,8 @@ def q_scenario_scores(spark, d):
 
 @register("scenario_top10")
 def q_scenario_top10(spark, d):
-    res = _trained(spark, d)
-    if not res.ready:
-        return spark.createDataFrame([], "key long, class string, probability double, rank long")
+    base = spatial.assign_centers(clean.prepare_base(_wide(spark, d), ROLES), "lat", "lon", CENTERS)
+    res = ml.train_classifier(base, "category", "key", "batch")
     pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
     _best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
     return predict.top_probabilities(ranked, 10)
@@ -754,7 +809,7 @@ def q_scenario_top10(spark, d):
 @register("train_status")
 def q_train_status(spark, d):
     base = clean.prepare_base(_inc(spark, d), ROLES)
-    res = ml.train_classifier(spatial.assign_centers(base, "lat", "lon", CENTERS), "category", "key", "small")
+    res = ml.train_classifier(spatial.assign_centers(base, "lat", "lon", CENTERS), "category", "key", "batch")
     return ml.status_frame(spark, res)
 
 
@@ -790,7 +845,7 @@ def q_one_hot_features(spark, d):
 SELECT key, category FROM incidents UNION ALL SELECT key, category FROM incidents
 UNION ALL SELECT key, category FROM incidents""")
 def q_union_copies(spark, d):
-    return replicate.union_copies(_inc(spark, d).select("key", "category"), 3)
+    return replicate.replicate(_inc(spark, d).select("key", "category"), 3).drop("copy")
 
 
 @register("drop_nulls_subset", W(o.INCIDENTS_RAW) + """
@@ -811,7 +866,7 @@ WITH s AS (SELECT p_brand AS category FROM lineitem JOIN part ON l_partkey = p_p
 SELECT category, count(*) AS n, round(count(*) / (SELECT count(*) FROM s)::DOUBLE, {R}) AS share
 FROM s GROUP BY category""")
 def q_parts_sold_share(spark, d):
-    return agg.category_share(fxt.parts_sold(spark, d), "category").withColumn("share", rnd("share"))
+    return agg.share_of_counts(fxt.parts_sold(spark, d)).withColumn("share", rnd("share"))
 
 
 @register("summary_export", _dense_sql("true") + """

@@ -26,11 +26,11 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType | str | None
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS, columns: Sequence[str] | None = None) -> DataFrame:
     """Turn missing-value tokens (``NA``, ``nan``, empty, ...) in string
-    columns into nulls, as a pandas CSV reader would."""
+    columns into nulls.  Only whole fields count: `` NA `` with blanks is text."""
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     toks = list(tokens)
     exprs = [
-        F.when(F.trim(F.col(c)).isin(toks), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+        F.when(F.col(c).isin(toks), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
         if c in names
         else F.col(c)
         for c in df.columns
@@ -38,15 +38,31 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS, columns: Seque
     return df.select(*exprs)
 
 
+def infer_types(df: DataFrame) -> DataFrame:
+    """Cast each string column to ``long`` or ``double`` if all its values allow it.
+
+    One aggregate over all columns; a column without values stays text.
+    """
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not names:
+        return df
+    kinds = ("long", "double")
+    row = df.agg(*[F.coalesce(F.bool_and(F.when(F.col(c).isNotNull(), F.col(c).try_cast(k).isNotNull())), F.lit(False))
+                     .alias(f"{i}_{k}") for i, c in enumerate(names) for k in kinds]).first()
+    to = {c: next((k for k in kinds if row[f"{i}_{k}"]), None) for i, c in enumerate(names)}
+    return df.withColumns({c: F.col(c).try_cast(k) for c, k in to.items() if k})
+
+
 def read_csv_na(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV scan where the missing-value tokens become null.
 
     With a declared schema, numeric fields holding tokens are already null
-    (PERMISSIVE mode); the string columns are cleaned here.
+    (PERMISSIVE mode); the string columns are cleaned here.  Without one the
+    types are inferred after the tokens are gone, at the cost of a pass.
     """
     if schema is None:
         raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-        return null_tokens(raw)
+        return infer_types(null_tokens(raw))
     return null_tokens(read_raw_csv(spark, path, schema))
 
 

@@ -19,28 +19,8 @@ from ..roles import DAY_NAMES, LAT_LOW, LAT_WIDTH, LON_LOW, LON_WIDTH, ColumnRol
 INCIDENT_ROLES = ColumnRoles(category="category", lat="lat", lon="lon", hour="hour", day="day", key="key")
 
 
-# Fixed-size dimension tables (25 nations, 5 regions): broadcast as they are.
-FIXED_SIZE = ("nation", "region")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in FIXED_SIZE else spread(df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A parquet file with a single row group is read by one task however
-    large the cluster; every narrow step after it (hashing, features,
-    model training) would then run on one core.  Big inputs have many
-    splits and are returned untouched, so this never shuffles a large
-    table.  Filters and column pruning still reach the scan below it.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def weekday_name(ts: str) -> F.Column:
@@ -137,10 +117,12 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts_sold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem ⋈ part with category = brand (keyless; counts and shares only)."""
-    li = table(spark, sf_dir, "lineitem").select("l_partkey")
+    """(category, n): sold lines per brand.  Lines are counted per part before
+    the join, so a part that is sold very often is one row in it."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("lines"))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return li.join(p, li.l_partkey == p.p_partkey).select(F.col("p_brand").alias("category"))
+    sold = li.join(p, li.l_partkey == p.p_partkey)
+    return sold.groupBy(F.col("p_brand").alias("category")).agg(F.sum("lines").alias("n"))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

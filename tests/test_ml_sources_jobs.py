@@ -54,14 +54,6 @@ def test_forest_invariants(spark, trained):
     assert joined and all(r["prediction"] == r["c"] for r in joined)
 
 
-def test_infer_base_feature_name():
-    num, cat = ["hour", "lat"], ["time_band", "day", "day_x"]
-    assert ml.infer_base_feature_name("num__hour", num, cat) == "hour"
-    assert ml.infer_base_feature_name("cat__day_x_Monday", num, cat) == "day"  # first listed prefix wins
-    assert ml.infer_base_feature_name("cat__time_band_Night", num, cat) == "time_band"
-    assert ml.infer_base_feature_name("other_thing", num, cat) == "other"
-
-
 def test_expand_days_weights(spark):
     pts = spark.createDataFrame([(1,)], "key long")
     rows = predict.expand_days(pts).collect()
@@ -77,11 +69,11 @@ def test_impute_mode_ties_smallest(spark):
 
 
 def test_schema_helpers(spark):
-    assert schema.find_location_column(["id", "n_regionkey", "City"]) == "n_regionkey"
-    assert schema.find_location_column(["id", "value"]) is None
-    assert schema.find_location_column(["Crime Description", "output"]) == "output"  # 'ut' substring trap
-    assert schema.find_first_existing_column(["x", "DAY_NAME ", "weekday"]) == "weekday"
-    assert schema.find_first_existing_column([" Day of Week", "day of week"]) == "day of week"
+    assert schema.place_column(["id", "n_regionkey", "City"]) == "n_regionkey"
+    assert schema.place_column(["id", "value"]) is None
+    assert schema.place_column(["Crime Description", "output"]) == "output"  # 'ut' substring trap
+    assert schema.aliased_column(["x", "DAY_NAME ", "weekday"]) == "weekday"
+    assert schema.aliased_column([" Day of Week", "day of week"]) == "day of week"
     df = spark.createDataFrame([(1, "a", 2.0)], "k long, s string, d double")
     assert schema.string_columns(df) == ["s"]
     with pytest.raises(ValueError, match="Missing required columns"):
@@ -117,7 +109,7 @@ def test_prepare_and_report_jobs(spark, scratch):
     n_src = src.where(F.col("region").contains("ASIA")).count()
     assert res.location_column == "region" and res.rows.count() == 3 * n_src
     assert res.predictions is not None and res.predictions.count() > 0
-    paths = jobs.build_report(fixtures.incidents(spark, SF_SMALL), ROLES, os.path.join(scratch, "rep"), restarts=1)
+    paths = jobs.build_report(fixtures.incidents(spark, SF_SMALL), ROLES, os.path.join(scratch, "rep"), restarts=1, preset="small")
     assert {"correlation", "hourly", "summary", "heatmap", "centers", "model_status"} <= set(paths)
     assert spark.read.parquet(paths["hourly"]).count() == 24
 
@@ -184,7 +176,8 @@ def test_one_row_and_null_category(spark):
     assert fit is None and out.first()["cluster_id"] == "0"
     nulls = spark.createDataFrame([(1, None, 28.5, 77.2, 5.0), (2, "a", 28.5, 77.2, 5.0)],
                                   "key long, category string, lat double, lon double, hour double")
-    assert clean.coerce_incidents(nulls, ColumnRoles()).count() == 1  # null category dropped (documented)
+    assert [r["category"] for r in clean.coerce_incidents(nulls, ColumnRoles()).collect()] == ["None", "a"]
+    assert clean.coerce_incidents(nulls, ColumnRoles(), keep_missing=False).count() == 1
 
 
 def test_class_only_in_test_rows_is_scored(spark):
@@ -202,12 +195,25 @@ def test_class_only_in_test_rows_is_scored(spark):
     assert "only_test" in labels
 
 
-def test_fit_failure_is_reported_not_raised(spark):
+def test_unusable_preset_is_reported(spark):
     bad = ml.ForestPreset(num_trees=2, max_depth=-1)
     res = ml.train_classifier(spark.createDataFrame(_feature_rows(40, ["a", "b"]), FEATURE_SCHEMA),
                               "category", "key", bad)
-    assert not res.ready and res.message.startswith("Model training failed")
-    assert res.prior is not None and res.training_rows == 40
+    assert not res.ready and res.prior is not None and res.training_rows == 40
+
+
+def test_failing_job_raises(spark):
+    rows = spark.createDataFrame(_feature_rows(40, ["a", "b"]), FEATURE_SCHEMA)
+    broken = rows.withColumn("lat", F.when(F.col("key") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("lat")))
+    with pytest.raises(Exception, match="lost"):
+        ml.train_classifier(broken, "category", "key")
+
+
+def test_training_record(spark):
+    res = ml.train_classifier(spark.createDataFrame(_feature_rows(40, ["a", "b"]), FEATURE_SCHEMA), "category", "key")
+    row = ml.status_frame(spark, res).first()
+    right = res.predictions.where("label = prediction").count() / res.predictions.count()
+    assert row["ready"] and row["stratified"] and abs(row["accuracy"] - right) < 1e-12
 
 
 def test_start_hourly_counts_on_files(spark, scratch):

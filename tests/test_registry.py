@@ -15,7 +15,7 @@ from .conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events labels".split()
 MODEL_QUERIES = {"kmeans_fit", "rf_train_score", "feature_importance", "scenario_scores", "scenario_top10",
-                 "train_status", "report_job"}
+                 "train_status"}
 
 
 def _norm(v):

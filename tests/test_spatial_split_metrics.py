@@ -19,14 +19,15 @@ def frame(spark, rows):
 
 @pytest.mark.parametrize("n,points,k", [(0, 0, 0), (2, 2, 0), (19, 1, 0), (19, 19, 2), (20, 20, 2),
                                          (250, 250, 3), (1000, 1000, 6), (5000, 5000, 6), (3, 3, 2)])
-def test_cluster_count_rule(n, points, k):
-    assert spatial.cluster_count(n, points) == k
+def test_cluster_count_rule(spark, n, points, k):
+    rule = spatial.cluster_count_expr(F.lit(n), F.lit(points > 1))
+    assert spark.range(1).select(rule.alias("k")).first()["k"] == k
 
 
 def test_cluster_plan_expr_matches_rule(spark):
     df = frame(spark, [(i, "a", 28.4 + i * 1e-3, 77.0, 1) for i in range(600)])
     r = spatial.cluster_plan(df, "lat", "lon").first()
-    assert (r["n"], r["multi_point"], r["k"]) == (600, True, spatial.cluster_count(600, 600))
+    assert (r["n"], r["multi_point"], r["k"]) == (600, True, 4)
     same = frame(spark, [(i, "a", 28.4, 77.0, 1) for i in range(30)])
     r = spatial.cluster_plan(same, "lat", "lon").first()
     assert (r["n"], r["multi_point"], r["k"]) == (30, False, 0)
