@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP, cut, stored, table, words
+from .common import cut, stored, table, words
 
 #: Tools of the query: name -> JSON-schema subset (type, required, properties, enum, minimum).
 SCHEMAS = {
@@ -168,18 +168,21 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS)
 def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that the turns of conversations stand for.
 
-    A user turn is a call whose tool and arguments follow from its text; it
-    depends on the user turn two before, where there is one.  An assistant
-    turn is the result of the call one turn before.
+    A user turn is a call whose tool follows from its number of words and whose
+    arguments hold its whole text: as it stands (search, summarize) or as all
+    its words (count); it depends on the user turn two before, where there is
+    one.  An assistant turn is the result of the call one turn before.  A
+    system turn is neither call nor result: it gives no row, and a user turn
+    two after it has a parent that is reported as missing.  So a derived call
+    has one parent at most; several are for ``order`` with other tables.
     """
     key = lambda back: F.md5(F.concat_ws("|", F.col("conv_id"), F.col("turn") - back))
     t = turns.where("conv_id is not null and turn is not null").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     n = F.size(words(F.col("text")))
-    head = F.substring_index(F.regexp_replace(F.col("text"), GAP, " "), " ", 12)
     tool = F.element_at(F.array(*[F.lit(x) for x in sorted(SCHEMAS)]), (n % len(SCHEMAS) + 1).cast("int"))
-    args = (F.when(tool == "search", F.to_json(F.struct(head.alias("query"), (n % 50).alias("limit"))))
+    args = (F.when(tool == "search", F.to_json(F.struct(F.col("text").alias("query"), (n % 50).alias("limit"))))
             .when(tool == "summarize", F.to_json(F.struct(F.when(n > 40, "long").when(n > 20, "short").otherwise("none").alias("style"), F.col("text").alias("text"))))
-            .otherwise(F.to_json(F.struct(F.slice(words(F.col("text")), 1, 5).alias("items")))))
+            .otherwise(F.to_json(F.struct(words(F.col("text")).alias("items")))))
     parent = F.when(F.col("turn") >= 2, F.array(key(2))).otherwise(F.array().cast("array<string>"))
     calls = t.where("role = 'user'").select("conv_id", "turn", key(0).alias("call_id"), tool.alias("name"), args.alias("arguments"), parent.alias("parents"))
     results = t.where("role = 'assistant'").select(key(1).alias("call_id"), "turn", F.col("text").alias("content"))

@@ -188,6 +188,28 @@ def test_toolcalls_query(spark):
         assert r["valid"] == (not toolcalls.problems(said["arguments"], toolcalls.SCHEMAS[r["name"]]))
 
 
+def test_toolcall_arguments_hold_the_whole_text(spark):
+    texts = {(r["conv_id"], r["turn"]): r["text"] or "" for r in common.table(spark, SF, "conversations").collect() if r["role"] == "user"}
+    seen = Counter()
+    for r in toolcalls.query(spark, SF).collect():
+        said, text = json.loads(r["message"])["arguments"], texts[r["conv_id"], r["turn"]]
+        held = {"search": said.get("query"), "summarize": said.get("text"), "count": said.get("items")}[r["name"]]
+        assert held == (WORD.findall(text) if r["name"] == "count" else text)
+        seen[r["name"]] += len(WORD.findall(text)) > 12
+    assert len(seen) == 3 and all(seen.values())
+
+
+def test_toolcalls_of_system_turns_and_odd_texts(spark):
+    turns = spark.createDataFrame([
+        (1, 0, "system", "be kind"), (1, 1, "user", "\t a  b\nc " + "w " * 61), (1, 2, "assistant", "yes"), (1, 3, "user", None),
+        (2, 0, "system", "x"), (2, 2, "user", "p q")], "conv_id long, turn long, role string, text string")
+    out = {(r["conv_id"], r["turn"]): r for r in toolcalls.format_calls(*toolcalls.from_conversations(turns)).collect()}
+    assert set(out) == {(1, 1), (1, 3), (2, 2)} and [out[k]["missing"] for k in sorted(out)] == [0, 0, 1]
+    said = {k: json.loads(r["message"]) for k, r in out.items()}
+    assert said[1, 1]["name"] == "search" and said[1, 1]["arguments"]["query"] == "\t a  b\nc " + "w " * 61 and said[1, 1]["result"] == "yes"
+    assert said[1, 3]["arguments"] == {"items": []} and said[2, 2]["arguments"] == {"style": "none", "text": "p q"}
+
+
 # --- op4 ---------------------------------------------------------------------
 
 def check_packing(out, docs, capacity=2048):
