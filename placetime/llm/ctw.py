@@ -11,10 +11,11 @@ log probability, and a text's score is the sum over its grams.
 
 Nothing grows in one place.  Texts are written once as bundles of bounded
 size; a bundle emits its distinct grams and words with training counts; grams
-are summed by a shuffle; subtrees below the last two bytes are weighted per
-bucket (their size is bounded by the alphabet, not the corpus), the 255 x 256
-nodes above them on the driver; and each bundle gets back only the entries of
-its own grams and words.  No model is broadcast.
+travel as compressed columns (differences of sorted codes, about a byte a
+gram), one row per bundle and bucket; subtrees below the last two bytes are
+weighted per bucket (their size is bounded by the alphabet, not the corpus),
+the 255 x 256 nodes above them on the driver; and each bundle gets back only
+the entries of its own grams and words.  No model is broadcast.
 
 Defined results: a null text counts as empty (its one token is the end); a
 null doc_id is a training document; without training documents every byte
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 
 from .common import stored, table, text_slices
 
-DEPTH = 4
+DEPTH = 5
 TOP = 2
-BUNDLE_BYTES = 12 << 20
+BUNDLE_BYTES = 32 << 20
 SLICE_BYTES = 3 << 20
 BUCKETS = 128
 END = 0xFF  # never occurs in UTF-8
@@ -121,11 +122,11 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def count(blobs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Per bundle its distinct grams and words with their counts in training texts (0 counts too).
+    """Per bundle its distinct grams (one packed row) and words with their counts in training texts (0 counts too).
 
     The end token is the word b"\\xff".
     """
-    schema = pa.schema([("bundle", pa.string()), ("code", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+    schema = pa.schema([("bundle", pa.string()), ("codes", pa.binary()), ("counts", pa.binary()), ("grams", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -148,16 +149,72 @@ def count(blobs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 if not keys:
                     continue
                 key, n = _merged(keys, counts)
-                for k in range(0, len(key), 200_000):
-                    own = key[k : k + 200_000].astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(own)), pa.array(own), pa.nulls(len(own), pa.binary()), pa.array(n[k : k + 200_000])], schema=schema)
+                yield pa.RecordBatch.from_pylist([{"bundle": name, "codes": _pack_codes(key), "counts": _pack(n), "grams": len(key)}], schema=schema)
                 word = pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")])
                 word = word.filter(pc.not_equal(pc.binary_length(word["word"]), 0)).combine_chunks()
                 for part in word.to_batches(max_chunksize=200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * part.num_rows, pa.string()), pa.nulls(part.num_rows, pa.int64()),
+                    none = pa.nulls(part.num_rows, pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * part.num_rows, pa.string()), none, none, none.cast(pa.int64()),
                                                       part["word"].cast(pa.binary()), part["n_sum"]], schema=schema)
 
-    return blobs.mapInArrow(run, "bundle string, code long, word binary, n long")
+    return blobs.mapInArrow(run, "bundle string, codes binary, counts binary, grams long, word binary, n long")
+
+
+# --- packed columns ----------------------------------------------------------
+
+def _pack(values: np.ndarray) -> bytes:
+    """Eight-byte numbers as compressed planes of bytes, after their number."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def _unpack(blob: bytes, kind) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    raw = pa.Codec("zstd").decompress(blob[8:], decompressed_size=8 * n, asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).reshape(-1).view(kind)
+
+
+def _pack_codes(code: np.ndarray) -> bytes:
+    """Sorted codes by their differences."""
+    return _pack(np.diff(code.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def _unpack_codes(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(blob, np.uint64), dtype=np.uint64)
+
+
+def split(packed: DataFrame, depth: int) -> DataFrame:
+    """The packed grams of bundles, dealt to buckets: a row per bundle and bucket that has grams."""
+    schema = pa.schema([("bundle", pa.string()), ("bucket", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                code, n = _unpack_codes(row["codes"]), _unpack(row["counts"], np.int64)
+                bucket = _bucket(code, depth)
+                order = np.argsort(bucket, kind="stable")
+                edge = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
+                parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True) if a < b]
+                yield pa.RecordBatch.from_pylist([
+                    {"bundle": row["bundle"], "bucket": int(bucket[at[0]]), "codes": _pack_codes(code[at]), "counts": _pack(n[at])} for at in parts], schema=schema)
+
+    return packed.select("bundle", "codes", "counts").mapInArrow(run, "bundle string, bucket long, codes binary, counts binary")
+
+
+def _summed(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of a bucket and their counts over all bundles.
+
+    What waits is merged once it outgrows the merged grams, so memory goes
+    with the distinct grams, not with the number of bundles.
+    """
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for codes, n in zip(part["codes"], part["counts"], strict=True):
+        keys.append(_unpack_codes(codes.as_py()))
+        counts.append(_unpack(n.as_py(), np.int64))
+        if sum(map(len, keys[1:])) > len(keys[0]) + (1 << 18):
+            merged = _merged(keys, counts)
+            keys, counts = [merged[0]], [merged[1]]
+    return _merged(keys, counts)
 
 
 # --- the tree ----------------------------------------------------------------
@@ -221,16 +278,17 @@ def roots(grams: DataFrame, depth: int) -> DataFrame:
     """Nodes at depth TOP: last (latest byte), node, n0, n1, log weighted probability."""
     def run(part: pa.Table) -> pa.Table:
         rows = []
-        for levels in subtree(part["code"].to_numpy().astype(np.uint64), part["n"].to_numpy().astype(float), depth):
+        code, n = _summed(part)
+        for levels in subtree(code, n.astype(float), depth):
             root = levels[0]
             rows.append(pa.table({"last": root["key"] >> 16, "node": root["key"] & 255, "n0": root["n0"], "n1": root["n1"], "log": root["log"]}))
         return pa.concat_tables(rows)
 
-    return grams.groupBy(_bucket(depth)).applyInArrow(run, "last long, node long, n0 double, n1 double, log double")
+    return grams.groupBy("bucket").applyInArrow(run, "last long, node long, n0 double, n1 double, log double")
 
 
-def _bucket(depth: int):
-    return F.pmod(F.shiftrightunsigned("code", 8 * (depth + 1 - TOP)), F.lit(BUCKETS)).alias("bucket")
+def _bucket(code: np.ndarray, depth: int) -> np.ndarray:
+    return ((code >> np.uint64(8 * (depth + 1 - TOP))) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def upper_nodes(root_nodes: DataFrame) -> np.ndarray:
@@ -248,14 +306,14 @@ def upper_nodes(root_nodes: DataFrame) -> np.ndarray:
 
 
 def weigh(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """code and log10 probability of its symbol after its context, for every gram."""
+    """Per bundle and bucket the codes and, for each, the log10 probability of its symbol after its context."""
     upper = upper_nodes(roots(grams, depth))
 
     def run(part: pa.Table) -> pa.Table:
-        code = part["code"].to_numpy().astype(np.uint64)
+        code, n = _summed(part)
         last = (code >> np.uint64(8 * depth)).astype(np.int64)
         total = np.zeros(len(code))
-        for levels in subtree(code, part["n"].to_numpy().astype(float), depth):
+        for levels in subtree(code, n.astype(float), depth):
             p = _estimate(levels[-1])
             for level in levels[-2::-1]:
                 w = level["weight"][level["at"]]
@@ -265,9 +323,10 @@ def weigh(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
                 own = np.where(bit == 1, one[last, node], 1 - one[last, node])
                 p = w[last, node] * own + (1 - w[last, node]) * p
             total += np.log10(p)
-        return pa.table({"gram": part["code"].cast(pa.int64()), "log10": total})
+        log10 = [_pack(total[np.searchsorted(code, _unpack_codes(own.as_py()))]) for own in part["codes"]]
+        return pa.table({"of": part["bundle"], "codes": part["codes"], "log10": pa.array(log10, pa.binary())})
 
-    return grams.groupBy(_bucket(depth)).applyInArrow(run, "gram long, log10 double")
+    return grams.groupBy("bucket").applyInArrow(run, "of string, codes binary, log10 binary")
 
 
 # --- scoring -----------------------------------------------------------------
@@ -276,25 +335,25 @@ def score(docs: DataFrame, depth: int = DEPTH, bundle_bytes: int = BUNDLE_BYTES)
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark = docs.sparkSession
     blobs = stored(spark, bundles(docs, bundle_bytes), "bundles")
-    counts = stored(spark, count(blobs, depth).withColumn("kind", F.when(F.col("code").isNull(), "word").otherwise("gram")), "counts", by="kind")
+    counts = stored(spark, count(blobs, depth).withColumn("kind", F.when(F.col("codes").isNull(), "word").otherwise("gram")), "counts", by="kind")
     codes, words = counts.where("kind = 'gram'"), counts.where("kind = 'word'")
-    grams = stored(spark, codes.groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    log10 = stored(spark, weigh(grams, depth), "log10")
+    log10 = weigh(split(codes, depth), depth)
     same = Window.partitionBy("word")
     known = words.select("bundle", "word", F.sum("n").over(same).alias("c"), (F.min("bundle").over(same) == F.col("bundle")).alias("one"))
     known = stored(spark, known, "known")
     total = known.agg(F.sum(F.when(F.col("one"), F.col("c"))).alias("n"), F.sum((F.col("one") & (F.col("c") > 0)).cast("long")).alias("v")).first()
     tokens, kinds = int(total["n"] or 0), int(total["v"] or 0)
-    entries = known.select(F.col("bundle").alias("of"), F.lit(None).cast("long").alias("code"), "word", F.col("c").cast("double").alias("value"))
-    entries = entries.unionByName(codes.join(log10, F.col("code") == F.col("gram")).select(
-        F.col("bundle").alias("of"), "code", F.lit(None).cast("binary").alias("word"), F.col("log10").alias("value")))
+    entries = known.select(F.col("bundle").alias("of"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("binary").alias("log10"), "word", "c")
+    entries = entries.unionByName(log10.select("of", "codes", "log10", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("c")))
 
     def run(texts: pa.Table, own: pa.Table) -> pa.Table:
-        coded = own.filter(pc.is_valid(own["code"]))
-        order = np.argsort(code := coded["code"].to_numpy())
-        code, value = code[order].astype(np.uint64), coded["value"].to_numpy()[order]
+        coded = own.filter(pc.is_valid(own["codes"]))
+        code = np.concatenate([_unpack_codes(x.as_py()) for x in coded["codes"]])
+        value = np.concatenate([_unpack(x.as_py(), np.float64) for x in coded["log10"]])
+        order = np.argsort(code)
+        code, value = code[order], value[order]
         spelt = own.filter(pc.is_valid(own["word"]))
-        names, c_of = spelt["word"].cast(pa.large_binary()).combine_chunks(), spelt["value"].to_numpy()
+        names, c_of = spelt["word"].cast(pa.large_binary()).combine_chunks(), spelt["c"].to_numpy().astype(float)
         end_c = float(c_of[pc.index(names, pa.scalar(b"\xff", pa.large_binary())).as_py()])
         out = []
         for blob in texts["blob"]:

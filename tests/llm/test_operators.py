@@ -451,6 +451,24 @@ def test_ctw_edges(documents):
     assert ctw.score(one.limit(0)).count() == 0
 
 
+def test_ctw_reads_five_bytes_of_context(documents):
+    """Only the fifth byte back tells the two endings apart."""
+    assert ctw.DEPTH >= 5
+    texts = ["pabcdx qabcdy " * 6, "qabcdy pabcdx " * 5, "pabcdx", "pabcdy", "qabcdx"] * 5
+    out = {r["doc_id"]: r for r in ctw.score(documents(list(enumerate(texts))).repartition(2), bundle_bytes=100).collect()}
+    train = [t for i, t in enumerate(texts) if not out[i]["held_out"]]
+    for i, t in enumerate(texts[:5]):
+        assert out[i]["score"] == pytest.approx(tree_score(train, t, ctw.DEPTH))
+
+
+def test_ctw_packed_columns():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 1000):
+        code = np.unique(rng.integers(0, 1 << 56, n, np.uint64))
+        value = np.log(rng.random(n))
+        assert (ctw._unpack_codes(ctw._pack_codes(code)) == code).all() and (ctw._unpack(ctw._pack(value), np.float64) == value).all()
+
+
 def test_log_gamma():
     x = np.array([0.5, 1, 1.5, 7.9, 8, 100.5, 1e6 + 0.5])
     assert np.allclose(ctw._log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-11)
