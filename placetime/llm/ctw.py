@@ -13,8 +13,9 @@ Nothing grows in one place.  Texts are written once as bundles of bounded
 size; a bundle emits its distinct grams and words with training counts; grams
 travel as compressed columns (differences of sorted codes, about a byte a
 gram), one row per bundle and bucket; subtrees below the last two bytes are
-weighted per bucket (their size is bounded by the alphabet, not the corpus),
-the 255 x 256 nodes above them on the driver; and each bundle gets back only
+weighted per bucket (both of these bytes choose it, and the number of buckets
+follows the count of grams; the two bytes with most grams stay together), the
+255 x 256 nodes above them on the driver; and each bundle gets back only
 the entries of its own grams and words.  No model is broadcast.
 
 Defined results: a null text counts as empty (its one token is the end); a
@@ -25,6 +26,8 @@ ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,9 +39,10 @@ from .common import stored, table, text_slices
 
 DEPTH = 5
 TOP = 2
-BUNDLE_BYTES = 32 << 20
+BUNDLE_BYTES = 12 << 20
 SLICE_BYTES = 3 << 20
-BUCKETS = 128
+BUCKETS = 128  # at least
+BUCKET_GRAMS = 500_000  # of all bundles, on average
 END = 0xFF  # never occurs in UTF-8
 HELD_OUT = (7, 2)
 LN_HALF = float(np.log(0.5))
@@ -142,13 +146,16 @@ def count(blobs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     both, n = np.unique((code[coded] << np.uint64(1)) | learn[coded].astype(np.uint64), return_counts=True)
                     keys.append(both >> np.uint64(1))
                     counts.append(np.where(both & np.uint64(1), n, 0))
+                    del code, mark, coded, learn, both
+                    merged = _merged(keys, counts)
+                    keys, counts = [merged[0]], [merged[1]]
                     word, at, per = words_of(piece["text"])
                     n = np.bincount(at, weights=np.repeat(train, per), minlength=len(word)).astype(np.int64)
                     tables.append(pa.table({"word": word, "n": pa.array(n)}))
                     tables.append(pa.table({"word": pa.array([b"\xff"], pa.large_binary()), "n": pa.array([int(train.sum())], pa.int64())}))
                 if not keys:
                     continue
-                key, n = _merged(keys, counts)
+                key, n = keys[0], counts[0]
                 yield pa.RecordBatch.from_pylist([{"bundle": name, "codes": _pack_codes(key), "counts": _pack(n), "grams": len(key)}], schema=schema)
                 word = pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")])
                 word = word.filter(pc.not_equal(pc.binary_length(word["word"]), 0)).combine_chunks()
@@ -156,6 +163,8 @@ def count(blobs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     none = pa.nulls(part.num_rows, pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array([name] * part.num_rows, pa.string()), none, none, none.cast(pa.int64()),
                                                       part["word"].cast(pa.binary()), part["n_sum"]], schema=schema)
+                del keys, counts, key, n, tables, word
+                pa.default_memory_pool().release_unused()
 
     return blobs.mapInArrow(run, "bundle string, codes binary, counts binary, grams long, word binary, n long")
 
@@ -183,7 +192,7 @@ def _unpack_codes(blob: bytes) -> np.ndarray:
     return np.cumsum(_unpack(blob, np.uint64), dtype=np.uint64)
 
 
-def split(packed: DataFrame, depth: int) -> DataFrame:
+def split(packed: DataFrame, depth: int, buckets: int = BUCKETS) -> DataFrame:
     """The packed grams of bundles, dealt to buckets: a row per bundle and bucket that has grams."""
     schema = pa.schema([("bundle", pa.string()), ("bucket", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary())])
 
@@ -191,7 +200,7 @@ def split(packed: DataFrame, depth: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 code, n = _unpack_codes(row["codes"]), _unpack(row["counts"], np.int64)
-                bucket = _bucket(code, depth)
+                bucket = _bucket(code, depth, buckets)
                 order = np.argsort(bucket, kind="stable")
                 edge = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
                 parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True) if a < b]
@@ -242,11 +251,10 @@ def _mix(n0, n1, below):
     return both, np.exp(LN_HALF + own - both)
 
 
-def subtree(code: np.ndarray, n: np.ndarray, depth: int, top: int = TOP) -> list[list[dict]]:
-    """For each bit and each depth from ``top`` on: nodes with counts, weights
+def subtree(code: np.ndarray, n: np.ndarray, depth: int, top: int = TOP) -> Iterator[list[dict]]:
+    """For each bit in turn and each depth from ``top`` on: nodes with counts, weights
     and, per gram, the index of its node (``at``) and the bit it takes."""
     symbol = (code & np.uint64(255)).astype(np.int64)
-    out = []
     for k in range(8):
         node, bit = (1 << k) | (symbol >> (8 - k)), (symbol >> (7 - k)) & 1
         levels: list[dict] = []
@@ -263,8 +271,7 @@ def subtree(code: np.ndarray, n: np.ndarray, depth: int, top: int = TOP) -> list
             if upper is not None:
                 parent = np.searchsorted(upper["key"], (level["key"] >> 16 << 8) | (level["key"] & 255))
                 below = np.bincount(parent, level["log"], len(upper["key"]))
-        out.append(levels)
-    return out
+        yield levels
 
 
 def _estimate(level: dict) -> np.ndarray:
@@ -287,8 +294,11 @@ def roots(grams: DataFrame, depth: int) -> DataFrame:
     return grams.groupBy("bucket").applyInArrow(run, "last long, node long, n0 double, n1 double, log double")
 
 
-def _bucket(code: np.ndarray, depth: int) -> np.ndarray:
-    return ((code >> np.uint64(8 * (depth + 1 - TOP))) % np.uint64(BUCKETS)).astype(np.int64)
+def _bucket(code: np.ndarray, depth: int, buckets: int) -> np.ndarray:
+    """A mix of all TOP latest context bytes; subtrees below them are independent."""
+    with np.errstate(over="ignore"):
+        mixed = (code >> np.uint64(8 * (depth + 1 - TOP))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
 def upper_nodes(root_nodes: DataFrame) -> np.ndarray:
@@ -337,7 +347,8 @@ def score(docs: DataFrame, depth: int = DEPTH, bundle_bytes: int = BUNDLE_BYTES)
     blobs = stored(spark, bundles(docs, bundle_bytes), "bundles")
     counts = stored(spark, count(blobs, depth).withColumn("kind", F.when(F.col("codes").isNull(), "word").otherwise("gram")), "counts", by="kind")
     codes, words = counts.where("kind = 'gram'"), counts.where("kind = 'word'")
-    log10 = weigh(split(codes, depth), depth)
+    grams = int(codes.agg(F.sum("grams").alias("n")).first()["n"] or 0)
+    log10 = weigh(split(codes, depth, max(BUCKETS, -(-grams // BUCKET_GRAMS))), depth)
     same = Window.partitionBy("word")
     known = words.select("bundle", "word", F.sum("n").over(same).alias("c"), (F.min("bundle").over(same) == F.col("bundle")).alias("one"))
     known = stored(spark, known, "known")

@@ -461,6 +461,24 @@ def test_ctw_reads_five_bytes_of_context(documents):
         assert out[i]["score"] == pytest.approx(tree_score(train, t, ctw.DEPTH))
 
 
+def test_ctw_buckets_follow_both_bytes_and_the_count(documents, monkeypatch):
+    """One latest byte spreads over buckets, more grams make more buckets, and scores don't depend on them."""
+    pairs = (np.arange(256, dtype=np.uint64) | np.uint64(ord("e") << 8)) << np.uint64(8 * 4)
+    older = (np.uint64(ord("e")) | (np.arange(256, dtype=np.uint64) << np.uint64(8))) << np.uint64(8 * 4)
+    for codes in (pairs, older):
+        found = np.bincount(ctw._bucket(codes, 5, 128), minlength=128)
+        assert (found > 0).sum() > 64 and found.max() <= 16
+    docs = documents([(i, "the cat sat on the mat " + "abcdefghij"[i:]) for i in range(10)])
+    score = lambda: {r["doc_id"]: r["score"] for r in ctw.score(docs).collect()}
+    seen, whole = [], ctw.split
+    monkeypatch.setattr(ctw, "split", lambda p, d, n: seen.append(n) or whole(p, d, n))
+    before = score()
+    monkeypatch.setattr(ctw, "BUCKET_GRAMS", 1)
+    after = score()
+    assert seen[1] > seen[0] == ctw.BUCKETS
+    assert after == pytest.approx(before)
+
+
 def test_ctw_packed_columns():
     rng = np.random.default_rng(3)
     for n in (0, 1, 1000):
