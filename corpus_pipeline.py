@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), works on what the one before it kept,
 and is written as Parquet and read again before the next.  All but the last
 return the columns of documents.  The mix may take a document twice, and each
-copy is packed; the last stage returns the packed pieces.
+copy is packed; the last stage returns the packed pieces with their token ids.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the token ids of all documents into sequences."""
-    return packing.digest(docs)
+    return packing.pack(docs)
 
 
 STAGES = [

@@ -221,7 +221,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The placed pieces with a checksum instead of their ids; the ids are hashed before the table is written."""
-    pieces = tokenize(docs, default_tokenizer()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    placed = place(stored(docs.sparkSession, pieces, "pieces"))
-    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    """The packed pieces with a checksum instead of their ids, from the table that holds the ids."""
+    packed = pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -242,6 +242,23 @@ def test_packing_query(spark):
     assert used <= math.ceil(sum(r["length"] for r in out) / 2048) + 2
 
 
+def test_packed_pieces_hold_the_ids(spark, documents, monkeypatch):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    docs = [(i, t) for i, t in enumerate([None, "", "a b c", "words and more " * 900])]
+    table = documents(docs)
+    rows = {(r["doc_id"], r["piece"]): r for r in corpus_pipeline.sequences(spark, table, SF).collect()}
+    for doc_id, text in docs:
+        own = b"".join(bytes(rows[k]["ids"]) for k in sorted(rows) if k[0] == doc_id)
+        assert np.frombuffer(own, "<u4").tolist() == [*tok.encode(text or "", add_special_tokens=False).ids, 0]
+    made, whole = [], packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a: made.append(whole(*a)) or made[-1])
+    digests = {(r["doc_id"], r["piece"]): r["ids_crc32"] for r in packing.digest(table).collect()}
+    assert len(made) == 1 and "ids" in made[0].columns and digests == {k: zlib.crc32(bytes(r["ids"])) for k, r in rows.items()}
+
+
 def test_packing_edges(documents):
     texts = [*EDGE_TEXTS, "<|endoftext|> Hi <|ENDOFTEXT|>", "it's I'LL don't.. x.,y ,. .", "é. ß. ﬁ, ́x \x1c y \x85 z", "word " * 5000, "word " * 2047, None]
     docs = list(enumerate(texts)) + [(3, "twice"), (3, "twice"), (None, "nobody")]
