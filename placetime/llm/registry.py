@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import codes, ctw, jaccard, langid, mixing, packing, pieces, pii, quality, toolcalls, topk, warc
+from . import codes, ctw, jaccard, langid, mixing, packing, pieces, pii, quality, toolcalls, topk, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.query,
@@ -19,8 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.query,
     "op9_warc": warc.query,
     "op10_topk": topk.query,
+    "op11_trie": trie.query,
     "op12_pieces": pieces.query,
     "op13_codes": codes.query,
 }
 
-SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op9_warc": warc.SQL, "op10_topk": topk.SQL, "op13_codes": codes.SQL}
+SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op9_warc": warc.SQL, "op10_topk": topk.SQL, "op11_trie": trie.SQL, "op13_codes": codes.SQL}
