@@ -5,8 +5,7 @@ every adjacent pair of symbols whose join is a piece, best score first and
 leftmost first among equals.  Taking a pair joins its symbols, and the two new
 neighbours enter the agenda; entries of symbols that have changed since are
 passed over.  What is left is looked up, and a symbol outside the vocabulary
-becomes its UTF-8 bytes.  Every Arrow batch is encoded by the sentencepiece
-library too, and ``agrees`` says whether both gave the same ids.
+becomes its UTF-8 bytes.
 
 No pair joins where no piece of the vocabulary holds the two characters side by
 side, so words, and the stops behind them, are chunks that merge on their own.
@@ -14,6 +13,12 @@ Chunks repeat, and a worker keeps those it has met lately in two tables of
 bounded size: a chunk in use moves to the younger one, and when that is full it
 becomes the older one, whose rest goes (results do not depend on it).
 
+Every Arrow batch is checked against the sentencepiece library: it encodes all
+chunks that were merged for the batch, behind a character that joins nothing,
+and decodes all ids, which must give the normalised texts again.  ``agrees`` says
+whether a text and all its chunks pass.  Where the vocabulary has no such
+character, the library encodes whole texts.
+
 Defined results: a null or empty text has no ids and decodes to the empty text;
 repeated rows are encoded one by one; other columns are ignored; a vocabulary
 with unused pieces, which the merge would have to undo, is refused.
@@ -30,6 +35,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,20 +76,29 @@ class Agenda:
         self.byte = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.fallback = all(lib.is_byte(i) for i in self.byte)
         self.unknown = lib.unk_id()
-        self.chunks = re.compile(self._chunks() if self.fallback else "(?s).+")
+        behind: dict[str, set[str]] = {}
+        for piece in self.id:
+            for a, b in zip(piece, piece[1:], strict=False):
+                behind.setdefault(b, set()).add(a)
+        self.chunks = re.compile(self._chunks(behind))
+        #: a character that joins nothing, and its ids at the start of a text
+        ahead = set().union(*behind.values()) if behind else set()
+        free = [c for c in "\n\t\v\f" if self.fallback and c not in behind and c not in ahead and lib.normalize("a" + c).endswith(c)]
+        self.guard, self.guard_ids = (free[0], lib.encode(free[0])) if free else ("", [])
+        self.prefix = BLANK if lib.normalize("a").startswith(BLANK) else ""
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.unchecked: dict[str, bytes] = {}
+        self.wrong: set[str] = set()
 
-    def _chunks(self) -> str:
-        """A pattern of chunks.  Cuts stand only where no piece holds the two characters side by side:
-        before a blank and around the usual ends of words, as far as the vocabulary allows."""
-        behind = {c: {p[k - 1] for p in self.id for k in range(1, len(p)) if p[k] == c} for c in f"{BLANK}\n.,;:!?"}
-        if behind[BLANK] - {BLANK}:
+    def _chunks(self, behind: dict[str, set[str]]) -> str:
+        """A pattern of chunks, cut only where no piece holds the two characters side by side: before a
+        blank and around Latin characters other than plain letters and digits, as far as the vocabulary allows."""
+        if not self.fallback or behind.get(BLANK, set()) - {BLANK}:  # runs of unknown symbols cross cuts
             return "(?s).+"
-        ends = "".join(c for c in behind if c != BLANK)
-        goes_on = [f"[^{BLANK}{ends}]+"]
-        goes_on += [f"(?<=[{''.join(map(re.escape, sorted(b)))}]){re.escape(c)}" for c, b in behind.items() if c != BLANK and b]
-        return f"(?:{BLANK}+|[^{BLANK}])(?:{'|'.join(goes_on)})*"
+        rare = "".join(c for c in map(chr, range(0x250)) if not (c.isascii() and c.isalnum()))
+        rest = [f"{re.escape(c)}(?<=[{''.join(map(re.escape, sorted(behind[c])))}]{re.escape(c)})" for c in rare if c in behind]
+        return f"(?s:{BLANK}+|[^{BLANK}])(?:{'|'.join([f'[^{BLANK}{re.escape(rare)}]+', *rest])})*"
 
     def merge(self, text: str) -> list[str]:
         """The pieces of one chunk.  An agenda entry is a pair's rank and its left symbol's place, as one number."""
@@ -122,7 +137,11 @@ class Agenda:
 
     def chunk(self, text: str) -> bytes:
         """Ids of a chunk that is not in the younger table, as little-endian 32-bit integers."""
-        got = self.older.get(text) or array("i", self.ids(self.merge(text))).tobytes()
+        got = self.older.get(text)
+        if got is None:
+            got = array("i", self.ids(self.merge(text))).tobytes()
+            if self.guard:
+                self.unchecked[text] = got
         if len(text) <= self.LONGEST:
             if len(self.known) >= self.MOST:
                 self.known, self.older = {}, self.known
@@ -133,8 +152,19 @@ class Agenda:
         """Ids of a whole text as little-endian 32-bit integers."""
         if not text:
             return b""
-        whole = self.library.normalize(text)
-        return b"".join([self.known.get(c) or self.chunk(c) for c in self.chunks.findall(whole)])
+        return b"".join([self.known.get(c) or self.chunk(c) for c in self.chunks.findall(self.library.normalize(text))])
+
+    def agree(self, texts: list[str], ids: list[bytes], decoded: list[str]) -> list[bool]:
+        """Whether the library agrees with the ids of each text."""
+        if not self.guard:
+            return [array("i", x).tobytes() == own for x, own in zip(self.library.encode(texts, num_threads=1), ids, strict=True)]
+        theirs = self.library.encode([self.guard + c.replace(BLANK, " ") for c in self.unchecked], num_threads=1)
+        lead = array("i", self.guard_ids).tobytes()
+        self.wrong.update(c for (c, own), x in zip(self.unchecked.items(), theirs, strict=True) if array("i", x).tobytes() != lead + own)
+        self.unchecked = {}
+        whole = [self.library.normalize(t) for t in texts]
+        same = [w.removeprefix(self.prefix).replace(BLANK, " ") == d for w, d in zip(whole, decoded, strict=True)]
+        return [s and self.wrong.isdisjoint(self.chunks.findall(w)) for s, w in zip(same, whole, strict=True)] if self.wrong else same
 
 
 @lru_cache(maxsize=1)
@@ -149,24 +179,24 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def encode(docs: DataFrame, model: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ids (array<int>), agrees: the library gave the same ids."""
+    """doc_id, ids (array<int>), decoded (the library's text of the ids), agrees."""
     path = model or default_model()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = pa.list_(pa.int32())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         agenda = worker_agenda(path)
         for batch in _slices(batches):
             texts = batch["text"].to_pylist()
             own = [agenda.encode(t) for t in texts]
-            theirs = agenda.library.encode(texts, num_threads=1)
-            agrees = [array("i", b).tobytes() == a for a, b in zip(own, theirs, strict=True)]
-            ends = np.cumsum([0, *(len(a) // 4 for a in own)]).astype(np.int32)
+            decoded = agenda.library.decode([np.frombuffer(x, "<i4").tolist() for x in own], num_threads=1)
+            agrees = agenda.agree(texts, own, decoded)
+            ends = np.cumsum([0, *(len(x) // 4 for x in own)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(own), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], ids.cast(kind), pa.array(agrees)], names=["doc_id", "ids", "agrees"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], ids, pa.array(decoded, pa.string()), pa.array(agrees)],
+                                             names=["doc_id", "ids", "decoded", "agrees"])
 
     key = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {key}, ids array<int>, agrees boolean")
+    return rows.mapInArrow(run, f"doc_id {key}, ids array<int>, decoded string, agrees boolean")
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -182,7 +212,9 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
             step = max(1, SLICE * batch.num_rows // max(1, batch.nbytes))
             for k in range(0, batch.num_rows, step):
                 part = batch.slice(k, step)
-                texts = lib.decode([x or [] for x in part["ids"].to_pylist()], num_threads=1)
+                ids = part["ids"].fill_null([]) if part["ids"].null_count else part["ids"]
+                flat, ends = ids.flatten().to_numpy().tolist(), np.cumsum([0, *pc.list_value_length(ids).to_pylist()])
+                texts = lib.decode([flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], num_threads=1)
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(texts, pa.string())], names=names)
 
     schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept)
@@ -191,10 +223,9 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 def digest(docs: DataFrame, model: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, agrees."""
-    rows = decode(encode(docs, model), model)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), ","), 256).alias("ids_sha256"),
-                       F.sha2("text", 256).alias("decoded_sha256"), "agrees")
+    return encode(docs, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

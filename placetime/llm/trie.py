@@ -220,7 +220,8 @@ def sequences(conversations: DataFrame) -> DataFrame:
 
 
 def rebuilt(conversations: DataFrame, shared: int = SHARED, head: int = HEAD) -> DataFrame:
-    """Each conversation c behind the first h turns of conversation c - c % ``shared``, h = crc32(c) % ``head``."""
+    """Each conversation c behind the first h turns of conversation c - c % ``shared``, h = crc32(c) % ``head``
+    (a negative id's remainder is negative, as in SQL)."""
     own = stored(conversations.sparkSession, sequences(conversations), "turns")
     heads = own.where(F.col("conv_id") % shared == 0).select(F.col("conv_id").alias("donor"), F.slice("turns", 1, head - 1).alias("head"))
     h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % head).cast("int")
