@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # Lookups up to this many bytes are broadcast.
 MAX_BROADCAST_BYTES = 16 << 20
+# Rows of a lookup that may be fetched as literals.
+MAX_BROADCAST_ROWS = 100_000
 
 
 def materialize_small(df: DataFrame) -> DataFrame:
@@ -52,6 +54,19 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(side, on, how)
 
 
+def join_bounded(big: DataFrame, small: DataFrame, on: str, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join an aggregated lookup to row data that is read in several passes.
+
+    Up to ``max_rows`` rows of the lookup are fetched and become literal rows,
+    broadcast without a file or a second aggregate.  A larger lookup stays a plan
+    and is joined by a shuffle (with AQE skew splitting).
+    """
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return big.join(small, on, how)
+    return big.join(F.broadcast(big.sparkSession.createDataFrame(rows, small.schema)), on, how)
+
+
 def hour_domain(spark: SparkSession, name: str = "hour") -> DataFrame:
     """The 24-row hour domain (fixed size, safe to broadcast)."""
     return spark.range(24).select(F.col("id").cast("int").alias(name))

@@ -1,10 +1,12 @@
 """Filters, projections, sorts and positions."""
 
+import os
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from placetime.operators import filters, sort
+from placetime.operators import filters, joins, sort
 from placetime.roles import SORT_CATEGORY, SORT_FREQUENCY, SORT_HOUR_ASC, SORT_HOUR_DESC, ColumnRoles, FilterSpec
 
 ROLES = ColumnRoles()
@@ -76,7 +78,7 @@ def test_sorted_positions_match_row_number(spark, small, mode):
         data = skewed.repartition(parts)
         got = {r["key"]: r["pos"] for r in sort.sorted_with_position(data, ROLES, mode).collect()}
         src = sort.category_frequency(data, "category") if mode == SORT_FREQUENCY else data
-        want = _brute(src, sort.sort_order(ROLES, mode))
+        want = _brute(src, sort.order_columns(sort.sort_order(ROLES, mode)))
         assert got == want
 
 
@@ -96,3 +98,43 @@ def test_empty_frames(spark):
 def test_category_filter_with_frame(spark, small):
     sel = spark.createDataFrame([("Theft",), ("Theft",), ("nope",)], "c string")
     assert filters.category_filter(small, "category", sel).count() == 20
+
+
+def _folder_entries(spark):
+    return sum(len(files) for _, _, files in os.walk(spark.sparkContext.getCheckpointDir().removeprefix("file:")))
+
+
+def test_positions_over_many_ranges_without_files(spark, monkeypatch):
+    monkeypatch.setattr(sort, "LEAST_RANGE_ROWS", 10)
+    rows = [(i, "hot" if i % 10 else f"c{i % 7}", i % 3 / 2, None if i % 11 == 0 else i % 5) for i in range(4000)]
+    df = spark.createDataFrame(rows, "key long, category string, x double, hour int")
+    orders = [[("hour", True), ("category", True), ("key", True)], [("category", False), ("hour", False), ("key", False)],
+              [("x", False), ("category", True), ("key", True)], [("category", True), ("key", True)]]
+    before = _folder_entries(spark)
+    for order in orders:
+        want = _brute(df, sort.order_columns(order))
+        for parts in (1, 9):
+            out = sort.number_rows(df.repartition(parts), order, ranges=12).withColumn("task", F.spark_partition_id()).collect()
+            assert {r["key"]: r["pos"] for r in out} == want
+            # A range is a task of its own, the hot category is spread over many, and tasks come in the order.
+            sizes, first = {}, {}
+            for r in out:
+                sizes[r["task"]] = sizes.get(r["task"], 0) + 1
+                first[r["task"]] = min(first.get(r["task"], r["pos"]), r["pos"])
+            assert len(sizes) == 12 and max(sizes.values()) < 2 * 4000 / 12
+            assert [first[t] for t in sorted(first)] == sorted(first.values())
+    by_frequency = sort.sorted_with_position(df.select("key", "category", "hour"), ROLES, SORT_FREQUENCY)
+    assert by_frequency.count() == 4000 and _folder_entries(spark) == before
+
+
+def test_positions_plan_has_one_exchange_of_rows(spark):
+    df = spark.range(5000).select(F.col("id").alias("key"), (F.col("id") % 7).cast("string").alias("category"), (F.col("id") % 24).cast("int").alias("hour"))
+    plan = sort.sorted_with_position(df, ROLES, SORT_CATEGORY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "shufflepartitionidpassthrough" in plan
+
+
+def test_large_lookup_stays_a_join(spark):
+    big = spark.range(100).select((F.col("id") % 10).alias("c"))
+    sizes = big.groupBy("c").count()
+    got = joins.join_bounded(big, sizes, "c", max_rows=3)
+    assert got.where("count = 10").count() == 100 and joins.join_bounded(big, sizes, "c").where("count = 10").count() == 100
