@@ -21,7 +21,7 @@ from ..functions.features import (
     normalize_day,
     time_band,
 )
-from ..roles import DAY_COLUMN_ALIASES, DAY_NAMES, TIME_BANDS, ColumnRoles
+from ..roles import DAY_COLUMN_ALIASES, DAY_NAMES, MISSING_CATEGORY, TIME_BANDS, ColumnRoles
 from ..sources.schema import aliased_column
 
 
@@ -35,12 +35,13 @@ def drop_nulls(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.na.drop(how="any", subset=list(subset))
 
 
-def coerce_incidents(df: DataFrame, roles: ColumnRoles, keep_missing: bool = True) -> DataFrame:
+def coerce_incidents(df: DataFrame, roles: ColumnRoles, missing: str | None = MISSING_CATEGORY) -> DataFrame:
     """Category as string, coordinates and hour as numbers (bad -> null),
     rows missing a number dropped, hour truncated and clipped to 0..23.
 
-    A missing category becomes the text ``None`` (``keep_missing=False``
-    drops the row).  Deviation: +-infinity is dropped instead of failing.
+    A missing category is kept as the text ``missing``, by default what the text
+    of a field missing from a CSV file is; ``missing=None`` drops the row.
+    Deviation: +-infinity is dropped instead of failing.
     """
     c, la, lo, h = roles.category, roles.lat, roles.lon, roles.hour
     # Validate the raw values first, then convert: each input is read once
@@ -48,10 +49,13 @@ def coerce_incidents(df: DataFrame, roles: ColumnRoles, keep_missing: bool = Tru
     # columns would be pushed below the projection with every conversion
     # inlined into it).
     valid = is_number(la) & is_number(lo) & is_number(h)
-    if not keep_missing:
+    text = F.col(c).cast("string")
+    if missing is None:
         valid = F.col(c).isNotNull() & valid
+    else:
+        text = F.coalesce(text, F.lit(missing))
     return df.where(valid).withColumns({
-        c: F.coalesce(F.col(c).cast("string"), F.lit("None")),
+        c: text,
         la: F.col(la).try_cast("double"),
         lo: F.col(lo).try_cast("double"),
         h: clip_hour(F.col(h).try_cast("double")),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators import clean, correlation, filters, ml, pivot, replicate, spatial
 from ..functions.hashing import keyed_int
-from ..roles import LAT_LOW, LAT_WIDTH, LON_LOW, LON_WIDTH, NA_TOKENS, ColumnRoles, FilterSpec
+from ..roles import LAT_LOW, LAT_WIDTH, LON_LOW, LON_WIDTH, MISSING_CATEGORY, NA_TOKENS, ColumnRoles, FilterSpec
 from ..session import scratch_path
 from ..sources import files
 from ..sources import fixtures as fxt
@@ -216,13 +216,31 @@ def q_csv_inferred_types(spark, d):
     return files.read_csv_na(spark, out)
 
 
+#: Fields that read as missing, dealt to a third of the rows by key.
+GAPS = ("", "NA", "NaN", "null")
+
+
 @register("filtered_export", W(o.INCIDENTS_WIDE) + """
-SELECT key, category, lat, lon, hour FROM incidents_wide WHERE hour BETWEEN 3 AND 20 AND regexp_matches(category, '^1', 'i')""")
+SELECT key, category, hour, day, lat, lon FROM incidents_wide WHERE hour BETWEEN 3 AND 20 AND regexp_matches(category, '^1', 'i')""")
 def q_filtered_export(spark, d):
+    """All columns of the filtered rows, as written."""
     out = scratch_path(spark, f"filtered-{uuid.uuid4().hex}")
     picked = filters.apply_filters(fxt.incidents_wide(spark, d), ROLES, FilterSpec(hour_range=(3, 20), search="^1"))
-    files.write_table(picked, out, "csv", columns=["key", "category", "lat", "lon", "hour"])
-    return files.read_raw_csv(spark, out, EXPORT_SCHEMA)
+    files.write_table(picked, out, "csv")
+    return files.read_raw_csv(spark, out, picked.schema)
+
+
+@register("missing_category", W(o.INCIDENTS) + f"""
+, f AS (SELECT *, list_extract([{', '.join(o.q(t) for t in GAPS)}], {o.kint('gap', 3 * len(GAPS), 'key')} + 1) AS gap FROM incidents)
+SELECT key, CASE WHEN gap IS NULL THEN category ELSE {o.q(MISSING_CATEGORY)} END AS category, hour, lat, lon FROM f""")
+def q_missing_category(spark, d):
+    """Categories lost to missing-value tokens in a CSV file: their rows stay, with the text of a missing field."""
+    rows = fxt.incidents(spark, d).select("key", "category", "lat", "lon", "hour")
+    gap = F.try_element_at(F.array(*map(F.lit, GAPS)), keyed_int("gap", 3 * len(GAPS), "key") + 1)
+    out = scratch_path(spark, f"gaps-{uuid.uuid4().hex}")
+    files.write_table(rows.withColumn("category", F.coalesce(gap, "category")), out, "csv")
+    back = clean.coerce_incidents(files.read_csv_na(spark, out, EXPORT_SCHEMA), ROLES)
+    return back.select("key", "category", "hour", "lat", "lon")
 
 
 __all__ = ["PrepareResult", "RAW_ROLES", "build_report", "prepare"]

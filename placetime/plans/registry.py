@@ -27,6 +27,7 @@ from ..roles import (
     MAP_ALL,
     MAP_INTENSITY,
     MAP_TYPE,
+    MISSING_CATEGORY,
     SORT_CATEGORY,
     SORT_FREQUENCY,
     SORT_HOUR_ASC,
@@ -89,7 +90,7 @@ def _clean_raw(spark, d) -> DataFrame:
 
 W = o.with_
 CLEAN_RAW_SQL = f"""clean_raw AS (
-  SELECT key, coalesce(category, 'None') AS category, {o.clip_hour('hour_raw')} AS hour, lat_raw AS lat, lon, day_raw FROM incidents_raw
+  SELECT key, coalesce(category, {o.q(MISSING_CATEGORY)}) AS category, {o.clip_hour('hour_raw')} AS hour, lat_raw AS lat, lon, day_raw FROM incidents_raw
   WHERE hour_raw IS NOT NULL AND NOT isnan(hour_raw) AND isfinite(hour_raw)
     AND lat_raw IS NOT NULL AND NOT isnan(lat_raw) AND lon IS NOT NULL AND NOT isnan(lon))"""
 

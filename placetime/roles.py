@@ -78,9 +78,6 @@ SUMMARY_METRICS = ("Total Crimes", "Unique Crime Types", "Peak Crime Hour", "Lea
 LAT_LOW, LAT_WIDTH = 28.4, 0.5
 LON_LOW, LON_WIDTH = 77.0, 0.5
 
-# Scenario form defaults: hour 12 at (28.6139, 77.2090).
-DEFAULT_SCENARIO = (12, 28.6139, 77.2090)
-
 # Cluster-count rule: k = min(6, max(2, n // 250 + 2)), at most n.
 CLUSTER_MIN, CLUSTER_MAX, CLUSTER_ROWS_PER_STEP = 2, 6, 250
 
@@ -94,11 +91,8 @@ NA_TOKENS = (
     "nan", "null",
 )
 
-# Column names of the reference's processed table.
-REFERENCE_CATEGORY = "Crime Description"
-REFERENCE_LAT = "Latitude"
-REFERENCE_LON = "Longitude"
-REFERENCE_HOUR = "Hour"
+# Text of a missing category: that of a field missing from a CSV file.
+MISSING_CATEGORY = "nan"
 
 
 @dataclass(frozen=True)
@@ -119,11 +113,6 @@ class ColumnRoles:
         return replace(self, day=day)
 
 
-REFERENCE_ROLES = ColumnRoles(
-    category=REFERENCE_CATEGORY, lat=REFERENCE_LAT, lon=REFERENCE_LON, hour=REFERENCE_HOUR, key="row_key"
-)
-
-
 @dataclass(frozen=True)
 class FilterSpec:
     """Dashboard-style filter settings, applied lazily by ``apply_filters``.

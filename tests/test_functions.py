@@ -33,8 +33,9 @@ def test_numeric_coercion_of_coordinates(spark):
                                 (4, "a", "28.5", 77.0, 3.0)],
                                "key long, category string, lat string, lon double, hour double")
     out = clean.coerce_incidents(df, ColumnRoles()).collect()
-    assert [r["key"] for r in out] == [4]
-    assert out[0]["lat"] == 28.5 and out[0]["hour"] == 3
+    # A row without a number goes; one without a category stays with the text of a missing CSV field.
+    assert [(r["key"], r["category"]) for r in out] == [(3, "nan"), (4, "a")]
+    assert out[1]["lat"] == 28.5 and out[1]["hour"] == 3
 
 
 def test_day_normalisation(spark):

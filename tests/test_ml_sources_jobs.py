@@ -176,8 +176,9 @@ def test_one_row_and_null_category(spark):
     assert fit is None and out.first()["cluster_id"] == "0"
     nulls = spark.createDataFrame([(1, None, 28.5, 77.2, 5.0), (2, "a", 28.5, 77.2, 5.0)],
                                   "key long, category string, lat double, lon double, hour double")
-    assert [r["category"] for r in clean.coerce_incidents(nulls, ColumnRoles()).collect()] == ["None", "a"]
-    assert clean.coerce_incidents(nulls, ColumnRoles(), keep_missing=False).count() == 1
+    assert [r["category"] for r in clean.coerce_incidents(nulls, ColumnRoles()).collect()] == ["nan", "a"]
+    assert clean.coerce_incidents(nulls, ColumnRoles(), missing="?").first()["category"] == "?"
+    assert clean.coerce_incidents(nulls, ColumnRoles(), missing=None).count() == 1
 
 
 def test_class_only_in_test_rows_is_scored(spark):
