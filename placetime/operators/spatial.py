@@ -1,6 +1,6 @@
 """Spatial operators: density grid, category and cluster slots, legends and
-map points, the cluster-count rule, nearest-center assignment, K-means with
-restarts, and cluster summaries.
+map points, the cluster-count rule, nearest-center assignment, K-means whose
+restarts share every pass, and cluster summaries.
 
 Centers are at most six points, so nearest-center assignment is a handful
 of column expressions evaluated per row (no join at all).  Grid extents are
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import hour_intensity
+from ..functions.hashing import keyed_uniform
 from ..roles import (
     ALL_LEGEND_LABEL,
     CLUSTER_MAX,
@@ -176,47 +177,114 @@ class ClusterFit:
     k: int
     centers: list[tuple[float, float]]  # canonical order: by (lat, lon)
     cost: float | None
-    model: object | None
+    iterations: int = 0  # of the restart that won
+    restart: int = 0
 
 
 # Restarts per clustering, as in the reference (its learner ran 10 initialisations).
 KMEANS_RESTARTS = 10
+# A restart stops when its centers' squared moves are below this share of the mean variance ...
+KMEANS_TOLERANCE = 1e-4
+# ... and the best one goes on until they are below this.
+KMEANS_FIXED = 1e-16
 
+Centers = dict[int, list[tuple[float, float]]]  # by restart
 
-def fit_kmeans(df: DataFrame, lat: str, lon: str, k: int, seed: int = 42, restarts: int = KMEANS_RESTARTS,
-               max_iter: int = 300, parallel: int = 4) -> ClusterFit:
-    """K-means on (lat, lon) with several seeds; the lowest cost wins (ties:
-    the lowest seed).
-
-    MLlib's k-means|| runs distributed; only the k centers reach the driver.
-    The restarts are independent, so up to ``parallel`` of them are
-    submitted at once (their jobs share the cluster).  Centers are
-    renumbered in (lat, lon) order so ids are canonical.
-    """
-    from concurrent.futures import ThreadPoolExecutor
 
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
+def _rival_centers(centers: Centers) -> Column:
+    """(restart, la, lo) rows for ``inline``; a constant that generated code refers to, so no round compiles anew."""
+    rows = [F.struct(F.lit(r).alias("restart"), F.array(*[F.lit(float(a)) for a, _ in c]).alias("la"), F.array(*[F.lit(float(b)) for _, b in c]).alias("lo"))
+            for r, c in sorted(centers.items())]
+    return F.array(*rows)
+
+
+def _with_nearest(points: DataFrame, centers: Centers) -> DataFrame:
+    """The points once per restart, with ``near``: squared distance and index of the nearest of its centers."""
+    k = len(next(iter(centers.values())))
+    spread = points.select("*", F.inline(_rival_centers(centers)))
+    far = []
+    for i in range(k):
+        dlat, dlon = F.col("lat") - F.get("la", F.lit(i)), F.col("lon") - F.get("lo", F.lit(i))
+        far.append(F.struct((dlat * dlat + dlon * dlon).alias("d"), F.lit(i).alias("id")))
+    return spread.select(*points.columns, "restart", F.array_min(F.array(*far)).alias("near"))
+
 
-    pts = VectorAssembler(inputCols=[lat, lon], outputCol="_xy").transform(
-        df.select(lat, lon).na.drop(how="any")).select("_xy")
-    # Read in every iteration of every restart: dealt evenly once.
-    pts = pts.repartition(shuffle_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
+def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers:
+    """k-means++ over all points, every restart in the same ``k`` aggregates.
+
+    The point of least ``-ln(1 - u) / w`` is a draw in proportion to w; u is keyed
+    by (seed, restart, step, key) and w the squared distance to the nearest center
+    so far, so a draw needs no running sum and is the same in every run.  Where all
+    points lie on centers, the last center is repeated.
+    """
+    centers: Centers = {r: [] for r in range(restarts)}
+    for step in range(k):
+        draws = []
+        for r, own in centers.items():
+            score = -F.log(F.lit(1.0) - keyed_uniform(f"km{seed}-{r}-{step}", "key"))
+            if own:
+                chosen = F.array(*[F.struct(F.lit(a).alias("la"), F.lit(b).alias("lo")) for a, b in own])
+                away = F.array_min(F.transform(chosen, lambda c: F.pow(F.col("lat") - c["la"], 2.0) + F.pow(F.col("lon") - c["lo"], 2.0)))
+                score = F.when(away > 0, score / away)
+            draws.append(F.min_by(F.struct("lat", "lon"), F.when(score.isNotNull(), F.struct(score.alias("s"), F.col("key").alias("key")))).alias(f"r{r}"))
+        row = points.agg(*draws).first()
+        for r, own in centers.items():
+            found = row[f"r{r}"]
+            own.append((float(found["lat"]), float(found["lon"])) if found else own[-1])
+    return centers
+
+
+def _move(points: DataFrame, centers: Centers) -> tuple[Centers, dict[int, float]]:
+    """Centers at the means of their points (those without any stay) and each restart's squared move; one aggregate."""
+    means = _with_nearest(points, centers).groupBy("restart", F.col("near.id").alias("c")).agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+    moved = {r: list(own) for r, own in centers.items()}
+    for m in means.collect():  # restarts x k rows at most
+        moved[m["restart"]][m["c"]] = (m["lat"], m["lon"])
+    return moved, {r: sum((a - x) ** 2 + (b - y) ** 2 for (a, b), (x, y) in zip(own, centers[r], strict=True)) for r, own in moved.items()}
+
+
+def _settle(points: DataFrame, centers: Centers, tolerance: float, max_iter: int) -> tuple[Centers, dict[int, int]]:
+    """Lloyd rounds of all restarts at once; a restart leaves when its squared move is within ``tolerance``."""
+    done: Centers = {}
+    rounds = {}
+    for i in range(1, max_iter + 1):
+        if not centers:
+            break
+        centers, moves = _move(points, centers)
+        for r, move in moves.items():
+            if move <= tolerance or i == max_iter:
+                done[r], rounds[r] = centers.pop(r), i
+    return done, rounds
 
-    def one(r: int):
-        model = KMeans(k=int(k), seed=int(seed) + r, featuresCol="_xy", maxIter=max_iter).fit(pts)
-        return model.summary.trainingCost, r, model
 
+def fit_kmeans(df: DataFrame, lat: str, lon: str, k: int, seed: int = 42, restarts: int = KMEANS_RESTARTS,
+               max_iter: int = 300, key: str | None = None) -> ClusterFit:
+    """K-means on (lat, lon) from several seedings; the lowest cost wins (ties: the first restart).
+
+    All restarts share every pass over the points: a round is one aggregate by
+    (restart, center), and restarts that have settled leave it.  The best one then
+    goes on until its centers are the means of the points nearest to them.  Only
+    restarts x k centers reach the driver.  Draws are keyed by ``key`` (without
+    one, by the coordinates), so the fit does not depend on the partitioning.
+    Centers are renumbered in (lat, lon) order so ids are canonical.
+    """
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+    label = F.col(key) if key else F.concat_ws(" ", F.col(lat).cast("string"), F.col(lon).cast("string"))
+    points = df.where(finite(lat) & finite(lon)).select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"), label.alias("key"))
+    # Read in every round: dealt evenly once.
+    points = points.repartition(shuffle_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        pts.count()
-        runs = range(max(1, int(restarts)))
-        with ThreadPoolExecutor(max_workers=max(1, min(int(parallel), len(runs)))) as pool:
-            fits = list(pool.map(one, runs))
+        spread = points.agg(((F.var_pop("lat") + F.var_pop("lon")) / 2).alias("v")).first()["v"] or 0.0
+        centers = seed_centers(points, int(k), int(seed), max(1, int(restarts)))
+        points = points.drop("key")
+        settled, rounds = _settle(points, centers, KMEANS_TOLERANCE * spread, max_iter)
+        costs = _with_nearest(points, settled).groupBy("restart").agg(F.sum("near.d").alias("cost")).collect()  # a row per restart
+        best = min((c["cost"], c["restart"]) for c in costs)[1]
+        last, more = _settle(points, {best: settled[best]}, KMEANS_FIXED, max_iter)
+        cost = _with_nearest(points, last).agg(F.sum("near.d").alias("cost")).first()["cost"]
     finally:
-        pts.unpersist()
-    cost, _r, model = min(fits, key=lambda f: (f[0], f[1]))
-    centers = sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
-    return ClusterFit(k=int(k), centers=centers, cost=float(cost), model=model)
+        points.unpersist()
+    return ClusterFit(int(k), sorted(last[best]), float(cost), rounds[best] + more[best], best)
 
 
 def attach_clusters(df: DataFrame, roles: ColumnRoles, seed: int = 42, restarts: int = KMEANS_RESTARTS,
@@ -229,7 +297,7 @@ def attach_clusters(df: DataFrame, roles: ColumnRoles, seed: int = 42, restarts:
     k = int(plan["k"]) if plan is not None else 0
     if k < CLUSTER_MIN:
         return df.withColumn(name, F.lit("0")), None
-    fit = fit_kmeans(df, roles.lat, roles.lon, k, seed, restarts)
+    fit = fit_kmeans(df, roles.lat, roles.lon, k, seed, restarts, key=roles.key if roles.key in df.columns else None)
     idx = nearest_center_expr(F.col(roles.lat), F.col(roles.lon), fit.centers)
     out = df.withColumn(name, F.coalesce(idx.cast("string"), F.lit("0")))
     return out, fit

@@ -123,5 +123,49 @@ PREDICTIONS = """predictions AS (
 HOURS = "hours AS (SELECT CAST(range AS INTEGER) AS hour FROM range(24))"
 
 
+def kmeans(seed: int = 42, restarts: int = 10, most: int = 6, tolerance: float = 1e-4, fixed: float = 1e-16, rounds: int = 300) -> str:
+    """CTEs of the clustering of ``incidents``: seeding, the rounds of all restarts, the best one's further rounds.
+
+    ``centers`` (cluster, lat, lon) and ``cost`` are its results; needs WITH RECURSIVE.
+    """
+    far = "((p.lat - c.lat) * (p.lat - c.lat) + (p.lon - c.lon) * (p.lon - c.lon))"
+
+    def draw(step: int) -> str:
+        return f"-ln(1.0::DOUBLE - ('0x' || substr(md5('km{seed}-' || r || '-{step}|' || key), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+    def settle(name: str, start: str, limit: str) -> str:
+        return f"""{name} AS (
+  SELECT 0 AS i, r, c, lat, lon, 1e300::DOUBLE AS move FROM {start}
+  UNION ALL
+  SELECT i, r, c, lat, lon, sum(m) OVER (PARTITION BY r) AS move FROM (
+    SELECT c.i + 1 AS i, c.r, c.c, coalesce(n.lat, c.lat) AS lat, coalesce(n.lon, c.lon) AS lon,
+           coalesce((n.lat - c.lat) * (n.lat - c.lat) + (n.lon - c.lon) * (n.lon - c.lon), 0) AS m
+    FROM {name} c LEFT JOIN (
+      SELECT r, c, avg(lat) AS lat, avg(lon) AS lon FROM (
+        SELECT c.r, p.key, p.lat, p.lon, arg_min(c.c, {{'d': {far}, 'c': c.c}}) AS c FROM points p, {name} c WHERE c.move > {limit}
+        GROUP BY c.r, p.key, p.lat, p.lon) GROUP BY r, c) n ON n.r = c.r AND n.c = c.c
+    WHERE c.move > {limit} AND c.i < {rounds}))"""
+
+    steps = ["points AS MATERIALIZED (SELECT key, lat, lon FROM incidents)",
+             f"""seed0 AS MATERIALIZED (SELECT r, 0 AS c, p.lat AS lat, p.lon AS lon FROM (
+  SELECT r, arg_min({{'lat': lat, 'lon': lon}}, {{'s': {draw(0)}, 'key': key}}) AS p FROM points, (SELECT range AS r FROM range({restarts})) GROUP BY r))"""]
+    for j in range(1, most):
+        steps.append(f"""seed{j} AS MATERIALIZED (SELECT * FROM seed{j - 1} UNION ALL SELECT r, {j}, p.lat, p.lon FROM (
+  SELECT r, arg_min({{'lat': lat, 'lon': lon}}, {{'s': {draw(j)} / w, 'key': key}}) AS p
+  FROM (SELECT c.r, p.key, p.lat, p.lon, min({far}) AS w FROM points p, seed{j - 1} c GROUP BY ALL) WHERE w > 0 GROUP BY r))""")
+    steps.append(f"""seeds AS MATERIALIZED (
+  SELECT * FROM seed{most - 1} WHERE c < (SELECT least(least({most}, greatest(2, count(*) // 250 + 2)), count(*)) FROM points))""")
+    steps.append(settle("lloyd", "seeds", f"(SELECT {tolerance!r}::DOUBLE * (var_pop(lat) + var_pop(lon)) / 2 FROM points)"))
+    steps.append("settled AS MATERIALIZED (SELECT r, c, lat, lon FROM lloyd QUALIFY i = max(i) OVER (PARTITION BY r))")
+    steps.append(f"""best AS MATERIALIZED (SELECT * FROM settled WHERE r = (
+  SELECT r FROM (SELECT c.r, p.key, min({far}) AS d FROM points p, settled c GROUP BY c.r, p.key) GROUP BY r ORDER BY sum(d), r LIMIT 1))""")
+    steps.append(settle("polish", "best", f"{fixed!r}::DOUBLE"))
+    steps.append("""centers AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY lat, lon) - 1 AS INTEGER) AS cluster, lat, lon
+  FROM (SELECT * FROM polish QUALIFY i = max(i) OVER ()))""")
+    steps.append(f"""near AS MATERIALIZED (SELECT p.key, arg_min(c.cluster, {{'d': {far}, 'c': c.cluster}}) AS cluster, min({far}) AS d
+  FROM points p, centers c GROUP BY p.key)""")
+    return ",\n".join(steps)
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

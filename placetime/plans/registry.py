@@ -594,23 +594,36 @@ def q_cluster_summary(spark, d):
     return s.withColumns({"avg_lat": rnd("avg_lat"), "avg_lon": rnd("avg_lon")})
 
 
-@register("kmeans_fit")
+KMEANS_SQL = "WITH RECURSIVE " + ",\n".join([o.INCIDENTS, o.kmeans(restarts=spatial.KMEANS_RESTARTS)])
+
+
+@register("kmeans_fit", KMEANS_SQL + f"""
+SELECT CAST(cluster AS VARCHAR) AS cluster, round(lat, {R}) AS lat, round(lon, {R}) AS lon, round((SELECT sum(d) FROM near), {R}) AS cost FROM centers""")
 def q_kmeans_fit(spark, d):
     _rows, fit = spatial.attach_clusters(_inc(spark, d), ROLES)
     cost = F.lit(fit.cost if fit else None).cast("double")
-    return spatial.centers_frame(spark, fit).withColumn("cost", cost)
+    return spatial.centers_frame(spark, fit).select("cluster", rnd("lat").alias("lat"), rnd("lon").alias("lon"), rnd(cost).alias("cost"))
 
 
-@register("attach_clusters", W(o.INCIDENTS) + """
-SELECT key, true AS nearest, (SELECT least(least(6, greatest(2, count(*) // 250 + 2)), count(*)) FROM incidents) AS k
-FROM incidents""")
+@register("kmeans_fixed_point", W(o.INCIDENTS) + """
+SELECT (SELECT least(least(6, greatest(2, count(*) // 250 + 2)), count(*)) FROM incidents) AS k, count(*) AS records, true AS at_mean FROM incidents""")
+def q_kmeans_fixed_point(spark, d):
+    """Whether each center is the mean of the rows nearest to it."""
+    rows, fit = spatial.attach_clusters(_inc(spark, d), ROLES)
+    means = spatial.cluster_summary(rows, "cluster_id", "lat", "lon").join(spatial.centers_frame(spark, fit), F.col("cluster_id") == F.col("cluster"), "full")
+    off = F.greatest(F.abs(F.col("lat") - F.col("avg_lat")), F.abs(F.col("lon") - F.col("avg_lon")))
+    return means.agg(F.count("cluster").alias("k"), F.sum("records").alias("records"), F.bool_and(F.coalesce(off < 1e-7, F.lit(False))).alias("at_mean"))
+
+
+@register("attach_clusters", KMEANS_SQL + """
+SELECT key, CAST(cluster AS VARCHAR) AS cluster_id, true AS nearest, (SELECT count(*) FROM centers) AS k FROM near""")
 def q_attach_clusters(spark, d):
-    """Whether each row got the id of a center that no other is nearer than."""
+    """Each row's cluster, and whether no other center is nearer."""
     rows, fit = spatial.attach_clusters(_inc(spark, d), ROLES)
     centers = fit.centers if fit else []
     far = F.array(*[F.pow(F.col("lat") - F.lit(a), F.lit(2.0)) + F.pow(F.col("lon") - F.lit(b), F.lit(2.0)) for a, b in centers])
     own = F.element_at(far, F.col("cluster_id").cast("int") + 1)
-    return rows.select("key", (own <= F.array_min(far) + 1e-12).alias("nearest"), F.lit(len(centers)).cast("long").alias("k"))
+    return rows.select("key", "cluster_id", (own <= F.array_min(far) + 1e-12).alias("nearest"), F.lit(len(centers)).cast("long").alias("k"))
 
 
 # ---------------------------------------------------------------------------
