@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import hour_intensity
-from ..functions.hashing import keyed_uniform
+from ..functions.hashing import keyed_uniform_sql
 from ..roles import (
     ALL_LEGEND_LABEL,
     CLUSTER_MAX,
@@ -191,22 +191,20 @@ KMEANS_FIXED = 1e-16
 Centers = dict[int, list[tuple[float, float]]]  # by restart
 
 
-def _rival_centers(centers: Centers) -> Column:
-    """(restart, la, lo) rows for ``inline``; a constant that generated code refers to, so no round compiles anew."""
-    rows = [F.struct(F.lit(r).alias("restart"), F.array(*[F.lit(float(a)) for a, _ in c]).alias("la"), F.array(*[F.lit(float(b)) for _, b in c]).alias("lo"))
-            for r, c in sorted(centers.items())]
-    return F.array(*rows)
+def _numbers(values: Sequence[float]) -> str:
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
 
 
 def _with_nearest(points: DataFrame, centers: Centers) -> DataFrame:
-    """The points once per restart, with ``near``: squared distance and index of the nearest of its centers."""
+    """The points once per restart, with ``near``: squared distance and index of the nearest of its centers.
+
+    The centers stand in arrays, constants that generated code refers to, so
+    rounds do not compile anew.  (SQL text: a round is built by few calls.)
+    """
+    rows = ", ".join(f"named_struct('restart', {r}, 'la', {_numbers([a for a, _ in c])}, 'lo', {_numbers([b for _, b in c])})" for r, c in sorted(centers.items()))
     k = len(next(iter(centers.values())))
-    spread = points.select("*", F.inline(_rival_centers(centers)))
-    far = []
-    for i in range(k):
-        dlat, dlon = F.col("lat") - F.get("la", F.lit(i)), F.col("lon") - F.get("lo", F.lit(i))
-        far.append(F.struct((dlat * dlat + dlon * dlon).alias("d"), F.lit(i).alias("id")))
-    return spread.select(*points.columns, "restart", F.array_min(F.array(*far)).alias("near"))
+    far = ", ".join(f"named_struct('d', (lat - la[{i}]) * (lat - la[{i}]) + (lon - lo[{i}]) * (lon - lo[{i}]), 'id', {i})" for i in range(k))
+    return points.selectExpr("lat", "lon", f"inline(array({rows}))").selectExpr("lat", "lon", "restart", f"array_min(array({far})) AS near")
 
 
 def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers:
@@ -221,13 +219,14 @@ def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers
     for step in range(k):
         draws = []
         for r, own in centers.items():
-            score = -F.log(F.lit(1.0) - keyed_uniform(f"km{seed}-{r}-{step}", "key"))
-            if own:
-                chosen = F.array(*[F.struct(F.lit(a).alias("la"), F.lit(b).alias("lo")) for a, b in own])
-                away = F.array_min(F.transform(chosen, lambda c: F.pow(F.col("lat") - c["la"], 2.0) + F.pow(F.col("lon") - c["lo"], 2.0)))
-                score = F.when(away > 0, score / away)
-            draws.append(F.min_by(F.struct("lat", "lon"), F.when(score.isNotNull(), F.struct(score.alias("s"), F.col("key").alias("key")))).alias(f"r{r}"))
-        row = points.agg(*draws).first()
+            score = f"-ln(1D - {keyed_uniform_sql(f'km{seed}-{r}-{step}', 'key')})"
+            if not own:
+                draws.append(f"min_by(struct(lat, lon), named_struct('s', {score}, 'key', key)) AS r{r}")
+            else:
+                away = (f"array_min(zip_with({_numbers([a for a, _ in own])}, {_numbers([b for _, b in own])}, "
+                        "(a, b) -> (lat - a) * (lat - a) + (lon - b) * (lon - b)))")
+                draws.append(f"min_by(struct(lat, lon), CASE WHEN {away} > 0 THEN named_struct('s', {score} / {away}, 'key', key) END) AS r{r}")
+        row = points.selectExpr(*draws).first()
         for r, own in centers.items():
             found = row[f"r{r}"]
             own.append((float(found["lat"]), float(found["lon"])) if found else own[-1])
@@ -236,10 +235,10 @@ def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers
 
 def _move(points: DataFrame, centers: Centers) -> tuple[Centers, dict[int, float]]:
     """Centers at the means of their points (those without any stay) and each restart's squared move; one aggregate."""
-    means = _with_nearest(points, centers).groupBy("restart", F.col("near.id").alias("c")).agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+    means = _with_nearest(points, centers).groupBy("restart", "near.id").agg({"lat": "avg", "lon": "avg"}).collect()  # restarts x k rows at most
     moved = {r: list(own) for r, own in centers.items()}
-    for m in means.collect():  # restarts x k rows at most
-        moved[m["restart"]][m["c"]] = (m["lat"], m["lon"])
+    for m in means:
+        moved[m["restart"]][m["id"]] = (m["avg(lat)"], m["avg(lon)"])
     return moved, {r: sum((a - x) ** 2 + (b - y) ** 2 for (a, b), (x, y) in zip(own, centers[r], strict=True)) for r, own in moved.items()}
 
 

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -83,6 +84,26 @@ def test_kmeans_fit_restarts_and_attach(spark):
     assert none is None and {r["cluster_id"] for r in tiny.collect()} == {"0"}
 
 
+def test_kmeans_restarts_share_rounds(spark):
+    rng = np.random.default_rng(1)
+    xy = np.concatenate([rng.normal(c, 0.02, (150, 2)) for c in ((28.4, 77.0), (28.8, 77.4), (28.4, 77.4))])
+    df = frame(spark, [(i, "a", float(a), float(b), 1) for i, (a, b) in enumerate(xy)])
+    fit = spatial.fit_kmeans(df, "lat", "lon", 3, restarts=4, key="key")
+    centers = np.array(fit.centers)
+    near = ((xy[:, None] - centers) ** 2).sum(2)
+    means = np.array([xy[near.argmin(1) == i].mean(0) for i in range(3)])
+    assert np.allclose(means, centers, atol=1e-9) and fit.cost == pytest.approx(near.min(1).sum())
+    # The same fit under another partitioning; without a key the draws follow the coordinates.
+    again = spatial.fit_kmeans(df.repartition(5), "lat", "lon", 3, restarts=4, key="key")
+    assert again.restart == fit.restart and np.allclose(again.centers, centers, atol=1e-9)
+    assert np.allclose(spatial.fit_kmeans(df, "lat", "lon", 3, restarts=4).centers, centers, atol=0.02)
+    # Seeding takes each point at most once, and ends where all points are centers.
+    few = frame(spark, [(1, "a", 1.0, 1.0, 1), (2, "a", 2.0, 2.0, 1), (3, "a", None, 2.0, 1), (4, "a", float("nan"), 2.0, 1)])
+    seeds = spatial.seed_centers(few.where("key < 3").select("lat", "lon", "key"), 3, 42, 2)
+    assert all(set(c) == {(1.0, 1.0), (2.0, 2.0)} and len(c) == 3 for c in seeds.values())
+    assert spatial.fit_kmeans(few, "lat", "lon", 2).cost == 0
+
+
 def _brute_strat(df, frac, seed):
     w = keyed_bits(f"split{seed}", 32, "key")
     win = Window.partitionBy("category").orderBy(w, "key")
