@@ -54,15 +54,26 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(side, on, how)
 
 
+def settle_bounded(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Compute an aggregated table once for several readers.
+
+    Up to ``max_rows`` rows become literal rows of the plan, without a file; a
+    larger table is written once (``materialize_small``).
+    """
+    rows = small.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return materialize_small(small)
+    return small.sparkSession.createDataFrame(rows, small.schema)
+
+
 def join_bounded(big: DataFrame, small: DataFrame, on: str, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join an aggregated lookup to row data that is read in several passes.
 
-    Up to ``max_rows`` rows of the lookup are fetched and become literal rows,
-    broadcast without a file or a second aggregate.  A larger lookup stays a plan
-    and is joined by a shuffle (with AQE skew splitting).
+    Up to ``max_rows`` rows are broadcast as literals; a larger lookup is joined
+    by a shuffle (with AQE skew splitting).
     """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = small.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return big.join(small, on, how)
     return big.join(F.broadcast(big.sparkSession.createDataFrame(rows, small.schema)), on, how)
 

@@ -124,6 +124,24 @@ def test_stratified_split_exact_with_hot_class(spark):
     assert all(t == math.ceil(0.25 * n) for n, t in counts.values())
 
 
+def test_stratified_split_reads_rows_once_and_keeps_edges(spark, scratch):
+    rows = [(i, None if i % 50 == 0 else f"c{i % 3}") for i in range(900)] + [(5, "twice"), (5, "twice"), (6, "twice"), (7, "one")]
+    spark.createDataFrame(rows, "key long, label string").write.parquet(scratch + "/rows")
+    df = spark.read.parquet(scratch + "/rows")
+    out = split.stratified_split(df, "label", "key", 0.25)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Window" not in plan and out.columns == ["key", "label", "is_test"]
+    got = out.collect()
+    assert len(got) == len(rows) and not any(r["is_test"] for r in got if r["label"] is None)
+    for c in ("c0", "c1", "c2"):
+        n = sum(r["label"] == c for r in got)
+        assert sum(r["is_test"] for r in got if r["label"] == c) == math.ceil(0.25 * n)
+    assert len({r["is_test"] for r in got if r["key"] == 5 and r["label"] == "twice"}) == 1
+    assert not any(r["is_test"] for r in split.stratified_split(df, "label", "key", 0.0).collect())
+    assert all(r["is_test"] for r in split.stratified_split(df.where("label is not null"), "label", "key", 1.0).collect())
+    assert split.stratified_split(df.limit(0), "label", "key").count() == 0
+
+
 def test_keyed_split_share(spark):
     df = spark.range(20000).withColumnRenamed("id", "key")
     share = split.keyed_split(df, "key", 0.2).agg(F.avg(F.col("is_test").cast("double"))).first()[0]
