@@ -25,9 +25,9 @@ def keyed_uniform(seed: str, *keys: str | Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(_TWO_32)
 
 
-def keyed_uniform_sql(seed: str, key: str) -> str:
-    """``keyed_uniform`` of one key column as SQL text."""
-    return f"CAST(conv(substring(md5(concat_ws('|', '{seed}', CAST({key} AS STRING))), 1, 8), 16, 10) AS BIGINT) / {_TWO_32!r}D"
+def keyed_uniform_sql(seed: str, key: str, word: int = 0) -> str:
+    """``keyed_uniform`` of one key column as SQL text; a digest holds four draws (word 0 to 3)."""
+    return f"CAST(conv(substring(md5(concat_ws('|', '{seed}', CAST({key} AS STRING))), {8 * word + 1}, 8), 16, 10) AS BIGINT) / {_TWO_32!r}D"
 
 
 def keyed_range(seed: str, low: float, width: float, *keys: str | Column) -> Column:

@@ -1,11 +1,11 @@
 """Pearson correlation: the 8-feature matrix, its strongest pairs, and the
 hour-versus-hourly-count coefficient.
 
-All pairs come from ONE aggregate of shifted sums and cross products
-(partial merge), so the matrix costs one pass over the data however many
-features there are.  ``F.corr`` is avoided: under
-ANSI mode it raises on a constant column; here an undefined coefficient is
-null.
+All pairs come from ONE aggregate of co-moments: each keeps its count, means
+and centered products, and partial ones merge pairwise, so the matrix costs one
+pass over the data and nothing cancels for values far from zero.  ``F.corr`` is
+avoided: under ANSI mode it raises on a constant column; here an undefined
+coefficient is null.
 """
 
 from __future__ import annotations
@@ -54,40 +54,27 @@ def correlation_frame(df: DataFrame, hour: str, lat: str, lon: str, day: str, ba
 def corr_matrix(feats: DataFrame, features: Sequence[str] = CORR_FEATURES) -> DataFrame:
     """Long (feature_a, feature_b, r) for every ordered pair, diagonal included.
 
-    Two aggregates over all rows: the mean of each feature over its valid
-    finite values, then n, sum(x_i) and sum(x_i * x_j) of the features shifted
-    by these means, which keeps the sums free of cancellation for values far
-    from zero.  Listwise deletion is applied inside the sums (``when(_valid,
-    x)``): a row filter would be pushed below the feature projection with
-    every feature expression inlined into it.  The pairs are unpivoted with
-    their raw sums and r is computed once per pair row.
+    One aggregate over all rows: ``var_pop`` of each feature and ``covar_pop`` of
+    each pair.  Listwise deletion is applied inside it (``when(_valid, x)``): a
+    row filter would be pushed below the feature projection with every feature
+    expression inlined into it.  r is null for a constant feature, for one that
+    has an infinite value, and without rows.
     """
     names = list(features)
     k = len(names)
     ok = F.col("_valid") if "_valid" in feats.columns else F.lit(True)
-    finite = [F.when(ok & ~F.isnan(F.col(f"`{f}`")) & (F.abs(F.col(f"`{f}`")) < F.lit(float("inf"))), F.col(f"`{f}`")) for f in names]
-    ref = feats.agg(*[F.avg(c).alias(f"f{i}") for i, c in enumerate(finite)]).first()
-    shift = [float(ref[f"f{i}"]) if ref is not None and ref[f"f{i}"] is not None else 0.0 for i in range(k)]
-    x = [F.when(ok, F.col(f"`{f}`") - F.lit(shift[i])) for i, f in enumerate(names)]
-    aggs = [F.count(F.when(ok, F.lit(1))).cast("double").alias("n")]
-    aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(k)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k)]
-    one = feats.agg(*aggs)
-
+    x = feats.select(*[F.when(ok, F.col(f"`{f}`")).alias(f"x{i}") for i, f in enumerate(names)])
+    aggs = [F.var_pop(f"x{i}").alias(f"p{i}_{i}") for i in range(k)]
+    aggs += [F.covar_pop(f"x{i}", f"x{j}").alias(f"p{i}_{j}") for i in range(k) for j in range(i + 1, k)]
     structs = []
     for i, a in enumerate(names):
         for j, b in enumerate(names):
-            sums = {"si": f"s{i}", "sj": f"s{j}", "pij": f"p{min(i, j)}_{max(i, j)}", "pii": f"p{i}_{i}", "pjj": f"p{j}_{j}"}
+            moments = {"pij": f"p{min(i, j)}_{max(i, j)}", "pii": f"p{i}_{i}", "pjj": f"p{j}_{j}"}
             structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                    F.col("n"), *[F.col(c).alias(v) for v, c in sums.items()]))
-    pairs = one.select(F.inline(F.array(*structs)))
-
-    def cov(p: str, s: str, t: str):
-        return F.col(p) / F.col("n") - (F.col(s) / F.col("n")) * (F.col(t) / F.col("n"))
-
-    sd = F.sqrt(F.greatest(cov("pii", "si", "si"), F.lit(0.0))) * F.sqrt(F.greatest(cov("pjj", "sj", "sj"), F.lit(0.0)))
-    r = F.when(F.col("n") > 0, F.try_divide(cov("pij", "si", "sj"), sd))
-    return pairs.select("feature_a", "feature_b", "i", "j", r.alias("r"))
+                                    *[F.col(c).alias(v) for v, c in moments.items()]))
+    pairs = x.agg(*aggs).select(F.inline(F.array(*structs)))
+    r = F.try_divide("pij", F.sqrt("pii") * F.sqrt("pjj"))
+    return pairs.select("feature_a", "feature_b", "i", "j", F.when(~F.isnan(r), r).alias("r"))
 
 
 def strongest_pairs(matrix: DataFrame, k: int = 5, pos: str = "pos") -> DataFrame:

@@ -219,7 +219,7 @@ def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers
     for step in range(k):
         draws = []
         for r, own in centers.items():
-            score = f"-ln(1D - {keyed_uniform_sql(f'km{seed}-{r}-{step}', 'key')})"
+            score = f"-ln(1D - {keyed_uniform_sql(f'km{seed}-{step}-{r // 4}', 'key', r % 4)})"
             if not own:
                 draws.append(f"min_by(struct(lat, lon), named_struct('s', {score}, 'key', key)) AS r{r}")
             else:

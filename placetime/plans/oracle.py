@@ -131,7 +131,7 @@ def kmeans(seed: int = 42, restarts: int = 10, most: int = 6, tolerance: float =
     far = "((p.lat - c.lat) * (p.lat - c.lat) + (p.lon - c.lon) * (p.lon - c.lon))"
 
     def draw(step: int) -> str:
-        return f"-ln(1.0::DOUBLE - ('0x' || substr(md5('km{seed}-' || r || '-{step}|' || key), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+        return f"-ln(1.0::DOUBLE - ('0x' || substr(md5('km{seed}-{step}-' || (r // 4) || '|' || key), 8 * (r % 4) + 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
 
     def settle(name: str, start: str, limit: str) -> str:
         return f"""{name} AS (

@@ -81,6 +81,18 @@ def test_correlation_listwise_deletion(spark):
     assert m[("a", "b")] == pytest.approx(want)
 
 
+def test_correlation_of_infinite_and_large_values(spark):
+    rows = [(float(i), 1e9 + i % 3, float("inf") if i == 4 else float(i * i), float("-inf") if i % 2 else 1.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    m = correlation.corr_matrix(df, ["a", "b", "c", "d"])
+    assert m._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    r = {(x["feature_a"], x["feature_b"]): x["r"] for x in m.collect()}
+    assert all(v is None for (x, y), v in r.items() if x in "cd" or y in "cd")
+    want = df.select(F.corr("a", F.col("b") - 1e9)).first()[0]
+    assert r["a", "b"] == pytest.approx(want, abs=1e-9) and r["a", "a"] == pytest.approx(1.0)
+    assert all(x["r"] is None for x in correlation.corr_matrix(df.limit(0), ["a", "b"]).collect())
+
+
 def test_hour_count_corr_flat_is_null(spark):
     df = frame(spark, [(h, "a", 0.0, 0.0, h) for h in range(24)])
     h = agg.hourly_counts(df, "hour").select(F.col("hour").cast("double").alias("hour"),
