@@ -24,7 +24,7 @@ from ..sources import files
 from ..sources import fixtures as fxt
 from ..sources.schema import place_column, require_columns
 from . import oracle as o
-from .registry import FIT_ROWS, RAW_ROLES, ROLES, W, register
+from .registry import RAW_ROLES, ROLES, W, register
 
 EXPORT_SCHEMA = "key long, category string, lat double, lon double, hour int"
 
@@ -89,8 +89,7 @@ def q_prepare_job(spark, d):
 # K1: analysis report
 # ---------------------------------------------------------------------------
 def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42, restarts: int = 10,
-                 preset: str = "dashboard", train: bool = True,
-                 fit_rows: int | None = None) -> dict[str, str]:
+                 preset: str = "dashboard", train: bool = True) -> dict[str, str]:
     """clean -> cluster -> train -> correlation, hourly counts, summary,
     heatmap; one table per output under ``out_dir``.
 
@@ -113,18 +112,14 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
     outputs["centers"] = spatial.centers_frame(spark, fit)
     outputs["clusters"] = spatial.cluster_summary(clustered, "cluster_id", roles.lat, roles.lon)
     if train:
-        res = ml.train_classifier(clustered, roles.category, roles.key, preset, seed=seed, fit_rows=fit_rows)
+        res = ml.train_classifier(clustered, roles.category, roles.key, preset, seed=seed)
         outputs["model_status"] = ml.status_frame(spark, res)
         if res.prior is not None:
             outputs["prior"] = res.prior
         if res.ready:
             from ..operators import metrics
 
-            # Scored once; the matrix and the report read the written rows.
-            path = f"{out_dir.rstrip('/')}/predictions"
-            files.write_table(res.predictions, path, "parquet")
-            paths["predictions"] = path
-            scored = spark.read.parquet(path)
+            outputs["predictions"] = scored = res.predictions  # already written rows
             outputs["confusion"] = metrics.confusion_matrix(scored, classes=res.classes)
             outputs["report"] = metrics.classification_report(scored)
             outputs["importance"] = ml.feature_importance(spark, res)
@@ -153,7 +148,7 @@ UNION ALL SELECT 'confusion', 'rows', (SELECT sum(ceil(n * 0.25::DOUBLE)) FROM (
 def q_report_job(spark, d):
     """What SQL can state of the written tables, the trained forest's included."""
     out = scratch_path(spark, f"report-{uuid.uuid4().hex}")
-    paths = build_report(fxt.incidents(spark, d), ROLES, out, fit_rows=FIT_ROWS)
+    paths = build_report(fxt.incidents(spark, d), ROLES, out)
     read = {name: spark.read.parquet(path) for name, path in paths.items()}
     def part(name, item, value, rows):
         return rows.select(F.lit(name).alias("part"), item.alias("item"), value.cast("double").alias("value"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import features as fx
 from ..functions.hashing import keyed_int, keyed_range, keyed_uniform
 from ..operators import aggregates as agg
-from ..operators import clean, correlation, filters, metrics, ml, pivot, predict, replicate, sort, spatial, split
+from ..operators import clean, correlation, filters, grow, metrics, ml, pivot, predict, replicate, sort, spatial, split, trees
 from ..roles import (
     DAY_NAMES,
     LAT_LOW,
@@ -52,8 +52,6 @@ PLACE_TERM = "NATION_1"
 PLACE_PATTERN = "nation_2"
 PROBE_TERM = "SMALL"
 PREVIEW_ROWS = 25
-# Labelled rows that the two large forests are fitted on (trees and depth stay whole).
-FIT_ROWS = 1000
 # Six fixed centers for the nearest-center queries (the model is a parameter).
 CENTERS = ((28.5, 77.1), (28.5, 77.4), (28.65, 77.25), (28.8, 77.1), (28.8, 77.4), (28.6139, 77.209))
 
@@ -765,13 +763,12 @@ def q_forest_batch(spark, d):
 @register("forest_dashboard", _stratified_sql(0.25))
 def q_forest_dashboard(spark, d):
     base = spatial.assign_centers(clean.prepare_base(_inc(spark, d), ROLES), "lat", "lon", CENTERS)
-    return _scored_per_class(ml.train_classifier(base, "category", "key", "dashboard", fit_rows=FIT_ROWS))
+    return _scored_per_class(ml.train_classifier(base, "category", "key", "dashboard"))
 
 
 @register("forest_recovered", _stratified_sql(0.2))
 def q_forest_recovered(spark, d):
-    return _scored_per_class(ml.train_classifier(_inc(spark, d), "category", "key", "recovered", ("hour", "lat", "lon"), (),
-                                                  fit_rows=FIT_ROWS))
+    return _scored_per_class(ml.train_classifier(_inc(spark, d), "category", "key", "recovered", ("hour", "lat", "lon"), ()))
 
 
 @register("importance_total", "SELECT 1.0::DOUBLE AS total, 8::BIGINT AS features")
@@ -792,6 +789,125 @@ def q_scenario_totals(spark, d):
                                      (first == F.max("probability")).alias("ordered"))
 
 
+def _model_frame(spark, d) -> DataFrame:
+    return spatial.assign_centers(clean.prepare_base(_inc(spark, d), ROLES), "lat", "lon", CENTERS)
+
+
+def _scored(res, rows: DataFrame) -> DataFrame:
+    """Rows with the features (``x``) and class probabilities (``p``) of the fitted pipeline."""
+    from pyspark.ml.functions import vector_to_array
+
+    for stage in res.model.stages[1:]:
+        rows = stage.transform(rows)
+    return rows.select(*[c for c in ("key", "day_weight") if c in rows.columns], vector_to_array("features").alias("x"), vector_to_array("probability").alias("p"))
+
+
+def _off(a: str, b: str) -> F.Column:
+    """The greatest difference of two arrays; null if one is longer."""
+    return F.array_max(F.zip_with(a, b, lambda x, y: F.abs(x - y)))
+
+
+@register("forest_values", W(o.INCIDENTS) + "SELECT key, true AS same, true AS varied FROM incidents")
+def q_forest_values(spark, d):
+    """Whether the trees, walked as a column expression, give each row the native forest's probabilities."""
+    res = _trained(spark, d)
+    rows = _scored(res, _model_frame(spark, d))
+    nodes = trees.forest_nodes(spark, res.model.stages[-1])
+    own = trees.forest_probability(nodes, "x", ml.PRESETS["batch"].max_depth)
+    both = rows.withColumn("q", own)
+    several = both.select("q").limit(100).agg(F.count_distinct("q") > 1).scalar()
+    return both.select("key", F.coalesce(_off("p", "q") < 1e-9, F.lit(False)).alias("same"), several.alias("varied"))
+
+
+_SLOTS_SQL = f"""5 + (SELECT count(DISTINCT {o.time_band('hour')}) + count(DISTINCT day) + count(DISTINCT {o.nearest('lat', 'lon', CENTERS)}) FROM incidents)"""
+
+
+@register("importance_values", W(o.INCIDENTS) + f"""
+SELECT CAST(range AS INTEGER) AS slot, true AS same, 1.0::DOUBLE AS total FROM range({_SLOTS_SQL})""")
+def q_importance_values(spark, d):
+    """Importances worked out from the trees' gains against the native forest's, slot by slot."""
+    forest = _trained(spark, d).model.stages[-1]
+    native = spark.createDataFrame(list(enumerate(forest.featureImportances.toArray().tolist())), "slot int, native double")
+    own = trees.gain_importance(trees.forest_nodes(spark, forest))
+    both = native.join(own, F.col("slot") == F.col("feature"), "left").withColumn("importance", F.coalesce("importance", F.lit(0.0)))
+    return both.select("slot", (F.abs(F.col("importance") - F.col("native")) < 1e-9).alias("same"),
+                       F.round(both.agg(F.sum("importance")).scalar(), R).alias("total"))
+
+
+def _day_averages(res, pts: DataFrame) -> DataFrame:
+    """(key, class, mean): the probabilities of the seven day rows of each point, averaged by a grouped aggregate."""
+    rows = _scored(res, predict.expand_days(pts))
+    classes = F.array(*[F.lit(c) for c in res.classes])
+    each = rows.select("key", "day_weight", F.posexplode("p").alias("i", "v")).groupBy("key", "i").agg(F.sum(F.col("day_weight") * F.col("v")).alias("mean"))
+    return each.select("key", F.element_at(classes, F.col("i") + 1).alias("class"), "mean")
+
+
+def _scenarios_agree(spark, d, res) -> DataFrame:
+    pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
+    best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
+    both = ranked.join(_day_averages(res, pts), ["key", "class"], "full").join(best, "key")
+    near = F.coalesce(F.abs(F.col("probability") - F.col("mean")) < 1e-9, F.lit(False))
+    return both.groupBy("key").agg(F.bool_and(near).alias("same"), F.count(F.lit(1)).alias("classes"),
+                                   (F.max("confidence") == F.max("probability")).alias("best_is_greatest"),
+                                   F.bool_or((F.col("class") == F.col("prediction")) & (F.col("rank") == 1)).alias("best_is_first"))
+
+
+_SCENARIO_SQL = W(o.INCIDENTS) + """
+SELECT key, true AS same, (SELECT count(DISTINCT category) FROM incidents) AS classes, true AS best_is_greatest, true AS best_is_first FROM incidents"""
+
+
+@register("scenario_values", _SCENARIO_SQL)
+def q_scenario_values(spark, d):
+    """Day-averaged scores of each point against the average of its seven scored day rows."""
+    return _scenarios_agree(spark, d, _trained(spark, d))
+
+
+@register("scenario_dashboard", _SCENARIO_SQL)
+def q_scenario_dashboard(spark, d):
+    """The same with the dashboard's forest, as the reference scores its scenarios."""
+    return _scenarios_agree(spark, d, ml.train_classifier(_model_frame(spark, d), "category", "key", "dashboard"))
+
+
+@register("train_record", W(o.INCIDENTS) + """
+SELECT true AS ready, '' AS message, count(*) AS training_rows, CAST(count(DISTINCT category) AS INTEGER) AS n_classes, false AS stratified,
+       true AS accuracy_of_predictions FROM incidents""")
+def q_train_record(spark, d):
+    """The training record; its accuracy against that of the written predictions."""
+    res = _trained(spark, d)
+    right = res.predictions.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).scalar()
+    return ml.status_frame(spark, res).select("ready", "message", "training_rows", "n_classes", "stratified",
+                                             (F.abs(F.col("accuracy") - right) < 1e-12).alias("accuracy_of_predictions"))
+
+
+BAG_TREES = 12
+_copies = " + ".join(f"CASE WHEN u >= {p!r}::DOUBLE THEN 1 ELSE 0 END" for p in grow.POISSON)
+_BAGS_SQL = W(o.INCIDENTS) + f"""
+, drawn AS (SELECT t AS tree, category, {_copies} AS copies FROM (
+    SELECT t, category, ('0x' || substr(md5('bag42-' || (t // 4) || '|' || key), 8 * (t % 4) + 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+    FROM incidents, (SELECT CAST(range AS INTEGER) AS t FROM range({BAG_TREES}))))
+, sizes AS (SELECT tree, category, CAST(sum(copies) AS BIGINT) AS n, count(*) AS distinct_rows FROM drawn WHERE copies > 0 GROUP BY tree, category)
+"""
+
+
+@register("bag_weights", _BAGS_SQL + f"""
+SELECT tree, category, n, round(sum(n) OVER (PARTITION BY tree) / (count(*) OVER (PARTITION BY tree) * n)::DOUBLE, {R}) AS weight FROM sizes""")
+def q_bag_weights(spark, d):
+    """Copies and weight of each class in each tree's bag."""
+    bag = grow.bags(_inc(spark, d).select("key", "category"), "key", 0, BAG_TREES, 42)
+    return grow.bag_weights(bag, "category", True).withColumn("weight", rnd("weight"))
+
+
+@register("grown_roots", _BAGS_SQL + f"""
+SELECT tree, CAST(sum(distinct_rows) AS BIGINT) AS rows, list(round(weight, {R}) ORDER BY category) AS weights FROM (
+  SELECT *, sum(n) OVER (PARTITION BY tree) / count(*) OVER (PARTITION BY tree)::DOUBLE AS weight FROM sizes) GROUP BY tree""")
+def q_grown_roots(spark, d):
+    """What the roots of a grown forest hold: the rows of the bag, and balanced classes."""
+    rows = ml.index_labels(_inc(spark, d), "category", "label", "alphabetAsc").select("key", "label", F.array("lat", "lon", F.col("hour").cast("double")).alias("x"))
+    classes = rows.agg(F.max("label")).first()[0]
+    nodes = grow.grow_forest(rows, "key", "label", "x", 3, int(classes) + 1, grow.Growth(BAG_TREES, 3, balanced=True))
+    return nodes.where("node = 0").select("tree", "rows", F.transform("weights", lambda w: F.round(w, R)).alias("weights"))
+
+
 @register("rf_train_score")
 def q_rf_train_score(spark, d):
     return _trained(spark, d).predictions

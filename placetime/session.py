@@ -55,3 +55,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for job outputs under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a job's scratch table."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
