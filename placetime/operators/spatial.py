@@ -271,18 +271,18 @@ def fit_kmeans(df: DataFrame, lat: str, lon: str, k: int, seed: int = 42, restar
     label = F.col(key) if key else F.concat_ws(" ", F.col(lat).cast("string"), F.col(lon).cast("string"))
     points = df.where(finite(lat) & finite(lon)).select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"), label.alias("key"))
     # Read in every round: dealt evenly once.
-    points = points.repartition(shuffle_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
+    held = points = points.repartition(shuffle_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         spread = points.agg(((F.var_pop("lat") + F.var_pop("lon")) / 2).alias("v")).first()["v"] or 0.0
         centers = seed_centers(points, int(k), int(seed), max(1, int(restarts)))
-        points = points.drop("key")
+        points = held.drop("key")
         settled, rounds = _settle(points, centers, KMEANS_TOLERANCE * spread, max_iter)
         costs = _with_nearest(points, settled).groupBy("restart").agg(F.sum("near.d").alias("cost")).collect()  # a row per restart
         best = min((c["cost"], c["restart"]) for c in costs)[1]
         last, more = _settle(points, {best: settled[best]}, KMEANS_FIXED, max_iter)
         cost = _with_nearest(points, last).agg(F.sum("near.d").alias("cost")).first()["cost"]
     finally:
-        points.unpersist()
+        held.unpersist()
     return ClusterFit(int(k), sorted(last[best]), float(cost), rounds[best] + more[best], best)
 
 

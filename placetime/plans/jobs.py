@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
-from ..operators import clean, correlation, filters, ml, pivot, replicate, spatial
+from ..operators import clean, correlation, filters, ml, pivot, replicate, sketch, spatial
 from ..functions.hashing import keyed_int
 from ..roles import LAT_LOW, LAT_WIDTH, LON_LOW, LON_WIDTH, MISSING_CATEGORY, NA_TOKENS, ColumnRoles, FilterSpec
 from ..session import scratch_path
 from ..sources import files
 from ..sources import fixtures as fxt
 from ..sources.schema import place_column, require_columns
+from ..sources.shared import shared_table
 from . import oracle as o
 from .registry import RAW_ROLES, ROLES, W, register
 
@@ -73,16 +74,32 @@ def prepare(df: DataFrame, roles: ColumnRoles, out_path: str, term: str, copies:
     return PrepareResult(rows, top, preds, loc)
 
 
+_copy_key = "(CAST(key AS VARCHAR) || '|' || CAST(copy AS VARCHAR))"
+
+
 @register("prepare_job", W(o.INCIDENTS_PLACE) + f"""
 SELECT key, copy, category, {o.krange('lat', LAT_LOW, LAT_WIDTH, 'key', 'copy')} AS lat,
-       {o.krange('lon', LON_LOW, LON_WIDTH, 'key', 'copy')} AS lon, {o.kint('hour', 24, 'key', 'copy')} AS hour
+       {o.krange('lon', LON_LOW, LON_WIDTH, 'key', 'copy')} AS lon, {o.kint('hour', 24, 'key', 'copy')} AS hour,
+       {o.u('split42', _copy_key)} < 0.2::DOUBLE AS scored
 FROM (SELECT key, category, CAST(c.range AS INTEGER) AS copy FROM incidents_place, range(1, 4) c
       WHERE strpos(region, 'AMERICA') > 0)""")
 def q_prepare_job(spark, d):
+    """The exported rows, and whether the trained forest scored each with one of its classes."""
     src = fxt.incidents_place(spark, d).select("key", "category", "region", "nation")
     out = scratch_path(spark, f"prepare-{uuid.uuid4().hex}")
     res = prepare(src, ROLES, out, term="AMERICA")
-    return res.rows
+    scored = res.predictions.where(F.col("prediction").isNotNull()).select(F.col("_rk"), F.lit(True).alias("scored"))
+    rows = res.rows.withColumn("_rk", F.concat_ws("|", F.col("key").cast("string"), F.col("copy").cast("string")))
+    return rows.join(scored, "_rk", "left").drop("_rk").na.fill({"scored": False})
+
+
+@register("prepare_top", W(o.INCIDENTS_PLACE) + """
+SELECT category, 3 * count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, category) AS pos FROM incidents_place
+WHERE strpos(region, 'AMERICA') > 0 GROUP BY category""")
+def q_prepare_top(spark, d):
+    """The job's table of categories, most frequent first."""
+    src = fxt.incidents_place(spark, d).select("key", "category", "region", "nation")
+    return prepare(src, ROLES, scratch_path(spark, f"prepare-{uuid.uuid4().hex}"), term="AMERICA", train=False).top
 
 
 # ---------------------------------------------------------------------------
@@ -93,13 +110,19 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
     """clean -> cluster -> train -> correlation, hourly counts, summary,
     heatmap; one table per output under ``out_dir``.
 
-    The enriched, clustered frame is persisted once and reused by every
-    output; small outputs are written as single files.
+    The enriched frame is persisted before anything reads it, so the input is
+    read once, and released at the end, whatever happens.
     """
-    base = clean.prepare_base(df, roles)
+    base = clean.prepare_base(df, roles).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _write_report(base, roles, out_dir, seed, restarts, preset, train)
+    finally:
+        base.unpersist(blocking=True)
+
+
+def _write_report(base: DataFrame, roles: ColumnRoles, out_dir: str, seed: int, restarts: int, preset: str, train: bool) -> dict[str, str]:
     clustered, fit = spatial.attach_clusters(base, roles, seed=seed, restarts=restarts)
-    clustered = clustered.persist(StorageLevel.MEMORY_AND_DISK)
-    spark = df.sparkSession
+    spark = base.sparkSession
     outputs: dict[str, DataFrame] = {}
     paths: dict[str, str] = {}
     feats = correlation.correlation_frame(clustered, roles.hour, roles.lat, roles.lon, "day", "time_band",
@@ -127,7 +150,6 @@ def build_report(df: DataFrame, roles: ColumnRoles, out_dir: str, seed: int = 42
         path = f"{out_dir.rstrip('/')}/{name}"
         files.write_table(table, path, "parquet")
         paths[name] = path
-    clustered.unpersist()
     return paths
 
 
@@ -141,14 +163,19 @@ UNION ALL SELECT 'heatmap', a.category || ' ' || p.hour, CAST(count(i.key) AS DO
 UNION ALL SELECT 'clusters', 'records', CAST(count(*) AS DOUBLE) FROM incidents
 UNION ALL SELECT 'correlation', 'hour vs latitude', round(CAST(corr(hour, lat) AS DOUBLE), 6) FROM incidents
 UNION ALL SELECT 'report', category, CAST(ceil(count(*) * 0.25::DOUBLE) AS DOUBLE) FROM incidents GROUP BY category
-UNION ALL SELECT 'confusion', 'rows', (SELECT sum(ceil(n * 0.25::DOUBLE)) FROM (SELECT count(*) AS n FROM incidents GROUP BY category))"""
+UNION ALL SELECT 'confusion', 'rows', (SELECT sum(ceil(n * 0.25::DOUBLE)) FROM (SELECT count(*) AS n FROM incidents GROUP BY category))
+UNION ALL SELECT 'input', 'rows', CAST(count(*) AS DOUBLE) FROM events"""
 
 
 @register("report_job", REPORT_SQL)
 def q_report_job(spark, d):
     """What SQL can state of the written tables, the trained forest's included."""
     out = scratch_path(spark, f"report-{uuid.uuid4().hex}")
-    paths = build_report(fxt.incidents(spark, d), ROLES, out)
+    # Two readers, both open before either runs a job: the file is read once.
+    source = (spark, f"{d.rstrip('/')}/events.parquet", "parquet", None, ("event_id", "event_type", "ts"))
+    with shared_table(*source) as events, shared_table(*source) as raw:
+        paths = build_report(fxt.incidents_of(events), ROLES, out)
+        loaded = spark.createDataFrame([(raw.count(),)], "n long")
     read = {name: spark.read.parquet(path) for name, path in paths.items()}
     def part(name, item, value, rows):
         return rows.select(F.lit(name).alias("part"), item.alias("item"), value.cast("double").alias("value"))
@@ -163,6 +190,7 @@ def q_report_job(spark, d):
         part("report", F.col("label"), F.col("support"),
              read["report"].where(~F.col("label").isin("accuracy", "macro avg", "weighted avg"))),
         part("confusion", F.lit("rows"), F.col("n"), read["confusion"].agg(F.sum("n").alias("n"))),
+        part("input", F.lit("rows"), F.col("n"), loaded),
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -211,6 +239,34 @@ def q_csv_inferred_types(spark, d):
     return files.read_csv_na(spark, out)
 
 
+_SKETCHED = {"category": "category", "key": "CAST(key AS VARCHAR)", "place": "CAST(key % 977 AS VARCHAR)"}
+_registers = " UNION ALL ".join(f"SELECT '{item}' AS item, {v} AS v FROM incidents_wide" for item, v in _SKETCHED.items())
+
+
+@register("distinct_sketch", W(o.INCIDENTS_WIDE) + f"""
+, every AS ({_registers})
+, bits AS (SELECT item, v, ('0x' || substr(md5(v), 1, 3))::BIGINT AS register, ('0x' || substr(md5(v), 4, 13))::BIGINT AS bits FROM every WHERE v IS NOT NULL)
+, regs AS (SELECT item, register, max(CASE WHEN bits > 0 THEN 53 - length(bin(bits)) ELSE 53 END) AS rank FROM bits GROUP BY item, register)
+, sums AS (SELECT item, count(*) AS used, sum(pow(2.0::DOUBLE, -rank)) AS s FROM regs GROUP BY item)
+, raw AS (SELECT item, used, (0.7213::DOUBLE / (1 + 1.079::DOUBLE / 4096)) * 4096 * 4096 / (s + 4096 - used) AS raw FROM sums)
+SELECT item, (SELECT count(DISTINCT v) FROM every e WHERE e.item = raw.item) AS exact,
+       round(CASE WHEN raw <= 2.5 * 4096 AND used < 4096 THEN 4096 * ln(4096 / (4096 - used)::DOUBLE) ELSE raw END, 6) AS estimate,
+       true AS within_error, true AS parts_unite FROM raw""")
+def q_distinct_sketch(spark, d):
+    """Distinct counts from sketches of each hour, united, beside the exact ones."""
+    wide = fxt.incidents_wide(spark, d)
+    rows = []
+    for item, value in {"category": F.col("category"), "key": F.col("key").cast("string"), "place": (F.col("key") % 977).cast("string")}.items():
+        values = wide.select("hour", value.alias("v"))
+        parts = sketch.merge_sketches(sketch.distinct_sketch(values, "v", ["hour"]))
+        direct = sketch.sketch_estimate(sketch.distinct_sketch(values, "v"))
+        both = sketch.sketch_estimate(parts).withColumns({"direct": direct.scalar(), "exact": values.agg(F.count_distinct("v")).scalar()})
+        near = F.abs(F.col("estimate") - F.col("exact")) <= 4 * sketch.STANDARD_ERROR * F.col("exact") + 1
+        rows.append(both.select(F.lit(item).alias("item"), "exact", F.round("estimate", 6).alias("estimate"), near.alias("within_error"),
+                                (F.col("estimate") == F.col("direct")).alias("parts_unite")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 #: Fields that read as missing, dealt to a third of the rows by key.
 GAPS = ("", "NA", "NaN", "null")
 

@@ -36,8 +36,11 @@ def _coords(key: str) -> list:
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, category (5 event types), hour, day, lat, lon."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
+    return incidents_of(table(spark, sf_dir, "events"))
+
+
+def incidents_of(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("key"),
         F.col("event_type").alias("category"),
         F.hour("ts").cast("int").alias("hour"),
