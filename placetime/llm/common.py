@@ -24,7 +24,9 @@ from ..session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
+#: Scratch tables by session and path, with the pipeline stage that wrote each.
+_WRITTEN: list[tuple[SparkSession, str, int]] = []
+_STAGE = [0]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; ``release`` deletes it."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append((spark, path))
+    _WRITTEN.append((spark, path, _STAGE[0]))
     return path
 
 
@@ -51,6 +53,21 @@ def release(spark: SparkSession) -> None:
         _WRITTEN.remove(item)
 
 
+def begin_stage(spark: SparkSession, number: int, docs: DataFrame) -> None:
+    """Delete the scratch tables of the stages before ``number``, but for those that hold ``docs``.
+
+    A stage's result is written before the next one begins, so what it worked
+    with is not needed any more.
+    """
+    old = [x for x in _WRITTEN if x[0] is spark and 0 < x[2] < number]
+    held = docs.inputFiles() if old else []
+    for item in old:
+        if not any(item[1].rsplit("/", 1)[1] in f for f in held):
+            delete(spark, item[1])
+            _WRITTEN.remove(item)
+    _STAGE[0] = number
+
+
 def stored(spark: SparkSession, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there."""
     path = scratch_dir(spark, name)

@@ -23,7 +23,10 @@ the set sizes.
 5. The product is then completed: all pairs of a row whose classes are in
    different components, minus the verified ones, go through the same bounds
    and waves.  So no link between different texts is lost, and a group of
-   copies never expands into all its pairs.
+   copies never expands into all its pairs.  Before such a pair is made, the
+   parity sketches of both sets are compared: each element in one set alone
+   flips one bit, so sets that differ in too many bits cannot link.  Texts that
+   share a passage and little else end there.
 
 Defined results: a null or blank text has the empty set (0 shingles) and links
 with nothing; fewer than five words are one shingle; rows that repeat an id
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, stored, table, text_slices
+from .common import WORD, cut, stored, table, text_slices
 from .graph import components
 
 WORDS = 5
@@ -48,7 +51,9 @@ PERCENT = 80
 HOT_LIST = 50_000
 HOT_LOCAL = 3
 SLICE = 6 << 20
-SETS = "doc_id long, n long, class binary, prefix array<long>, bitmap binary"
+SETS = "doc_id long, text_key string, n long, class binary, prefix array<long>, bitmap binary, sketch array<long>"
+#: Bits of the parity sketch, in longs.
+SKETCH_LONGS = 8
 
 
 # --- sets --------------------------------------------------------------------
@@ -98,6 +103,16 @@ def bitmap_of(own: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def sketch_of(own: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements per cell, 64 cells to a long.
+
+    Two sets' sketches differ in at most as many bits as elements are in one set alone.
+    """
+    cells = 64 * SKETCH_LONGS
+    odd = np.bincount((own >> np.uint64(32)).astype(np.int64) & (cells - 1), minlength=cells) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
 def overlap_bound(a: bytes, na: int, b: bytes, nb: int) -> int:
     """An upper bound of the overlap of two sets from their bitmaps."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -137,9 +152,10 @@ def hot_shingles(docs: DataFrame, most: int = HOT_LIST) -> tuple[np.ndarray, np.
 
 
 def sets(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n, class, prefix and bitmap of every document."""
+    """doc_id, text_key, n, class, prefix, bitmap and sketch of every document."""
     hot_h, hot_c = hot
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.binary()), ("prefix", pa.list_(pa.int64())), ("bitmap", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.string()), ("n", pa.int64()), ("class", pa.binary()), ("prefix", pa.list_(pa.int64())),
+                        ("bitmap", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 
     def prefix(own: np.ndarray) -> np.ndarray:
         n = len(own)
@@ -155,11 +171,15 @@ def sets(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
             for some in text_slices(batch, SLICE):
                 own = shingle_sets(some["text"])
                 yield pa.RecordBatch.from_arrays([
-                    some["doc_id"], pa.array([len(x) for x in own], pa.int64()), pa.array([class_of(x) for x in own], pa.binary()),
+                    some["doc_id"], some["text_key"], pa.array([len(x) for x in own], pa.int64()), pa.array([class_of(x) for x in own], pa.binary()),
                     pa.array([prefix(x) if len(x) else x.astype(np.int64) for x in own], pa.list_(pa.int64())),
-                    pa.array([bitmap_of(x) for x in own], pa.binary())], schema=schema)
+                    pa.array([bitmap_of(x) for x in own], pa.binary()), pa.array([sketch_of(x) for x in own], pa.list_(pa.int64()))], schema=schema)
+
+    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(run, SETS)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+
+def _text_key():
+    return F.md5(F.coalesce("text", F.lit("")))
 
 
 # --- pairs -------------------------------------------------------------------
@@ -255,11 +275,11 @@ def _waves(pairs: DataFrame, full: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n, class) of all documents, and (node, root) of classes that share entries."""
+    """Rows (doc_id, text_key, n, class) of all documents, and (node, root) of classes that share entries."""
     spark = docs.sparkSession
     rows = stored(spark, sets(docs, hot_shingles(docs)), "sets")
     classes = rows.where("n > 0").groupBy("class").agg(
-        F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"))
+        F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"), F.first("sketch").alias("sketch"))
     classes = stored(spark, classes, "classes")
     entries = classes.select(F.explode("prefix").alias("gram"), "class", "n")
     row = Window.partitionBy("gram")
@@ -272,10 +292,10 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     full = stored(spark, _full_sets(docs, classes, pairs), "members")
     roots = cut(entries.select(F.col("class").alias("node"), F.col("class").alias("root")).distinct())
     roots = _waves(pairs, full, roots)
-    rest = cut(_bounded(_remaining(entries, roots, pairs), maps))
+    rest = cut(_bounded(_remaining(entries, classes, roots, pairs), maps))
     if not rest.isEmpty():
         roots = _waves(rest, stored(spark, _full_sets(docs, classes, rest), "members"), roots)
-    return rows.select("doc_id", "n", "class"), roots
+    return rows.select("doc_id", "text_key", "n", "class"), roots
 
 
 def _first_pairs(entries: DataFrame) -> DataFrame:
@@ -295,26 +315,44 @@ def _first_pairs(entries: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("shared"))
 
 
-def _remaining(entries: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
+def _sketches_fit(x: str, y: str, a: str, b: str):
+    """Whether sets of sizes ``a`` and ``b`` can link whose sketches are the columns ``x``0, ... and ``y``0, ...
+
+    Linked sets have at most (a + b) (100 - 80) / (100 + 80) elements in one of them alone.
+    """
+    apart = sum((F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(1, SKETCH_LONGS)), F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0"))))
+    return apart * (100 + PERCENT) <= (F.col(a) + F.col(b)) * (100 - PERCENT)
+
+
+def _remaining(entries: DataFrame, classes: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
     """The rest of the product: pairs of a row in different components that were not tested."""
     rows = entries.join(roots, F.col("class") == F.col("node")).select("gram", "class", "n", "degree", "root")
     mixed = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("gram").alias("g"))
-    rows = cut(rows.join(mixed, F.col("gram") == F.col("g"), "left_semi"))
-    x = rows.select("gram", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("degree").alias("d_a"), F.col("root").alias("root_a"))
-    y = rows.select(F.col("gram").alias("g"), F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("degree").alias("d_b"), F.col("root").alias("root_b"))
+    rows = rows.join(mixed, F.col("gram") == F.col("g"), "left_semi").join(classes.select(F.col("class").alias("of"), "sketch"), F.col("class") == F.col("of"))
+    rows = cut(rows.drop("of"))
+
+    def side(x: str, gram: str) -> DataFrame:
+        parts = [F.get("sketch", F.lit(i)).alias(f"s{x}{i}") for i in range(SKETCH_LONGS)]
+        return rows.select(F.col("gram").alias(gram), F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("degree").alias(f"d_{x}"), F.col("root").alias(f"root_{x}"), *parts)
+
     # A pair shares at most the shared entries of either class; once counted, what it does share.
-    pairs = x.join(y, (F.col("gram") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-                   & _sizes_fit("n_a", "n_b") & _may_link(F.least("d_a", "d_b"), "n_a", "n_b"))
+    pairs = side("a", "gram").join(side("b", "g"), (F.col("gram") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+                                   & _sizes_fit("n_a", "n_b") & _may_link(F.least("d_a", "d_b"), "n_a", "n_b") & _sketches_fit("sa", "sb", "n_a", "n_b"))
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     pairs = pairs.where(_may_link(F.col("shared"), "n_a", "n_b")).select("a", "b", "shared")
     return pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links)."""
+def _rooted(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, n and root (its component's class) of every row."""
     rows, roots = link_classes(docs)
     ids = rows.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
-    ids = stored(docs.sparkSession, ids.select("doc_id", "n", "root"), "ids")
+    return stored(docs.sparkSession, ids.select("doc_id", "text_key", "n", "root"), "ids")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links)."""
+    ids = _rooted(docs)
     # Components are named by an aggregation; the names return by a join that Spark can split.
     named = ids.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")).select(F.col("root").alias("of"), "least")
     out = ids.join(named, (F.col("root") == F.col("of")) & (F.col("n") > 0), "left")
@@ -322,15 +360,26 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` without those linked to a document of smaller id, with all columns.
+    """One row of each component of linked texts, with all columns.
 
-    Documents without words stay.  Of rows that repeat the smallest id of a
-    component one stays.
+    It is the row of smallest doc_id (a null id comes last; then by a hash of the
+    text, then of the row).  Rows are decided one by one: a row whose id has
+    another, linked text stays if its own text is in no other component.  Rows
+    without words stay, repeated ones too.
     """
-    joined = join(docs)
-    drop = joined.where("component_id <> doc_id").select(F.col("doc_id").alias("drop_id")).distinct()
-    kept = docs.join(drop, F.col("doc_id") == F.col("drop_id"), "left_anti")
-    return kept.dropDuplicates() if joined.count() != joined.select("doc_id").distinct().count() else kept
+    ids = _rooted(docs).where("n > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    first = ids.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"))
+    first = stored(docs.sparkSession, first, "first-rows")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", _text_key().alias("text_key"), (~F.coalesce("text", F.lit("")).rlike(WORD)).alias("wordless"))
+    matched = rows.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key")), "left")
+    kept = matched.where(F.col("wordless") | F.col("first_key").isNotNull())
+    again = ids.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(
+        first, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key")), "left_semi")
+    if not again.isEmpty():  # of rows that agree in id and text one stays
+        single = kept.where(~F.col("wordless")).groupBy("doc_id", "text_key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+        kept = single.select("row").unionByName(kept.where("wordless").select("row"))
+    return kept.select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

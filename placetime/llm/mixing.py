@@ -8,8 +8,9 @@ alone, so reruns and other partitionings agree.
 
 The totals are one aggregation with map-side combine; a hot source is one row
 after it.  The table of sources is small against the documents but not
-assumed tiny: its ranks come from range partitions and per-partition counts,
-and it is joined back as a shuffle join that Spark may broadcast by its size.
+assumed tiny: its ranks come from range partitions and per-partition counts.  It
+is measured and broadcast below a bound of bytes, so documents are not shuffled;
+beyond it the join is a shuffle join.
 
 Defined results: a null text has size 0; a null source is a source of its
 own, last in the order; a source of size 0 has target 0 and rate 0; rows with
@@ -28,6 +29,8 @@ WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
 MAX_RATE = 2
 SEED = "mix"
+#: The table of sources is broadcast up to this size.
+BROADCAST_BYTES = 8 << 20
 
 
 def size_of(text: Column) -> Column:
@@ -88,13 +91,19 @@ def targets(sizes: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHARE,
     return ranked.select("source", "source_size", F.least(F.lit(float(level)) * F.col("weight"), cap).alias("target"))
 
 
+def _bounded(t: DataFrame) -> DataFrame:
+    """The table of sources, to be broadcast while its names are within ``BROADCAST_BYTES``."""
+    size = t.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("of"), F.lit(0)) + 32), F.lit(0)).alias("b")).first()["b"]
+    return F.broadcast(t) if size <= BROADCAST_BYTES else t
+
+
 def plan(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, size, source_size, target and copies of every document."""
     spark = docs.sparkSession
     sizes = stored(spark, docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "sizes")
     t = targets(sizes, **options).withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = sizes.join(t, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    joined = sizes.join(_bounded(t), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     return joined.select("doc_id", "source", "size", "source_size", "target", copies(rate, F.col("doc_id")).alias("copies"))
 
 
@@ -107,10 +116,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row of ``docs`` as often as the mix takes it."""
     t = targets(docs.select("source", size_of(F.col("text")).alias("size")), **options)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rates = t.select(F.col("source").alias("mix_source"), rate.alias("mix_rate"))
+    rates = _bounded(t.select(F.col("source").alias("of"), rate.alias("rate")))
     rows = docs.select(F.struct("*").alias("row"))
-    joined = rows.join(rates, F.col("row.source").eqNullSafe(F.col("mix_source")), "left")
-    n = copies(F.col("mix_rate"), F.col("row.doc_id"))
+    joined = rows.join(rates, F.col("row.source").eqNullSafe(F.col("of")), "left")
+    n = copies(F.col("rate"), F.col("row.doc_id"))
     return joined.select("row", F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("nth")).select("row.*")
 
 

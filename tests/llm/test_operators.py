@@ -344,6 +344,31 @@ def test_jaccard_near_copies(documents):
     assert kept == {i for i, _, least in components(docs) if i == least}
 
 
+def test_keep_first_decides_by_row(spark):
+    far = "q r s t u v w x y z"
+    rows = [(1, "a b c d e f", "s1"), (2, "a b c d e f", "s1"), (2, far, "s2"), (None, "m n o p q r", "s"), (None, "m n o p q r", "s"), (None, "k l m n o", "s"),
+            (5, None, "s"), (5, None, "s"), (6, "  ", "s"), (7, far, "s3"), (8, "one two", "a"), (8, "one two", "b"), (8, "one two", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for name in ("drop_id", "row", "root", "first", "first_id", "text_key", "wordless", "n"):
+        docs = docs.withColumn(name, F.lit("x"))
+    out = jaccard.keep_first(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    want = [(1, rows[0][1]), (2, far), (None, "m n o p q r"), (None, "k l m n o"), (5, None), (5, None), (6, "  "), (8, "one two")]
+    assert got == sorted(want, key=repr)
+    assert jaccard.keep_first(docs.limit(0)).count() == 0
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for n in (1, 10, 300, 3000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.7], rng.integers(0, 2**63, n // 3).astype(np.uint64)]))
+        bits = sum(int(x).bit_count() for x in (jaccard.sketch_of(a).view(np.uint64) ^ jaccard.sketch_of(b).view(np.uint64)))
+        assert bits <= len(np.setxor1d(a, b))
+    assert not jaccard.sketch_of(np.zeros(0, np.uint64)).any()
+
+
 def test_jaccard_empty_and_repeated_rows(documents):
     assert jaccard.join(documents([(1, "a")]).limit(0)).count() == 0
     out = rows_of(jaccard.join(documents([(2, "a b c d e f"), (2, "a b c d e f"), (1, None), (5, "A b c d e f")])))
