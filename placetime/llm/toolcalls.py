@@ -14,9 +14,11 @@ task, so one that holds a third of all rows is only more rows of the same joins.
 Defined results: a null id links with nothing; of several results of a call
 that with the smallest (turn, content) counts; a dependency on an id that does
 not exist is reported and otherwise ignored; calls on or after a cycle have a
-null level; arguments that are null or no JSON object are invalid; a tool
-without a schema is reported as unknown; empty tables give empty results;
-rows that repeat a call id are joined row by row.
+null level; arguments that are null or no JSON object are invalid, and so are
+those that no canonical JSON can hold (NaN, infinite numbers, lone surrogates,
+nesting or numbers beyond the parser's limits); a tool without a schema is
+reported as unknown; empty tables give empty results; rows that repeat a call
+id are joined row by row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -65,11 +67,15 @@ def canonical(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
+def _refuse(constant: str):
+    raise ValueError(constant)
+
+
 def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Calls (conv_id, turn, call_id, name, arguments, parents) with their result and ``linked``."""
     one = results.where("call_id is not null").groupBy("call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
     one = one.select(F.col("call_id").alias("of"), F.col("r.content").alias("result"))
-    joined = calls.join(one, F.col("call_id") == F.col("of"), "left")
+    joined = calls.select("conv_id", "turn", "call_id", "name", "arguments", "parents").join(one, F.col("call_id") == F.col("of"), "left")
     return joined.withColumn("linked", F.col("of").isNotNull()).drop("of")
 
 
@@ -140,14 +146,18 @@ def render(linked: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     out = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("call_id", pa.string()), ("name", pa.string()), ("level", pa.int64()),
                      ("missing", pa.int64()), ("linked", pa.bool_()), ("valid", pa.bool_()), ("errors", pa.string()), ("message", pa.string())])
 
+    def message(row: dict, value) -> str:
+        text = canonical({"arguments": value, "call_id": row["call_id"], "level": row["level"], "name": row["name"], "result": row["result"]})
+        text.encode()
+        return text
+
     def checked(row: dict) -> tuple[bool, str, str]:
         try:
-            value = json.loads(row["arguments"] or "")
+            value = json.loads(row["arguments"] or "", parse_constant=_refuse)
             wrong = problems(value, schemas[row["name"]]) if row["name"] in schemas else ["unknown tool"]
-        except ValueError:
-            value, wrong = None, ["$: not JSON"]
-        text = canonical({"arguments": value, "call_id": row["call_id"], "level": row["level"], "name": row["name"], "result": row["result"]})
-        return not wrong, "; ".join(wrong), text
+            return not wrong, "; ".join(wrong), message(row, value)
+        except (ValueError, RecursionError):
+            return False, "$: not JSON", message(row, None)
 
     def run(batches):
         for batch in batches:
