@@ -35,7 +35,7 @@ from .common import table, text_slices
 HELD_OUT_OF = 5
 SAMPLE_DOCS = 1000
 FEATURES = 1 << 15
-WIDTH = 24  # bytes of a word that n-grams look at: all, or the first and last half of a longer one
+WIDTHS = (2, 3, 4)  # bytes of n-grams; a word has one byte more at each edge
 EPOCHS, BATCH, PIECE, PIECES_PER_SEQUENCE = 3, 128, 16, 4
 UNKNOWN = "und"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -55,35 +55,48 @@ def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(), pc.list_value_length(split).to_numpy().astype(np.int64)
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h.astype(np.uint32)
+    return ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(17)).astype(np.int64) % FEATURES
+
+
 def features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(words x features) hashed feature ids, and a mask of those that exist."""
+    """Hashed features of all bytes of each word: the word of each feature, and the feature's id.
+
+    The n-grams of a word with its edges (those that hold an edge are the
+    affixes), and the whole word as a lexicon entry.  An empty word has none.
+    """
     raw = words.cast(pa.large_binary())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
-    data = np.frombuffer(raw.buffers()[2] or b"\0", np.uint8)
     size = np.diff(offsets)
-    inner = np.minimum(size, WIDTH)
-    at = offsets[:-1, None] + np.arange(WIDTH)
-    tail = offsets[1:, None] - WIDTH + np.arange(WIDTH)
-    at = np.where((size[:, None] > WIDTH) & (np.arange(WIDTH) >= WIDTH // 2), tail, at)
-    b = np.where(np.arange(WIDTH) < inner[:, None], data[np.minimum(at, len(data) - 1)], 0).astype(np.uint32)
-    n = len(raw)
-    edged = np.zeros((n, WIDTH + 2), np.uint32)  # 1: start, 2: end, 0: nothing
-    edged[:, 0], edged[:, 1:-1] = 1, b
-    edged[np.arange(n), inner + 1] = 2
-    ids, real = [], []
-    for width in (2, 3, 4):  # n-grams; those with an edge are the affixes
-        h = np.full((n, WIDTH + 3 - width), 977 * width, np.uint32)
+    full = np.flatnonzero(size)
+    size = size[full]
+    if not len(full):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    data = np.frombuffer(raw.buffers()[2], np.uint8)
+    start = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(start, size)
+    inner = data[np.repeat(offsets[:-1][full], size) + place]
+    # All words in a row, each with 1 before and 2 behind it.
+    edged = np.zeros(len(inner) + 2 * len(full), np.uint32)
+    first = start + 2 * np.arange(len(full))
+    edged[first], edged[first + size + 1] = 1, 2
+    edged[np.repeat(first, size) + 1 + place] = inner
+    left = np.repeat(first + size + 2, size + 2) - np.arange(len(edged))  # bytes up to the word's end
+    owner = np.repeat(full, size + 2)
+    of_word, ids = [], []
+    for width in WIDTHS:
+        at = np.flatnonzero(left >= width)
+        h = np.full(len(at), 977 * width, np.uint32)
         for k in range(width):
-            h = (h ^ edged[:, k : k + WIDTH + 3 - width]) * np.uint32(0x01000193)
-        ids.append(h)
-        real.append(np.arange(WIDTH + 3 - width) + width <= (inner + 2)[:, None])
-    whole = np.full(n, 0x811C9DC5, np.uint32)
-    for k in range(WIDTH):
-        whole = np.where(k < inner, (whole ^ b[:, k]) * np.uint32(0x01000193), whole)
-    ids.append((whole ^ size.astype(np.uint32))[:, None])
-    real.append((inner > 0)[:, None])
-    h, m = np.concatenate(ids, 1), np.concatenate(real, 1) & (inner > 0)[:, None]
-    return ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(17)).astype(np.int32) % FEATURES, m
+            h = (h ^ edged[at + k]) * np.uint32(0x01000193)
+        of_word.append(owner[at])
+        ids.append(_mixed(h))
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(size.max()) - 1, np.uint64(0x100000001B3))]))
+    whole = np.add.reduceat((inner.astype(np.uint64) + np.uint64(1)) * powers[place], start) ^ size.astype(np.uint64)
+    of_word.append(full)
+    ids.append(_mixed(whole ^ (whole >> np.uint64(32))))
+    return np.concatenate(of_word), np.concatenate(ids)
 
 
 # --- the chain ---------------------------------------------------------------
@@ -121,6 +134,11 @@ def forward_backward(emit: np.ndarray, moves: np.ndarray, lengths: np.ndarray) -
     return ahead, back, both / both.sum(1, keepdims=True)
 
 
+def _summed(weights: np.ndarray, of_word: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """Weights of each word's features, added up."""
+    return np.stack([np.bincount(of_word, weights[ids, y], n) for y in range(weights.shape[1])], 1) if weights.shape[1] else np.zeros((n, 0))
+
+
 @dataclass(frozen=True)
 class Model:
     labels: tuple[str, ...]
@@ -130,9 +148,8 @@ class Model:
     def emission(self, words: pa.Array) -> np.ndarray:
         out = np.zeros((len(words), len(self.labels)), np.float32)
         for k in range(0, len(words), 20_000):
-            ids, real = features(words[k : k + 20_000])
-            w = np.append(self.weights, np.zeros((1, len(self.labels)), np.float32), 0)
-            out[k : k + 20_000] = w[np.where(real, ids, FEATURES)].sum(1)
+            some = words[k : k + 20_000]
+            out[k : k + 20_000] = _summed(self.weights, *features(some), len(some))
         return out
 
     def marginals(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,14 +189,17 @@ def fit(examples: list[tuple[str, str]], seed: int = 7) -> Model:
     if not examples:
         return Model((), weights, moves)
     words, at, per = split_words(pa.array([t for t, _ in examples], pa.large_string()))
-    ids, real = features(words)
-    ids = np.where(real, ids, FEATURES)
+    of_word, ids = features(words)
+    by_word = np.argsort(of_word, kind="stable")
+    ids = ids[by_word]
+    many = np.bincount(of_word, minlength=len(words))
+    start = np.cumsum(many) - many
     of_doc = np.array([labels.index(lang) for _, lang in examples])
     edges = np.concatenate([[0], np.cumsum(per)])
     pieces = [(of_doc[d], p, min(p + PIECE, edges[d + 1])) for d in range(len(per)) for p in range(edges[d], edges[d + 1], PIECE)]
     rng = np.random.default_rng(seed)
-    sum_w, sum_m = np.full((FEATURES + 1, size), 1e-6, np.float32), np.full((size, size), 1e-6)
-    full = np.zeros((FEATURES + 1, size), np.float32)
+    sum_w, sum_m = np.full((FEATURES, size), 1e-6, np.float32), np.full((size, size), 1e-6)
+    full = np.zeros((FEATURES, size), np.float32)
     for _ in range(EPOCHS):
         # Half of the sequences keep neighbouring pieces, the others switch at random.
         order = np.arange(len(pieces))
@@ -197,18 +217,20 @@ def fit(examples: list[tuple[str, str]], seed: int = 7) -> Model:
             truth = np.concatenate([np.full(b - a, y) for g in spans for y, a, b in g])
             lengths = np.array([sum(b - a for _, a, b in g) for g in spans])
             used, local = np.unique(word, return_inverse=True)
-            score = full[ids[used]].sum(1)[local]
+            # The features of the words of this batch.
+            has = many[used]
+            own = ids[np.repeat(start[used] - (np.cumsum(has) - has), has) + np.arange(int(has.sum()))]
+            of_used = np.repeat(np.arange(len(used)), has)
+            score = _summed(full, of_used, own, len(used))[local]
             emit = np.exp(np.clip(score - score.max(1, keepdims=True), -30, 0)).astype(np.float64)
             ahead, back, marginal = forward_backward(emit, np.exp(moves), lengths)
             off = -marginal
             off[np.arange(len(truth)), truth] += 1
             per_word = np.stack([np.bincount(local, off[:, y], len(used)) for y in range(size)], 1)
-            touched, inverse = np.unique(ids[used], return_inverse=True)
-            inverse = inverse.reshape(-1)
-            grad = np.stack([np.bincount(inverse, np.repeat(per_word[:, y], ids.shape[1]), len(touched)) for y in range(size)], 1) / len(word)
+            touched, inverse = np.unique(own, return_inverse=True)
+            grad = np.stack([np.bincount(inverse, per_word[of_used, y], len(touched)) for y in range(size)], 1) / len(word)
             sum_w[touched] += grad**2
             full[touched] += (0.1 * grad / np.sqrt(sum_w[touched])).astype(np.float32)
-            full[FEATURES] = 0
             starts = np.cumsum(lengths) - lengths
             later = np.ones(len(word), bool)
             later[starts] = False
@@ -220,7 +242,7 @@ def fit(examples: list[tuple[str, str]], seed: int = 7) -> Model:
             g = (seen - expected) / max(1, len(nxt))
             sum_m += g**2
             moves = moves + 0.2 * g / np.sqrt(sum_m)
-    return Model(labels, full[:FEATURES], moves)
+    return Model(labels, full, moves)
 
 
 # --- scoring -----------------------------------------------------------------
@@ -258,10 +280,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def label_words(text: str, model: Model) -> list[tuple[str, str, float]]:
-    """(word, language, probability) of each word of one text, for code-switched text."""
+    """(word, language, probability) of each word of one text, for code-switched text; words part at ASCII blanks."""
     arr = pa.array([text], pa.large_string())
     share, _, _ = model.marginals(arr)
-    return [(w, model.labels[int(p.argmax())], float(p.max())) for w, p in zip(text.split(), share, strict=False)]
+    pieces = pc.list_flatten(pc.ascii_split_whitespace(arr)).to_pylist()
+    return [(w, model.labels[int(p.argmax())], float(p.max())) for w, p in zip(pieces, share, strict=True) if w]
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
