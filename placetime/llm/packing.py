@@ -42,39 +42,57 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Ids(dict):
+class Ids:
     """Ids of blank-free chunks as little-endian bytes.
 
     The tokenizer drops white space and never joins across it, so a text's
     ids are those of its chunks in order, and equal chunks are encoded once.
     New chunks are encoded many at a time, joined by blanks; each id goes to
     the chunk that holds its first character.  A chunk that only adds final
-    stops and commas to a word takes the word's ids.  The table is emptied
-    when it is full, which bounds a worker's memory and changes no result.
+    stops and commas to a word takes the word's ids.  Chunks met lately are in
+    two tables of bounded size: one in use moves to the younger, and when that is
+    full it becomes the older, whose rest goes; this changes no result.
     """
 
-    MOST, JOINED = 300_000, 256
+    MOST, JOINED = 500_000, 256
 
     def __init__(self, path: str):
         # A task has one core, and threads of its own would only leave it scattered memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.younger: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
 
-    def learn(self, chunks: list[bytes]) -> None:
-        if len(self) > self.MOST:
-            self.clear()
-        self[b""] = b""
-        new = [c for c in chunks if c not in self]
+    def ids(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each chunk."""
+        if len(self.younger) > self.MOST:
+            self.younger, self.older = {}, self.younger
+        known = self.younger
+        known[b""] = b""
+        new = []
+        for c in chunks:
+            if c not in known:
+                if c in self.older:
+                    known[c] = self.older[c]
+                else:
+                    new.append(c)
         cut = [len(s) if s and s[-1:].isalnum() else len(c) for c in new if (s := c.rstrip(b".,")) is not None]
         wanted = {c[:n] for c, n in zip(new, cut, strict=True)} | {c[n:] for c, n in zip(new, cut, strict=True)}
-        self._encode([w for w in wanted if w not in self])
+        unknown = []
+        for w in wanted:
+            if w not in known:
+                if w in self.older:
+                    known[w] = self.older[w]
+                else:
+                    unknown.append(w)
+        self._encode(unknown)
         for c, n in zip(new, cut, strict=True):
             if n < len(c):
-                self[c] = self[c[:n]] + self[c[n:]]
+                known[c] = known[c[:n]] + known[c[n:]]
+        return [known[c] for c in chunks]
 
     def _encode(self, chunks: list[bytes]) -> None:
         groups = [chunks[k : k + self.JOINED] for k in range(0, len(chunks), self.JOINED)]
@@ -87,7 +105,7 @@ class Ids(dict):
                 ends = np.bincount(np.searchsorted(starts, first, "right") - 1, minlength=len(group)).cumsum() * 4
                 raw, at = ids.tobytes(), 0
                 for chunk, end in zip(group, ends.tolist(), strict=True):
-                    self[chunk], at = raw[at:end], end
+                    self.younger[chunk], at = raw[at:end], end
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text ends.  ASCII
@@ -98,8 +116,7 @@ class Ids(dict):
         split = pc.ascii_split_whitespace(folded)
         coded = pc.list_flatten(split).dictionary_encode()
         chunks, at = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices
-        self.learn(chunks)
-        taken = pa.array([self[c] for c in chunks], pa.large_binary()).take(at)
+        taken = pa.array(self.ids(chunks), pa.large_binary()).take(at)
         ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // 4
         ids = np.frombuffer(taken.buffers()[2] or b"", "<u4")[: ends[-1]]
         return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy())]

@@ -111,11 +111,68 @@ def test_langid_edges_and_switching(spark, documents):
     assert out[10]["lang_pred"] == "en" and out[10]["score"] > 0.6
     labels = [x[1] for x in langid.label_words("der und die nicht the and of that with", model)]
     assert labels == ["de"] * 4 + ["en"] * 5
+    assert [x[:2] for x in langid.label_words(" \u00a0the  und ", model)] == [("\u00a0the", "en"), ("und", "de")]
     nobody = langid.identify(docs, langid.fit([])).collect()
     assert {r["lang_pred"] for r in nobody} == {"und"} and {r["score"] for r in nobody} == {0.0}
     assert langid.identify(docs.limit(0), model).count() == 0 and langid.sample(docs.withColumn("lang", F.lit(None).cast("string"))) == []
 
 
+def plain_features(word):
+    """Feature ids of a word, feature by feature."""
+    b, found = word.encode(), []
+    mix = lambda h: (((h ^ (h >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF) >> 17) % langid.FEATURES
+    edged = [1, *b, 2]
+    for width in langid.WIDTHS if b else ():
+        for k in range(len(edged) - width + 1):
+            h = 977 * width
+            for x in edged[k : k + width]:
+                h = (h ^ x) * 0x01000193 & 0xFFFFFFFF
+            found.append(mix(h))
+    if b:
+        whole = sum((x + 1) * pow(0x100000001B3, k, 2**64) for k, x in enumerate(b)) % 2**64 ^ len(b)
+        found.append(mix((whole ^ (whole >> 32)) & 0xFFFFFFFF))
+    return sorted(found)
+
+
+def test_langid_reads_whole_words():
+    words = ["a", "", "the", "été", "x" * 32, "x" * 16 + "y" + "x" * 15, "日本語のテキスト" * 40, "z" * 100_000]
+    of_word, ids = langid.features(pa.array(words, pa.large_string()))
+    got = [sorted(ids[of_word == i].tolist()) for i in range(len(words))]
+    assert got[:7] == [plain_features(w) for w in words[:7]] and got[4] != got[5] and len(got[7]) == 100_001 + 100_000 + 99_999 + 1
+    assert all(len(x) == 0 for x in langid.features(pa.array(["", ""], pa.large_string())))
+
+
+def test_langid_against_plain_forward_backward(spark, documents):
+    """Every text scored word by word in plain Python; repeated rows and a word of a whole sentence."""
+    rng = random.Random(4)
+    lexicon = {"en": "the of and that with this".split(), "de": "der und nicht ein aber wenn".split(), "fr": "que les dans nous être".split()}
+    model = langid.fit([(" ".join(rng.choices(words, k=12)), lang) for lang, words in lexicon.items() for _ in range(25)])
+    texts = [" ".join(rng.choices(lexicon[rng.choice(list(lexicon))], k=3) + rng.choices(lexicon["de"], k=rng.randrange(4))) for _ in range(25)]
+    texts += [texts[0], texts[0], "the 12 und !", "thedermitdiesenundvielenwortenohneeinleerzeichen", "日本語の 的文章"]
+    out = langid.identify(documents([(i // 2, t) for i, t in enumerate(texts)]), model)
+    names, moves = model.labels, np.exp(model.moves)
+    want = []
+    for i, text in enumerate(texts):
+        emit = []
+        for w in text.lower().split(" "):
+            w = w.strip(langid.PUNCTUATION)
+            score = np.sum([model.weights[f] for f in plain_features(w)], axis=0) if w and any(c.isalpha() for c in w) else np.zeros(len(names))
+            emit.append((np.exp(np.clip(score - score.max(), -30, 0)), any(c.isalpha() for c in w)))
+        total = np.zeros(len(names))
+        ahead = [emit[0][0]]
+        for e, _ in emit[1:]:
+            ahead.append((ahead[-1] @ moves) * e)
+        back = [np.ones(len(names))]
+        for e, _ in reversed(emit[1:]):
+            back.insert(0, moves @ (e * back[0]))
+        for a, b, (_, lettered) in zip(ahead, back, emit, strict=True):
+            total += lettered * (a * b) / (a * b).sum()
+        want.append((i // 2, names[int(total.argmax())], round(float(total.max() / total.sum()), 3)))
+    got = [(r["doc_id"], r["lang_pred"], round(r["score"], 3)) for r in out.collect()]
+    assert sorted((a, b) for a, b, _ in got) == sorted((a, b) for a, b, _ in want)
+    assert np.allclose(sorted(x for *_, x in got), sorted(x for *_, x in want), atol=2e-3)
+
+
 def test_forward_backward_matches_enumeration():
     rng = np.random.default_rng(1)
     emit, moves, lengths = rng.random((9, 3)) + 0.1, rng.random((3, 3)) + 0.1, np.array([4, 0, 1, 4])
@@ -154,6 +211,17 @@ def test_toolcalls(spark):
     assert toolcalls.format_calls(calls.limit(0), results.limit(0)).count() == 0
 
 
+def test_toolcalls_refuse_what_json_cannot_hold(spark):
+    bad = ['{"limit": NaN, "query": "q"}', '{"limit": 1e999, "query": "q"}', '{"limit": 1, "query": "\\ud800"}', "[" * 100_000, '{"limit": ' + "9" * 5000 + ', "query": "q"}', None, ""]
+    calls = spark.createDataFrame([(1, i, f"c{i}", "search", a, []) for i, a in enumerate(bad)] + [(1, 99, "good", "search", '{"limit": 3, "query": "é"}', ["c0", "c1", "c2"])], CALLS)
+    for name in ("of", "result", "level", "missing", "linked", "valid", "errors", "message"):
+        calls = calls.withColumn(name, F.lit("x"))
+    results = spark.createDataFrame([("good", 1, "r")], RESULTS).withColumn("of", F.lit("x"))
+    out = {r["call_id"]: r for r in toolcalls.format_calls(calls, results).collect()}
+    assert all(not out[f"c{i}"]["valid"] and out[f"c{i}"]["errors"] == "$: not JSON" and '"arguments":null' in out[f"c{i}"]["message"] for i in range(len(bad)))
+    assert out["good"]["valid"] and out["good"]["linked"] and out["good"]["level"] == 1 and json.loads(out["good"]["message"])["result"] == "r"
+
+
 def test_toolcall_levels_match_brute_force(spark):
     """Long chains, calls with several parents, cycles and what hangs from them."""
     rng = random.Random(5)
