@@ -26,7 +26,8 @@ the set sizes.
    copies never expands into all its pairs.  Before such a pair is made, the
    parity sketches of both sets are compared: each element in one set alone
    flips one bit, so sets that differ in too many bits cannot link.  Texts that
-   share a passage and little else end there.
+   share a passage and little else end there.  Rows that hold the same classes,
+   as all n-grams of a passage do, are one row with their number as its weight.
 
 Defined results: a null or blank text has the empty set (0 shingles) and links
 with nothing; fewer than five words are one shingle; rows that repeat an id
@@ -327,18 +328,21 @@ def _sketches_fit(x: str, y: str, a: str, b: str):
 def _remaining(entries: DataFrame, classes: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
     """The rest of the product: pairs of a row in different components that were not tested."""
     rows = entries.join(roots, F.col("class") == F.col("node")).select("gram", "class", "n", "degree", "root")
-    mixed = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("gram").alias("g"))
-    rows = rows.join(mixed, F.col("gram") == F.col("g"), "left_semi").join(classes.select(F.col("class").alias("of"), "sketch"), F.col("class") == F.col("of"))
-    rows = cut(rows.drop("of"))
+    # Rows with the same classes make the same pairs: one of them stands for all, with their number.
+    classes_of = [F.bit_xor(F.xxhash64(F.lit(seed), "class")).alias(f"x{seed}") for seed in (1, 2)]
+    made = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("many"), *classes_of).where("lo <> hi")
+    mixed = made.groupBy("x1", "x2", "many").agg(F.min("gram").alias("g"), F.count(F.lit(1)).alias("weight")).select("g", "weight")
+    rows = rows.join(mixed, F.col("gram") == F.col("g")).join(classes.select(F.col("class").alias("of"), "sketch"), F.col("class") == F.col("of"))
+    rows = cut(rows.drop("g", "of"))
 
     def side(x: str, gram: str) -> DataFrame:
         parts = [F.get("sketch", F.lit(i)).alias(f"s{x}{i}") for i in range(SKETCH_LONGS)]
-        return rows.select(F.col("gram").alias(gram), F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("degree").alias(f"d_{x}"), F.col("root").alias(f"root_{x}"), *parts)
+        return rows.select(F.col("gram").alias(gram), F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("degree").alias(f"d_{x}"), F.col("root").alias(f"root_{x}"), "weight", *parts)
 
     # A pair shares at most the shared entries of either class; once counted, what it does share.
-    pairs = side("a", "gram").join(side("b", "g"), (F.col("gram") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+    pairs = side("a", "gram").join(side("b", "g").drop("weight"), (F.col("gram") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
                                    & _sizes_fit("n_a", "n_b") & _may_link(F.least("d_a", "d_b"), "n_a", "n_b") & _sketches_fit("sa", "sb", "n_a", "n_b"))
-    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
     pairs = pairs.where(_may_link(F.col("shared"), "n_a", "n_b")).select("a", "b", "shared")
     return pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
 
