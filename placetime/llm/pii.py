@@ -31,6 +31,8 @@ from .common import let, table
 _LOCAL = "[A-Za-z0-9._%+-]"
 _LABEL = "[A-Za-z0-9-]"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+#: Matches that are summed up together, and characters of a block of text.
+BLOCK, TEXT_BLOCK = 256, 1024
 SPAN = "array<struct<kind:string,start:long,end:long,score:double>>"
 
 
@@ -48,6 +50,7 @@ class Kind:
     near: str = ""
     bonus: float = 0.3
     reach: int = 40
+    least: int = 4  # characters that a match has at least
 
 
 def _digits(m: Column) -> Column:
@@ -105,28 +108,47 @@ def _none() -> Column:
     return F.from_json(F.lit("[]"), SPAN)
 
 
+def _running(values: Column, join, start: Column) -> Column:
+    """Running totals of an array under ``join``, block by block: no array is copied once per element of the whole."""
+    last = lambda totals: F.element_at(totals, -1)
+    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+    inner = F.transform(blocks, lambda b: F.aggregate(F.slice(values, b * BLOCK + 1, F.lit(BLOCK)), F.array(start), lambda acc, x: F.concat(acc, F.array(join(last(acc), x)))))
+
+    def shifted(totals: Column) -> Column:
+        before = F.aggregate(totals, F.array(start), lambda acc, own: F.concat(acc, F.array(join(last(acc), last(own)))))
+        return F.flatten(F.zip_with(totals, F.slice(before, F.lit(1), F.size(totals)), lambda own, at: F.transform(F.slice(own, F.lit(2), F.size(own)), lambda x: join(at, x))))
+
+    return let(inner, shifted)
+
+
 def _spans(text: Column, kind: Kind) -> Column:
-    """Spans of one kind in ``text`` (a bound variable), scored and checked."""
+    """Spans of one kind in ``text`` (a bound variable), scored and checked.
+
+    Positions are running sums over the pieces between the matches, and the
+    context of a match is put together from its neighbours, so the work grows
+    with the text, not with its length times its spans.
+    """
+    # A match is ``least`` characters long, so so many of them fill the reach.
+    near = -(-kind.reach // kind.least)
 
     def placed(m: Column) -> Column:
         def over(pieces: Column) -> Column:
-            start = F.struct(F.lit(0).cast("long").alias("at"), _none().alias("out"))
-
-            def step(acc: Column, i: Column) -> Column:
-                s = acc["at"] + F.length(F.element_at(pieces, i))
-                e = s + F.length(F.element_at(m, i))
-                ok = F.lit(True) if kind.valid is None else F.coalesce(kind.valid(F.element_at(m, i)), F.lit(False))
-                score = F.lit(kind.score)
-                if kind.near:
-                    left = F.greatest(s - kind.reach, F.lit(0).cast("long"))
-                    around = F.concat_ws(" ", F.substring(text, left.cast("int") + 1, (s - left).cast("int")),
-                                         F.substring(text, e.cast("int") + 1, F.lit(kind.reach)))
-                    score = score + F.when(F.lower(around).rlike(kind.near), F.lit(kind.bonus)).otherwise(F.lit(0.0))
-                span = F.struct(F.lit(kind.name).alias("kind"), s.alias("start"), e.alias("end"), score.alias("score"))
-                grown = F.when(ok & (score >= THRESHOLD), F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-                return F.struct(e.alias("at"), grown.alias("out"))
-
-            return F.aggregate(F.sequence(F.lit(1), F.size(m)), start, step, lambda a: a["out"])
+            lengths = F.transform(m, lambda x, i: (F.length(F.get(pieces, i)) + F.length(x)).cast("long"))
+            return let(F.transform(pieces, lambda p: F.struct(F.left(p, F.lit(kind.reach)).alias("head"), F.right(p, F.lit(kind.reach)).alias("tail"))) if kind.near else pieces,
+                       lambda ends_of: let(_running(lengths, lambda a, x: a + x, F.lit(0).cast("long")), lambda ends: F.filter(F.transform(m, lambda x, i: span(x, i, F.get(ends, i), ends_of)), lambda x: x.isNotNull())))
+
+        def span(x: Column, i: Column, end: Column, sides: Column) -> Column:
+            score = F.lit(kind.score)
+            if kind.near:
+                first, n = F.greatest(i - near, F.lit(0)), F.least(i, F.lit(near))
+                before = F.zip_with(F.slice(sides, first + 1, n), F.slice(m, first + 1, n), lambda p, y: F.concat(p["tail"], y))
+                behind = F.zip_with(F.slice(m, i + 2, F.lit(near)), F.slice(sides, i + 3, F.lit(near)), lambda y, p: F.concat(y, F.coalesce(p["head"], F.lit(""))))
+                left = F.right(F.concat(F.array_join(before, ""), F.get(sides, i)["tail"]), F.lit(kind.reach))
+                right = F.left(F.concat(F.get(sides, i + 1)["head"], F.array_join(behind, "")), F.lit(kind.reach))
+                score = score + F.when(F.lower(F.concat_ws(" ", left, right)).rlike(kind.near), F.lit(kind.bonus)).otherwise(F.lit(0.0))
+            ok = F.lit(True) if kind.valid is None else F.coalesce(kind.valid(x), F.lit(False))
+            made = F.struct(F.lit(kind.name).alias("kind"), (end - F.length(x)).cast("long").alias("start"), end.alias("end"), score.alias("score"))
+            return F.when(ok & (made["score"] >= THRESHOLD), made)
 
         return F.when(F.size(m) == 0, _none()).otherwise(let(F.split(text, kind.pattern, -1), over))
 
@@ -168,24 +190,33 @@ def redact(docs: DataFrame) -> DataFrame:
     """
 
     def masked(t: Column) -> Column:
-        def write(s: Column) -> Column:
-            start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-            def step(acc: Column, x: Column) -> Column:
+        # The text in blocks, so that what lies between two spans is found without counting from its start.
+        cut = lambda x, size: F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.length(x) - 1, F.lit(0)) / size).cast("int")),
+                                          lambda i: F.substring(x, i * size + 1, F.lit(size)))
+        blocks = F.flatten(F.transform(cut(t, TEXT_BLOCK * 64), lambda part: cut(part, TEXT_BLOCK)))
+
+        def between(parts: Column, a: Column, b: Column) -> Column:
+            first = F.floor(a / TEXT_BLOCK).cast("int")
+            some = F.array_join(F.slice(parts, first + 1, F.floor(b / TEXT_BLOCK).cast("int") - first + 1), "")
+            return F.substring(some, (a - first * TEXT_BLOCK).cast("int") + 1, (b - a).cast("int"))
+
+        def write(parts: Column, s: Column, ends: Column) -> Column:
+            def piece(x: Column, i: Column) -> Column:
+                before = F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0))
                 mark = F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))
-                gap = F.substring(t, acc["at"].cast("int") + 1, (x["start"] - acc["at"]).cast("int"))
-                new = F.concat(acc["out"], F.array(gap, mark))
-                return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
-                                F.when(x["start"] < acc["at"], acc["out"]).otherwise(new).alias("out"))
+                return F.when(x["start"] < before, F.lit("")).otherwise(F.concat(between(parts, before, x["start"]), mark))
+
+            return F.concat(F.array_join(F.transform(s, piece), ""), between(parts, F.element_at(ends, -1), F.length(t).cast("long")))
 
-            return F.when(F.size(s) == 0, t).otherwise(F.aggregate(s, start, step, lambda a: F.concat(
-                F.array_join(a["out"], ""), F.substring(t, a["at"].cast("int") + 1, F.length(t)))))
+        def named(s: Column) -> Column:
+            ends = _running(F.transform(s, lambda x: x["end"]), F.greatest, F.lit(0).cast("long"))
+            return F.when(F.size(s) == 0, t).otherwise(let(blocks, lambda parts: let(ends, lambda e: write(parts, s, e))))
 
         ordered = let(spans_of(t), lambda f: F.transform(
             F.array_sort(F.transform(F.concat(f["base"], f["more"]), lambda x: F.struct(
                 x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind")))),
             lambda x: F.struct(x["start"].alias("start"), (-x["back"]).alias("end"), x["kind"].alias("kind"))))
-        return let(ordered, write)
+        return let(ordered, named)
 
     text = F.when(F.col("text").isNotNull(), let(F.col("text"), masked))
     out = docs.withColumn("text", text)

@@ -64,6 +64,26 @@ def test_pii_random(documents):
     check_pii(documents(list(enumerate(texts))), texts)
 
 
+def test_pii_of_a_long_text_with_many_spans(spark, documents):
+    """A million characters of phones cost about what their length does; blocks and context stay right."""
+    import time
+
+    phones = "".join(f"+1 555 {i % 1000:03d} 4567 " for i in range(58_000))
+    mixed = "".join(f"é🙂 card 4111 1111 1111 {1111 + i % 3} mail a{i}@b.org, ip 10.0.0.{i % 300} tel +49 30 {100000 + i} " for i in range(700))
+    began = time.monotonic()
+    assert pii.find(documents([(0, phones)])).select(F.size("base")).first()[0] == 58_000
+    assert pii.redact(documents([(0, phones)])).first()["text"] == "[PHONE] " * 58_000
+    assert time.monotonic() - began < 60
+    check_pii(documents([(0, mixed)]), [mixed])
+    spans = pii.find(documents([(0, mixed)])).first()
+    want, at = [], 0
+    for x in sorted([*spans["base"], *spans["more"]], key=lambda x: (x["start"], -x["end"])):
+        if x["start"] >= at:
+            want += [mixed[at : x["start"]], f"[{x['kind'].upper()}]"]
+        at = max(at, x["end"])
+    assert pii.redact(documents([(0, mixed)])).first()["text"] == "".join(want) + mixed[at:]
+
+
 def test_pii_added_spans_and_redaction(documents):
     iban = "GB82 WEST 1234 5698 7654 32"
     texts = [f"pay to {iban} now", "GB83WEST12345698765432", "ssn 123-45-6789", "code 123-45-6789", "call (555) 555-1234 or a@b.co", "x (555) 555-1234", None]
