@@ -40,7 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Bins per feature, rows of the sample their cuts are taken from, and trees that grow together.
 BINS, SAMPLE_ROWS, GROUP_TREES = 32, 20_000, 100
 #: Rows of a node whose subtree is grown in one task.
-FINISH_ROWS = 1 << 14
+FINISH_ROWS = 1 << 17
 _LEAF, _SMALL, _LARGE = 0, 1, 2
 _FOUND = "tree int, node long, f int, b int, gain double, weights array<double>, rows long"
 #: Running sums of Poisson(1): a draw at or above the n-th has more than n copies.
