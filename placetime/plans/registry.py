@@ -834,6 +834,21 @@ def q_importance_values(spark, d):
                        F.round(both.agg(F.sum("importance")).scalar(), R).alias("total"))
 
 
+@register("importance_ranks", W(o.INCIDENTS) + """
+SELECT range + 1 AS pos, true AS same FROM range((SELECT 8 FROM incidents LIMIT 1))""")
+def q_importance_ranks(spark, d):
+    """Features by their summed importance against an order worked out from the trees' gains."""
+    res = _trained(spark, d)
+    ranked = sort.rank_small(ml.feature_importance(spark, res), [F.col("importance").desc(), F.col("feature").asc()])
+    names = [n.split("__", 1)[1] for n in res.feature_names]
+    base = [next((c for c in ml.CATEGORICAL_FEATURES if n.startswith(c + "_")), n) for n in names]
+    own = trees.gain_importance(trees.forest_nodes(spark, res.model.stages[-1])).join(
+        spark.createDataFrame(list(enumerate(base)), "feature int, base string"), "feature")
+    order = sort.rank_small(own.groupBy("base").agg(F.sum("importance").alias("own")), [F.round("own", 12).desc(), F.col("base").asc()], "own_pos")
+    both = ranked.join(order, F.col("feature") == F.col("base"), "left")
+    return both.select("pos", F.coalesce((F.col("pos") == F.col("own_pos")) & (F.abs(F.col("own") - F.col("importance")) < 1e-9), F.lit(False)).alias("same"))
+
+
 def _day_averages(res, pts: DataFrame) -> DataFrame:
     """(key, class, mean): the probabilities of the seven day rows of each point, averaged by a grouped aggregate."""
     rows = _scored(res, predict.expand_days(pts))
@@ -849,11 +864,14 @@ def _scenarios_agree(spark, d, res) -> DataFrame:
     near = F.coalesce(F.abs(F.col("probability") - F.col("mean")) < 1e-9, F.lit(False))
     return both.groupBy("key").agg(F.bool_and(near).alias("same"), F.count(F.lit(1)).alias("classes"),
                                    (F.max("confidence") == F.max("probability")).alias("best_is_greatest"),
-                                   F.bool_or((F.col("class") == F.col("prediction")) & (F.col("rank") == 1)).alias("best_is_first"))
+                                   F.bool_or((F.col("class") == F.col("prediction")) & (F.col("rank") == 1)).alias("best_is_first"),
+                                   # The ranks 1, 2, ... are those of the averaged probabilities, ties by class.
+                                   (F.array_sort(F.collect_list(F.struct((-F.round("mean", 12)).alias("m"), F.col("class").alias("c"))))["c"]
+                                    == F.array_sort(F.collect_list(F.struct("rank", F.col("class").alias("c"))))["c"]).alias("ranked"))
 
 
 _SCENARIO_SQL = W(o.INCIDENTS) + """
-SELECT key, true AS same, (SELECT count(DISTINCT category) FROM incidents) AS classes, true AS best_is_greatest, true AS best_is_first FROM incidents"""
+SELECT key, true AS same, (SELECT count(DISTINCT category) FROM incidents) AS classes, true AS best_is_greatest, true AS best_is_first, true AS ranked FROM incidents"""
 
 
 @register("scenario_values", _SCENARIO_SQL)
