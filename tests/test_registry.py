@@ -14,7 +14,7 @@ from placetime.plans import queries as registered
 from .conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events labels".split()
-MODEL_QUERIES = {"kmeans_fit", "rf_train_score", "feature_importance", "scenario_scores", "scenario_top10",
+MODEL_QUERIES = {"rf_train_score", "feature_importance", "scenario_scores", "scenario_top10",
                  "train_status"}
 
 
