@@ -15,15 +15,17 @@ bounded size), and a query's best k of every block meet in a window over at
 most k rows per block.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite
-component take no part, nor do rows without an id; vectors of different
-lengths are never compared; rows that share the query's id are not its
-candidates; other repeated rows are ranked one by one; other columns are
-ignored.
+component take no part, nor do rows without an id, nor those with a component
+so large that an inner product may leave 64 bits (``limit``); vectors of
+different lengths are never compared; of several vectors with a query's id the
+least asks, and rows that share that id are not its candidates; other repeated
+rows are ranked one by one; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -138,18 +140,25 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     return out
 
 
+def limit(dim: int) -> int:
+    """Components of up to this size keep inner products over ``dim`` components within 64 bits."""
+    return math.isqrt(2**62 // max(1, dim))
+
+
 def as_integers(vectors: DataFrame) -> DataFrame:
     """id, v (array<long>) of the rows that take part."""
     rows = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("e"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     rows = rows.where(F.col("id").isNotNull() & (F.size("e") > 0) & F.forall("e", lambda x: F.coalesce(finite(x), F.lit(False))))
+    most = F.sqrt(F.lit(2.0**62) / F.size("e")) - 1
+    rows = rows.where(F.forall("e", lambda x: F.abs(x * SCALE) < most))
     return rows.select("id", F.transform("e", lambda x: F.floor(x * SCALE).cast("long")).alias("v"))
 
 
 def search(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score for queries whose id is divisible by ``query_every``."""
     rows = stored(vectors.sparkSession, as_integers(vectors).withColumn("dim", F.size("v")), "vectors")
-    asked = rows.where(F.col("id") % query_every == 0).dropDuplicates(["id", "v"])
+    asked = rows.where(F.col("id") % query_every == 0).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     blocks, chunks = max(1, -(-rows.count() // block_rows)), max(1, -(-asked.count() // CHUNK_QUERIES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     tiles = rows.select("id", "v", "dim", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"), every(chunks).alias("chunk"))

@@ -728,6 +728,13 @@ def test_topk_against_brute_force(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
+def test_topk_of_large_components_and_repeated_queries(spark):
+    rows = [(100, [2.0, 0.0]), (100, [1.0, 0.0]), (1, [3.0, 1.0]), (2, [-1.0, 5.0]), (3, [1e300, 0.0]), (4, [1e6, 0.0]), (5, [1e10, 0.0]), (1, [3.0, 1.0])]
+    got = rows_of(topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    k = 1024 * 1024
+    assert got == [(100, 1, 4, 1_000_000 * k), (100, 2, 1, 3 * k), (100, 3, 1, 3 * k), (100, 4, 2, -k)] and topk.limit(2) > 1024 * 1e6
+
+
 def test_mtree_skips_by_bounds():
     rng = np.random.default_rng(4)
     centers = rng.normal(size=(20, 8)) * 50
