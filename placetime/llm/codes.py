@@ -240,7 +240,7 @@ def with_label_error(coded: DataFrame) -> DataFrame:
 def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, list[np.ndarray]]:
     """vec_id, label, code, error, label_error of every kept row, and the codebooks (one array per part)."""
     spark = vectors.sparkSession
-    rows = as_integers(vectors)
+    rows = stored(spark, as_integers(vectors), "vectors")
     able = rows.where((F.size("v") > 0) & (F.size("v") % parts == 0))
     order = [F.col("vec_id").asc_nulls_last(), F.col("v").asc()]
     first = able.orderBy(*order).select("v").first()
