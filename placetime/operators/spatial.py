@@ -221,11 +221,11 @@ def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers
         for r, own in centers.items():
             score = f"-ln(1D - {keyed_uniform_sql(f'km{seed}-{step}-{r // 4}', 'key', r % 4)})"
             if not own:
-                draws.append(f"min_by(struct(lat, lon), named_struct('s', {score}, 'key', key)) AS r{r}")
+                draws.append(f"min(named_struct('s', {score}, 'key', key, 'lat', lat, 'lon', lon)) AS r{r}")
             else:
                 away = (f"array_min(zip_with({_numbers([a for a, _ in own])}, {_numbers([b for _, b in own])}, "
                         "(a, b) -> (lat - a) * (lat - a) + (lon - b) * (lon - b)))")
-                draws.append(f"min_by(struct(lat, lon), CASE WHEN {away} > 0 THEN named_struct('s', {score} / {away}, 'key', key) END) AS r{r}")
+                draws.append(f"min(CASE WHEN {away} > 0 THEN named_struct('s', {score} / {away}, 'key', key, 'lat', lat, 'lon', lon) END) AS r{r}")
         row = points.selectExpr(*draws).first()
         for r, own in centers.items():
             found = row[f"r{r}"]
