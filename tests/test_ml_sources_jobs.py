@@ -228,3 +228,14 @@ def test_start_hourly_counts_on_files(spark, scratch):
     q.stop()
     got = {r["hour"]: r["n"] for r in spark.sql("SELECT * FROM hourly_feed").collect()}
     assert sum(got.values()) == inc.count() and len(got) <= 24
+
+
+def test_training_rows_are_worked_out_once(spark, monkeypatch):
+    """The filter for complete rows reads the held rows: below them it would repeat each column's expression."""
+    seen = {}
+    monkeypatch.setattr(ml, "_gated", lambda data, *_: seen.update(plan=data._jdf.queryExecution().optimizedPlan().toString(), n=data.count()))
+    rows = fixtures.incidents(spark, SF_SMALL)
+    base = spatial.assign_centers(clean.prepare_base(rows, ROLES), "lat", "lon", [(28.5, 77.1), (28.8, 77.4)])
+    ml.train_classifier(base, "category", "key", "batch")
+    above, _held = seen["plan"].split("InMemoryRelation", 1)
+    assert "Filter" in above and "md5" not in above and seen["n"] == rows.count()
