@@ -9,15 +9,17 @@ one aggregate row used as literals.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import hour_intensity
-from ..functions.hashing import keyed_uniform_sql
 from ..roles import (
     ALL_LEGEND_LABEL,
     CLUSTER_MAX,
@@ -33,6 +35,9 @@ from ..roles import (
 from .joins import shuffle_partitions
 from .sort import rank_small, top_rows, with_position
 
+# Tasks get this module's functions with the job, so workers need not find the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 GRID_BINS = 30
 
 
@@ -195,20 +200,8 @@ def _numbers(values: Sequence[float]) -> str:
     return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
 
 
-def _with_nearest(points: DataFrame, centers: Centers) -> DataFrame:
-    """The points once per restart, with ``near``: squared distance and index of the nearest of its centers.
-
-    The centers stand in arrays, constants that generated code refers to, so
-    rounds do not compile anew.  (SQL text: a round is built by few calls.)
-    """
-    rows = ", ".join(f"named_struct('restart', {r}, 'la', {_numbers([a for a, _ in c])}, 'lo', {_numbers([b for _, b in c])})" for r, c in sorted(centers.items()))
-    k = len(next(iter(centers.values())))
-    far = ", ".join(f"named_struct('d', (lat - la[{i}]) * (lat - la[{i}]) + (lon - lo[{i}]) * (lon - lo[{i}]), 'id', {i})" for i in range(k))
-    return points.selectExpr("lat", "lon", f"inline(array({rows}))").selectExpr("lat", "lon", "restart", f"array_min(array({far})) AS near")
-
-
 def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers:
-    """k-means++ over all points, every restart in the same ``k`` aggregates.
+    """k-means++ over all points, every restart in the same ``k`` aggregates of batches.
 
     The point of least ``-ln(1 - u) / w`` is a draw in proportion to w; u is keyed
     by (seed, restart, step, key) and w the squared distance to the nearest center
@@ -216,29 +209,87 @@ def seed_centers(points: DataFrame, k: int, seed: int, restarts: int) -> Centers
     points lie on centers, the last center is repeated.
     """
     centers: Centers = {r: [] for r in range(restarts)}
+    types = f"restart int, s double, key {points.schema['key'].dataType.simpleString()}, lat double, lon double"
     for step in range(k):
-        draws = []
+        digests = [f"md5(concat_ws('|', 'km{seed}-{step}-{i}', CAST(key AS STRING))) AS h{i}" for i in range((restarts + 3) // 4)]
+        least = points.selectExpr("key", "lat", "lon", *digests).mapInArrow(_least_draws(dict(centers)), types)
+        rows = least.groupBy("restart").agg(F.min(F.struct("s", "key", "lat", "lon")).alias("m")).collect()  # a row per restart
+        found = {r["restart"]: (float(r["m"]["lat"]), float(r["m"]["lon"])) for r in rows}
         for r, own in centers.items():
-            score = f"-ln(1D - {keyed_uniform_sql(f'km{seed}-{step}-{r // 4}', 'key', r % 4)})"
-            if not own:
-                draws.append(f"min(named_struct('s', {score}, 'key', key, 'lat', lat, 'lon', lon)) AS r{r}")
-            else:
-                away = (f"array_min(zip_with({_numbers([a for a, _ in own])}, {_numbers([b for _, b in own])}, "
-                        "(a, b) -> (lat - a) * (lat - a) + (lon - b) * (lon - b)))")
-                draws.append(f"min(CASE WHEN {away} > 0 THEN named_struct('s', {score} / {away}, 'key', key, 'lat', lat, 'lon', lon) END) AS r{r}")
-        row = points.selectExpr(*draws).first()
-        for r, own in centers.items():
-            found = row[f"r{r}"]
-            own.append((float(found["lat"]), float(found["lon"])) if found else own[-1])
+            own.append(found[r] if r in found else own[-1])
     return centers
 
 
+def _words(digests: pa.Array) -> np.ndarray:
+    """The four leading-to-trailing 32-bit words of each hex digest."""
+    digit = np.frombuffer("".join(digests.to_pylist()).encode(), np.uint8).reshape(-1, 4, 8).astype(np.int64)
+    digit = np.where(digit >= 97, digit - 87, digit - 48)
+    return digit @ (16 ** np.arange(7, -1, -1))
+
+
+def _least_draws(centers: Centers):
+    """For ``mapInArrow``: of each batch and restart, the points with the least score (all, if several)."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lat, lon = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lat", "lon"))
+            words = [_words(batch.column(f"h{i}")) for i in range((len(centers) + 3) // 4)]
+            for r, own in centers.items():
+                score = -np.log(1.0 - words[r // 4][:, r % 4] / 4294967296.0)
+                if own:
+                    away = np.min([(lat - a) * (lat - a) + (lon - b) * (lon - b) for a, b in own], axis=0)
+                    on = np.flatnonzero(away > 0)
+                    score = score[on] / away[on]
+                else:
+                    on = np.arange(len(lat))
+                if len(on):
+                    at = pa.array(on[score == score.min()])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), r, np.int32)), pa.array(np.full(len(at), score.min())),
+                                                      *(batch.column(c).take(at) for c in ("key", "lat", "lon"))], names=["restart", "s", "key", "lat", "lon"])
+    return run
+
+
+def _nearest_sums(points: DataFrame, centers: Centers) -> DataFrame:
+    """(restart, id, n, lat, lon, cost): number, coordinate sums and squared distances of the points nearest to each center.
+
+    A batch of points is summed by restart and center in its task (ties: the lowest center); Spark adds the batches up.
+    """
+    own = {r: (np.array([a for a, _ in c]), np.array([b for _, b in c])) for r, c in sorted(centers.items())}
+    schema = pa.schema([("restart", pa.int32()), ("id", pa.int32()), ("n", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("cost", pa.float64())])
+
+    def run(batches):
+        for batch in batches:
+            lat, lon = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for r, (la, lo) in own.items():
+                near, best = np.zeros(len(lat), np.int64), (lat - la[0]) * (lat - la[0]) + (lon - lo[0]) * (lon - lo[0])
+                for i in range(1, len(la)):
+                    d = (lat - la[i]) * (lat - la[i]) + (lon - lo[i]) * (lon - lo[i])
+                    near[d < best] = i
+                    best = np.minimum(best, d)
+                n = np.bincount(near, minlength=len(la))
+                at = np.flatnonzero(n)
+                sums = [np.bincount(near, v, len(la))[at] for v in (lat, lon, best)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((np.full(len(at), r), at, n[at], *sums), schema.types, strict=True)], schema=schema)
+
+    types = "restart int, id int, n long, lat double, lon double, cost double"
+    parts = points.select("lat", "lon").mapInArrow(run, types)
+    return parts.groupBy("restart", "id").agg(*[F.sum(c).alias(c) for c in ("n", "lat", "lon", "cost")])
+
+
+def _costs(points: DataFrame, centers: Centers) -> dict[int, float]:
+    """Each restart's sum of squared distances."""
+    found = {r: 0.0 for r in centers}
+    for s in _nearest_sums(points, centers).collect():  # restarts x k rows at most
+        found[s["restart"]] += s["cost"]
+    return found
+
+
 def _move(points: DataFrame, centers: Centers) -> tuple[Centers, dict[int, float]]:
     """Centers at the means of their points (those without any stay) and each restart's squared move; one aggregate."""
-    means = _with_nearest(points, centers).groupBy("restart", "near.id").agg({"lat": "avg", "lon": "avg"}).collect()  # restarts x k rows at most
     moved = {r: list(own) for r, own in centers.items()}
-    for m in means:
-        moved[m["restart"]][m["id"]] = (m["avg(lat)"], m["avg(lon)"])
+    for s in _nearest_sums(points, centers).collect():  # restarts x k rows at most
+        moved[s["restart"]][s["id"]] = (s["lat"] / s["n"], s["lon"] / s["n"])
     return moved, {r: sum((a - x) ** 2 + (b - y) ** 2 for (a, b), (x, y) in zip(own, centers[r], strict=True)) for r, own in moved.items()}
 
 
@@ -269,18 +320,17 @@ def fit_kmeans(df: DataFrame, lat: str, lon: str, k: int, seed: int = 42, restar
     """
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
     label = F.col(key) if key else F.concat_ws(" ", F.col(lat).cast("string"), F.col(lon).cast("string"))
-    points = df.where(finite(lat) & finite(lon)).select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"), label.alias("key"))
-    # Read in every round: dealt evenly once.
-    held = points = points.repartition(shuffle_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
+    # Read in every round: held once, and the finite points taken from there, since below it the filter would work the coordinates out again.
+    held = df.select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"), label.alias("key"))
+    held = held.repartition(shuffle_partitions(df), "key").persist(StorageLevel.MEMORY_AND_DISK)
+    points = held.where(finite("lat") & finite("lon"))
     try:
         spread = points.agg(((F.var_pop("lat") + F.var_pop("lon")) / 2).alias("v")).first()["v"] or 0.0
         centers = seed_centers(points, int(k), int(seed), max(1, int(restarts)))
-        points = held.drop("key")
         settled, rounds = _settle(points, centers, KMEANS_TOLERANCE * spread, max_iter)
-        costs = _with_nearest(points, settled).groupBy("restart").agg(F.sum("near.d").alias("cost")).collect()  # a row per restart
-        best = min((c["cost"], c["restart"]) for c in costs)[1]
+        best = min((cost, r) for r, cost in _costs(points, settled).items())[1]
         last, more = _settle(points, {best: settled[best]}, KMEANS_FIXED, max_iter)
-        cost = _with_nearest(points, last).agg(F.sum("near.d").alias("cost")).first()["cost"]
+        cost = _costs(points, last)[best]
     finally:
         held.unpersist()
     return ClusterFit(int(k), sorted(last[best]), float(cost), rounds[best] + more[best], best)

@@ -164,3 +164,28 @@ def test_metrics_report(spark):
     assert rep["weighted avg"]["precision"] == pytest.approx(wp)
     assert [r["label"] for r in metrics.classification_report(df).orderBy("pos").collect()] == [
         "a", "b", "c", "accuracy", "macro avg", "weighted avg"]
+
+
+def test_kmeans_points_are_held_before_the_filter(spark, monkeypatch):
+    """Passes read held coordinates; the filter for finite ones does not work them out again."""
+    seen = {}
+    monkeypatch.setattr(spatial, "seed_centers", lambda points, *_: seen.update(plan=points._jdf.queryExecution().optimizedPlan().toString()) or {0: [(0.0, 0.0), (1.0, 1.0)]})
+    df = spark.range(50).selectExpr("id AS key", "conv(substring(md5(CAST(id AS STRING)), 1, 4), 16, 10) / 65536D AS lat", "id / 50D AS lon")
+    spatial.fit_kmeans(df, "lat", "lon", 2, restarts=1, key="key")
+    above, held = seen["plan"].split("InMemoryRelation", 1)
+    assert "Filter" in above and "md5" not in above
+    assert not any("md5" in line.split("Filter", 1)[1] for line in held.splitlines() if "Filter" in line)
+
+
+def test_kmeans_draws_match_the_keyed_uniform(spark):
+    """A seeding draw is the point of least -ln(1 - u) / w, with u as in SQL."""
+    from placetime.functions.hashing import keyed_uniform_sql
+
+    points = spark.range(500).selectExpr("id AS key", "(id % 23) / 7D AS lat", "(id % 31) / 9D AS lon").repartition(3).cache()
+    got = spatial.seed_centers(points, 3, 42, 6)
+    for r, own in got.items():
+        for step in range(3):
+            away = "1D" if not step else "least(" + ", ".join(f"pow(lat - {a!r}D, 2) + pow(lon - {b!r}D, 2)" for a, b in [*own[:step], own[0]]) + ")"
+            u = keyed_uniform_sql(f"km42-{step}-{r // 4}", "key", r % 4)
+            best = points.selectExpr("lat", "lon", "key", f"{away} AS w", f"-ln(1D - {u}) AS e").where("w > 0").orderBy(F.expr("e / w"), "key").first()
+            assert own[step] == (best["lat"], best["lon"])
