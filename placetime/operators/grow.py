@@ -135,24 +135,57 @@ def _level(active: DataFrame, splits: DataFrame, depth: int, g: Growth) -> DataF
     return active.join(splits, ["tree", "node"]).select("tree", child.alias("node"), "label", "bins", "w", F.when(goes_left, state("left")).otherwise(state("right")).alias("state"))
 
 
-def _split(label: np.ndarray, bins: np.ndarray, w: np.ndarray, features: np.ndarray, classes: int, g: Growth) -> tuple[int, int, float] | None:
-    """The best (feature, bin, gain) of one node's rows, as ``best_splits`` has it."""
-    all_w, best = w.sum(), None
-    for f in features.tolist():
-        b = bins[:, f]
-        size = int(b.max()) + 1
-        left = np.bincount(b * classes + label, w, size * classes).reshape(size, classes).cumsum(0)
-        left_n = np.bincount(b, minlength=size).cumsum()
-        on = np.flatnonzero((left_n >= g.min_leaf) & (len(b) - left_n >= g.min_leaf))
+def _drawn_features(nodes: np.ndarray, tree: int, chosen: int, width: int, seed: int) -> np.ndarray:
+    """The features each node tries, ascending: those of the least keyed hashes (splitmix64)."""
+    z = nodes.astype(np.uint64)[:, None] * np.uint64(width) + np.arange(width, dtype=np.uint64)
+    for salt in (seed % (1 << 63), tree):
+        z = (z ^ np.uint64(salt)) + np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+    return np.sort(np.argsort(z, axis=1, kind="stable")[:, :chosen], axis=1)
+
+
+def _level_splits(group: np.ndarray, label: np.ndarray, bins: np.ndarray, w: np.ndarray, features: np.ndarray, classes: int, g: Growth) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best (feature or -1, bin, gain) of each node of a level, as ``best_splits`` has it.
+
+    ``group`` numbers the rows' nodes; only cells (node, bin) with rows are counted,
+    and each node's cells are added up on their own, from the lowest bin.
+    """
+    many = len(features)
+    best_f, best_b, best_gain = np.full(many, -1), np.zeros(many, np.int64), np.full(many, 1e-12)
+    for j in range(features.shape[1]):
+        cell = group * BINS + bins[np.arange(len(group)), features[group, j]]
+        present = np.bincount(cell, minlength=many * BINS)
+        at = np.flatnonzero(present)
+        u = (np.cumsum(present > 0) - 1)[cell]
+        node, n = at // BINS, present[at]
+        left = np.bincount(u * classes + label, w, len(at) * classes).reshape(-1, classes)
+        first = np.searchsorted(node, np.arange(many))
+        last = np.append(first[1:], len(at)) - 1
+        rank = (np.arange(len(at)) - first[node]).astype(np.uint8)
+        order = np.argsort(rank, kind="stable")
+        ends = np.cumsum(np.bincount(rank))
+        for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+            left[order[lo:hi]] += left[order[lo:hi] - 1]
+        so_far = np.cumsum(n)
+        left_n = so_far - (so_far[first] - n[first])[node]
+        all_n = left_n[last][node]
+        on = np.flatnonzero((left_n >= g.min_leaf) & (all_n - left_n >= g.min_leaf))
         if not len(on):
             continue
-        right = left[-1] - left[on]
-        squares = (left[-1] ** 2).sum()
-        gain = ((left[on] ** 2).sum(1) / left[on].sum(1) + (right**2).sum(1) / right.sum(1) - squares / all_w) / all_w
-        top = int(gain.argmax())
-        if gain[top] > 1e-12 and (best is None or gain[top] > best[2]):
-            best = (f, int(on[top]), float(gain[top]))
-    return best
+        node, left, whole = node[on], left[on], left[last]
+        right = whole[node] - left
+        all_w, squares = whole.sum(1)[node], (whole**2).sum(1)[node]
+        gain = ((left**2).sum(1) / left.sum(1) + (right**2).sum(1) / right.sum(1) - squares / all_w) / all_w
+        top = np.full(many, -np.inf)
+        np.maximum.at(top, node, gain)
+        found = np.flatnonzero(gain == top[node])[::-1]
+        lowest = np.zeros(many, np.int64)
+        lowest[node[found]] = at[on][found] % BINS  # the lowest bin is assigned last
+        better = top > best_gain
+        best_f[better], best_b[better], best_gain[better] = features[better, j], lowest[better], top[better]
+    return best_f, best_b, best_gain
 
 
 def finish(small: DataFrame, chosen: int, width: int, classes: int, g: Growth) -> DataFrame:
@@ -164,18 +197,26 @@ def finish(small: DataFrame, chosen: int, width: int, classes: int, g: Growth) -
         tree = rows["tree"][0].as_py()
         label, w = rows["label"].to_numpy().astype(np.int64), rows["w"].to_numpy()
         bins = rows["bins"].combine_chunks().flatten().to_numpy().reshape(len(label), width).astype(np.int64)
-        found, todo = [], [(rows["node"][0].as_py(), np.arange(len(label)))]
-        while todo:
-            node, own = todo.pop()
-            weights = np.bincount(label[own], w[own], classes)
-            grows = (node + 1).bit_length() - 1 < g.depth and len(own) >= g.min_split and np.count_nonzero(weights) > 1
-            features = np.sort(np.random.default_rng([g.seed, tree, node]).permutation(width)[:chosen]) if grows else None
-            split = _split(label[own], bins[own], w[own], features, classes, g) if grows else None
-            found.append((tree, node, *(split or (None, None, None)), weights, len(own)))
-            if split:
-                left = bins[own, split[0]] <= split[1]
-                todo += [(2 * node + 1, own[left]), (2 * node + 2, own[~left])]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
+        nodes, group, parts = np.array([rows["node"][0].as_py()], np.int64), np.zeros(len(label), np.int64), []
+        while len(nodes):  # a level of the subtree at a time
+            weights = np.bincount(group * classes + label, w, len(nodes) * classes).reshape(-1, classes)
+            n = np.bincount(group, minlength=len(nodes))
+            grows = (int(nodes[0] + 1).bit_length() - 1 < g.depth) & (n >= g.min_split) & ((weights != 0).sum(1) > 1)
+            f, b, gain = np.full(len(nodes), -1), np.zeros(len(nodes), np.int64), np.zeros(len(nodes))
+            if grows.any():
+                on = grows[group]
+                features = _drawn_features(nodes[grows], tree, chosen, width, g.seed)
+                f[grows], b[grows], gain[grows] = _level_splits((np.cumsum(grows) - 1)[group[on]], label[on], bins[on], w[on], features, classes, g)
+            split = f >= 0
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, weights.size + 1, classes), pa.int32()), pa.array(weights.ravel()))
+            cut = [pa.array(v, t, mask=~split) for v, t in ((f, pa.int32()), (b, pa.int32()), (gain, pa.float64()))]
+            parts.append(pa.Table.from_arrays([pa.array(np.full(len(nodes), tree), pa.int32()), pa.array(nodes), *cut, lists, pa.array(n, pa.int64())], schema=schema))
+            on = split[group]
+            label, w, bins, group = label[on], w[on], bins[on], group[on]
+            right = bins[np.arange(len(group)), f[group]] > b[group]
+            group = 2 * (np.cumsum(split) - 1)[group] + right
+            nodes = np.stack([2 * nodes[split] + 1, 2 * nodes[split] + 2], axis=1).ravel()
+        return pa.concat_tables(parts)
 
     return small.select("tree", "node", "label", "bins", "w").groupBy("tree", "node").applyInArrow(run, _FOUND)
 

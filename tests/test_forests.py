@@ -94,3 +94,27 @@ def test_forest_of_little(spark, points):
     assert len(nodes) == 2 and all(r["feature"] == -1 and r["node"] == 0 for r in nodes)
     flat = points.limit(40).withColumn("x", F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0)))
     assert grow.grow_forest(flat, "key", "label", "x", 3, 3, grow.Growth(2, 3)).count() == 2
+
+
+def test_level_splits_of_many_nodes_match_each_alone():
+    """All nodes of a level are split at once: the best cut of each is the one found by trying its cuts."""
+    rng = np.random.default_rng(3)
+    n, g = 900, grow.Growth(1, 5, min_leaf=4)
+    group, label, bins = rng.integers(0, 12, n), rng.integers(0, 3, n), rng.integers(0, 7, (n, 5))
+    bins[group == 7] = 2  # a node without a cut
+    w = rng.integers(1, 4, n).astype(float)
+    features = grow._drawn_features(np.arange(12) + 40, 6, 3, 5, 42)
+    assert (features == grow._drawn_features(np.arange(12) + 40, 6, 3, 5, 42)).all() and (np.diff(features, axis=1) > 0).all()
+    f, b, gain = grow._level_splits(group, label, bins, w, features, 3, g)
+    gini = lambda on: 1 - sum((w[on & (label == k)].sum() / w[on].sum()) ** 2 for k in range(3))
+    for node in range(12):
+        own, best = group == node, (1e-12, -1, 0)
+        for c in features[node].tolist():
+            for cut in range(7):
+                left, right = own & (bins[:, c] <= cut), own & (bins[:, c] > cut)
+                if left.sum() >= 4 and right.sum() >= 4:
+                    value = gini(own) - sum(w[part].sum() / w[own].sum() * gini(part) for part in (left, right))
+                    best = (value, c, cut) if value > best[0] + 1e-11 else best
+        assert (f[node], b[node] if f[node] >= 0 else 0) == best[1:] and (f[node] < 0 or gain[node] == pytest.approx(best[0]))
+    drawn = grow._drawn_features(np.arange(4000), 1, 3, 12, 7)
+    assert np.allclose(np.bincount(drawn.ravel(), minlength=12) / 4000, 0.25, atol=0.05)
