@@ -3,23 +3,36 @@ expansion over the seven days, day-averaged class probabilities, and the
 baseline answer when no model exists.
 
 Points are a DataFrame, so a batch of millions of scenarios scores in
-parallel.  Scoring keeps a point's seven day variants in one row (seven
-feature columns, seven forest passes), so averaging and ranking need no
-shuffle; ``expand_days`` gives the same variants as rows when wanted.
+parallel.  Scoring keeps a point's seven day variants in one row, so averaging
+and ranking need no shuffle by key; ``expand_days`` gives the same variants as
+rows when wanted.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..functions.features import clip_hour, hour_cos, hour_sin, in_domain, time_band
 from ..roles import DAY_NAMES, TIME_BANDS
 from .aggregates import top_category
+from .joins import shuffle_partitions
 from .spatial import nearest_center_expr
+from .trees import flat_forest, forest_nodes, mean_probability
+
+# Tasks get this module's functions with the job, so workers need not find the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Ranked rows of an Arrow batch that leaves a task.
+RANKED_ROWS = 1 << 16
 
 
 def scenario_features(points: DataFrame, hour: str = "hour", lat: str = "lat", lon: str = "lon",
@@ -59,79 +72,65 @@ def expand_days(points: DataFrame, weights: dict[str, float] | None = None, day:
     return points.select("*", F.inline(arr))
 
 
-def _set_slot(slot: int):
-    return lambda v, j: F.when(j == F.lit(int(slot)), F.lit(1.0)).otherwise(v)
-
-
 def score_scenarios(model, classes: Sequence[str], points: DataFrame, key: str = "key",
-                    weights: dict[str, float] | None = None, day: str = "day") -> tuple[DataFrame, DataFrame]:
-    """Day-averaged class probabilities per point, without a shuffle.
+                    weights: dict[str, float] | None = None, day: str = "day", top: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Day-averaged class probabilities per point, without a shuffle by key.
 
     ``model`` is the fitted pipeline (label indexer, preprocessing stages,
-    forest).  Points are preprocessed once with an unknown day (an all-zero
-    day block); each day variant sets its day's one-hot slot in a copy of
-    that vector and is scored by a copy of the forest reading it.  A point's
-    seven probability vectors thus sit in one row and are averaged there:
-    the whole job is narrow, for any number of points.
+    forest).  Points are dealt evenly over the tasks and preprocessed once with
+    an unknown day (an all-zero day block); each day variant sets its day's
+    one-hot slot in that vector.  A task walks the forest's trees for a block of
+    points and their variants at once and averages the variants there
+    (``trees.mean_probability``); only a point's asked ranks leave the block.
 
     Returns (best, ranked): best = (key, prediction, confidence), the first
-    class in order on ties; ranked = (key, class, probability, rank).
+    class in order on ties; ranked = (key, class, probability, rank), with
+    ranks up to ``top`` (None: all).
     """
-    from pyspark.ml.functions import array_to_vector
-
     from .ml import feature_names
 
     stages = list(model.stages)
     prep, forest = stages[1:-1], stages[-1]
-    pairs = _day_weights(weights)
-    base_cols = [c for c in points.columns if c != day]
     # Preprocess once with an unknown day: its one-hot block is all zeros.
-    x = points.withColumn(day, F.lit(None).cast("string"))
+    x = points.repartition(shuffle_partitions(points)).withColumn(day, F.lit(None).cast("string"))
     for st in prep:
         x = st.transform(x)
     fcol = forest.getFeaturesCol()
     names = feature_names(x.schema[fcol].metadata)
-    x = x.select(*base_cols, vector_to_array(fcol).alias("_base"))
-    probs = []
-    for i, (d, w) in enumerate(pairs):
-        slot = names.index(f"cat__{day}_{d}") if f"cat__{day}_{d}" in names else None
-        if slot is None:  # a day unseen in training stays all-zero, as one-hot "ignore" does
-            arr = F.col("_base")
-        else:
-            arr = F.transform(F.col("_base"), _set_slot(slot))
-        x = x.withColumn(f"_f{i}", array_to_vector(arr))
-        scorer = forest.copy()
-        scorer.setFeaturesCol(f"_f{i}").setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}") \
-            .setPredictionCol(f"_y{i}")
-        x = scorer.transform(x).drop(f"_f{i}", f"_r{i}", f"_y{i}")
-        x = x.withColumn(f"_a{i}", vector_to_array(f"_p{i}")).drop(f"_p{i}")
-        probs.append((f"_a{i}", w))
-    cur = x
-
-    def scale(w: float):
-        return lambda v: v * F.lit(float(w))
-
-    total = F.lit(0.0)
-    avg = None
-    for col, w in probs:
-        term = F.transform(F.col(col), scale(w))
-        avg = term if avg is None else F.zip_with(avg, term, lambda a, b: a + b)
-        total = total + F.lit(float(w))
-    avg = F.transform(avg, lambda v: v / total)
-    scored = cur.select(*base_cols, avg.alias("_avg"))
-    cls = F.array(*[F.lit(c) for c in classes])
-    best_idx = F.array_position(F.col("_avg"), F.array_max(F.col("_avg")))
-    best = scored.select(key, F.element_at(cls, best_idx.cast("int")).alias("prediction"),
-                         F.array_max(F.col("_avg")).alias("confidence"))
-    # Rank inside the row: sort (-p, index) pairs, then number them.
-    pairs_arr = F.transform(F.col("_avg"), lambda p, i: F.struct((-p).alias("np"), i.alias("i")))
-    ordered = F.array_sort(pairs_arr)
-    ranked = scored.select(key, F.posexplode(ordered).alias("_r", "_s")).select(
-        key,
-        F.element_at(cls, F.col("_s.i") + 1).alias("class"),
-        (-F.col("_s.np")).alias("probability"),
-        (F.col("_r") + 1).cast("long").alias("rank"),
-    )
+    x = x.select(key, vector_to_array(fcol).alias("_base"))
+    # A day unseen in training stays all-zero, as one-hot "ignore" does.
+    slots = [names.index(f"cat__{day}_{d}") if f"cat__{day}_{d}" in names else None for d in DAY_NAMES]
+    shares = [w for _, w in _day_weights(weights)]
+    width = forest.numFeatures
+    flat = flat_forest(forest_nodes(points.sparkSession, forest), slots)
+
+    def means(batches):
+        for batch in batches:
+            if batch.num_rows:
+                base = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+                yield batch.column(0), mean_probability(flat, base, slots, shares)
+
+    def first(batches):
+        for keys, mean in means(batches):
+            yield pa.RecordBatch.from_arrays([keys, pa.array(mean.argmax(axis=1).astype(np.int32)), pa.array(mean.max(axis=1))], ["key", "i", "p"])
+
+    def ranks(batches):
+        for keys, mean in means(batches):
+            order = np.argsort(-mean, axis=1, kind="stable")[:, :top]
+            n, many = order.shape
+            p = np.take_along_axis(mean, order, axis=1)
+            for a in range(0, n, step := max(1, RANKED_ROWS // many)):
+                held = len(order[a : a + step])
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(np.repeat(np.arange(a, a + held), many))), pa.array(order[a : a + step].ravel().astype(np.int32)),
+                     pa.array(p[a : a + step].ravel()), pa.array(np.tile(np.arange(1, many + 1), held))], ["key", "i", "p", "rank"])
+
+    cls = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("i") + 1)
+    of_point = [StructField("key", x.schema[key].dataType), StructField("i", IntegerType()), StructField("p", DoubleType())]
+    best = x.mapInArrow(first, StructType(of_point)).select(
+        F.col("key").alias(key), cls.alias("prediction"), F.col("p").alias("confidence"))
+    ranked = x.mapInArrow(ranks, StructType([*of_point, StructField("rank", LongType())])).select(
+        F.col("key").alias(key), cls.alias("class"), F.col("p").alias("probability"), "rank")
     return best, ranked
 
 

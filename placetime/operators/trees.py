@@ -1,5 +1,5 @@
-"""Fitted forests as tables of nodes: probabilities as a column expression,
-importances from gains, and native models made from such a table.
+"""Fitted forests as tables of nodes: probabilities as a column expression or
+for a block of rows, importances from gains, and native models made from such a table.
 
 A node table has one row per node: tree, node (0 is the root, children follow
 their parent), feature and threshold (feature -1: a leaf), ``categories`` (values
@@ -9,14 +9,25 @@ weight of each class in the node).
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+# Tasks get this module's functions with the job, so workers need not find the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Rows whose votes are added at once: they stay in a core's cache.
+VOTE_ROWS = 512
+
 _SAVED = ("treeID int, nodeData struct<id:int, prediction:double, impurity:double, impurityStats:array<double>, rawCount:bigint, gain:double, "
           "leftChild:int, rightChild:int, split:struct<featureIndex:int, leftCategoriesOrThreshold:array<double>, numCategories:int>>")
 
@@ -76,6 +87,100 @@ def forest_probability(nodes: DataFrame, features: str, depth: int) -> Column:
     return F.transform(F.array(added), lambda sums: F.transform(sums, lambda x: x / F.aggregate(sums, F.lit(0.0), lambda a, y: a + y)))[0]
 
 
+@dataclass(frozen=True)
+class FlatForest:
+    """A forest's nodes as arrays, tree after tree; a leaf is its own child."""
+
+    roots: np.ndarray  # place of each tree's root
+    depths: np.ndarray  # steps to each tree's deepest leaf
+    feature: np.ndarray
+    above: np.ndarray | None  # left: above < value <= upto (None: no lower bounds)
+    upto: np.ndarray
+    child: np.ndarray  # left and right of each place
+    leaf: np.ndarray  # row of a leaf in ``shares``
+    shares: np.ndarray  # class shares of each leaf
+    met: dict[int, np.ndarray]  # for some features, whether the path to a leaf splits them
+
+
+def flat_forest(nodes: DataFrame, slots: Sequence[int | None] = ()) -> FlatForest:
+    """The nodes as arrays, ``met`` for ``slots``; they pass through the driver, as those of every native forest do.
+
+    Values that go left at a categorical slot must be a run of integers, as those of a one-hot slot are.
+    """
+    low, high = F.array_min("categories"), F.array_max("categories")
+    held = nodes.select("tree", "node", "feature", "left", "right", "weights",
+                        F.coalesce(low - F.lit(0.5), F.lit(float("-inf"))).alias("above"), F.coalesce(high + F.lit(0.5), "threshold").alias("upto"),
+                        F.coalesce(high - low + 1 == F.size(F.array_distinct("categories")), F.lit(True)).alias("run")).toArrow()
+    col = {c: held[c].to_numpy() for c in ("tree", "node", "feature", "left", "right", "above", "upto", "run")}
+    if not col["run"].all():
+        raise ValueError("values that go left at a categorical slot are not a run")
+    order = np.lexsort((col["node"], col["tree"]))
+    tree, feature, left, right, above, upto = (col[c][order] for c in ("tree", "feature", "left", "right", "above", "upto"))
+    place = np.arange(len(order))
+    roots = np.flatnonzero(np.diff(tree, prepend=-1))
+    tree = np.cumsum(np.diff(tree, prepend=-1) != 0) - 1
+    inner = feature >= 0
+    child = np.stack([np.where(inner, roots[tree] + side, place) for side in (left, right)], axis=1)
+    depths, at = np.zeros(len(roots), np.int64), roots
+    met = {slot: np.zeros(len(order), bool) for slot in slots if slot is not None}
+    while len(at := at[inner[at]]):
+        depths[np.unique(tree[at])] += 1
+        for slot, on_path in met.items():
+            on_path[child[at]] = (on_path[at] | (feature[at] == slot))[:, None]
+        at = child[at].ravel()
+    weights = held["weights"].combine_chunks().flatten().to_numpy().reshape(len(order), -1)[order[~inner]]
+    total = np.cumsum(weights, axis=1)[:, -1:]
+    shares = np.divide(weights, total, out=np.zeros_like(weights), where=total != 0)
+    return FlatForest(roots, depths, np.where(inner, feature, 0), above if np.isfinite(above).any() else None, np.where(inner, upto, np.inf),
+                      child.ravel(), np.cumsum(~inner) - 1, shares, {slot: on_path[~inner] for slot, on_path in met.items()})
+
+
+def leaf_rows(forest: FlatForest, x: np.ndarray, tree: int) -> np.ndarray:
+    """Row in ``shares`` of the leaf that each row of features reaches in one tree."""
+    values, first = x.ravel(), np.arange(len(x)) * x.shape[1]
+    at = np.full(len(x), forest.roots[tree])
+    for _ in range(forest.depths[tree]):
+        v = values.take(first + forest.feature.take(at))
+        left = v <= forest.upto.take(at)
+        if forest.above is not None:
+            left &= v > forest.above.take(at)
+        at = forest.child.take(2 * at + ~left)
+    return forest.leaf.take(at)
+
+
+def mean_probability(forest: FlatForest, x: np.ndarray, slots: Sequence[int | None], weights: Sequence[float]) -> np.ndarray:
+    """Class probabilities of each row, averaged over variants of it that have 1 in one slot (None: the row itself).
+
+    A tree is walked again only for the rows whose own path splits the slot.  Votes, shares and variants are added in the
+    native forest's order, so results equal its own to the last bit.
+    """
+    trees = range(len(forest.roots))
+    found = {(t, None): leaf_rows(forest, x, t) for t in trees}
+    for slot in {*slots} - {None}:
+        for t in trees:
+            other = np.flatnonzero(forest.met[slot].take(found[t, None]))
+            if len(other):
+                seen = x[other]
+                seen[:, slot] = 1.0
+                found[t, slot] = found[t, None].copy()
+                found[t, slot][other] = leaf_rows(forest, seen, t)
+    mean = np.zeros((len(x), forest.shares.shape[1]))
+    for lo in range(0, len(x), VOTE_ROWS):
+        sums = mean[lo : lo + VOTE_ROWS]
+        held = np.empty_like(sums)
+        for slot, weight in zip(slots, weights, strict=True):
+            votes = np.zeros_like(sums)
+            for t in trees:
+                leaf = found.get((t, slot), found[t, None])[lo : lo + VOTE_ROWS]
+                votes += np.take(forest.shares, leaf, axis=0, out=held, mode="clip")
+            total = np.cumsum(votes, axis=1)[:, -1:]
+            np.divide(votes, total, out=votes, where=total != 0)
+            votes *= weight
+            sums += votes
+    mean /= np.cumsum(weights)[-1]
+    return mean
+
+
 def gain_importance(nodes: DataFrame) -> DataFrame:
     """(feature, importance): each tree's gains times node weight, shared out to 1 per tree, then over the forest."""
     weight = F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)

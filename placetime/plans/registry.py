@@ -950,7 +950,7 @@ def q_scenario_top10(spark, d):
     base = spatial.assign_centers(clean.prepare_base(_wide(spark, d), ROLES), "lat", "lon", CENTERS)
     res = ml.train_classifier(base, "category", "key", "batch")
     pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
-    _best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
+    _best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key", top=10)
     return predict.top_probabilities(ranked, 10)
 
 

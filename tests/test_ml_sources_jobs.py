@@ -54,6 +54,31 @@ def test_forest_invariants(spark, trained):
     assert joined and all(r["prediction"] == r["c"] for r in joined)
 
 
+def test_scenarios_are_scored_in_blocks_as_the_native_forest_scores_rows(spark, trained):
+    """One task's points are dealt over the tasks, only asked ranks leave a block, and sums are the native forest's own."""
+    from pyspark.ml.functions import vector_to_array
+
+    data, res = trained
+    pts = predict.scenario_features(data.select("key", "hour", "lat", "lon").limit(60).coalesce(1), centers=[(28.5, 77.1), (28.8, 77.4)])
+    for weights in (None, {"Monday": 3.0, "Friday": 1.0}):
+        rows = predict.expand_days(pts, weights)
+        for stage in res.model.stages[1:]:
+            rows = stage.transform(rows)
+        native = {(r["key"], r["day"]): (r["day_weight"], r["p"]) for r in rows.select("key", "day", "day_weight", vector_to_array("probability").alias("p")).collect()}
+        expected = {}
+        for key in {k for k, _ in native}:
+            mean, total = [0.0] * len(res.classes), 0.0
+            for day in predict.DAY_NAMES:
+                w, p = native[key, day]
+                mean, total = [a + b * w for a, b in zip(mean, p, strict=True)], total + w
+            order = sorted((-m / total, i) for i, m in enumerate(mean))[:2]
+            expected |= {(key, rank): (res.classes[i], -m) for rank, (m, i) in enumerate(order, 1)}
+        best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key", weights, top=2)
+        assert {(r["key"], r["rank"]): (r["class"], r["probability"]) for r in ranked.collect()} == expected
+        assert {r["key"]: (r["prediction"], r["confidence"]) for r in best.collect()} == {k: v for (k, rank), v in expected.items() if rank == 1}
+        assert ranked.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_expand_days_weights(spark):
     pts = spark.createDataFrame([(1,)], "key long")
     rows = predict.expand_days(pts).collect()
