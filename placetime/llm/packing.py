@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import stored, table, text_slices
 
 CAPACITY = 2048
+ALNUM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 PIECES = "doc_id long, piece int, start long, length long, ids binary, part long, nth long"
 RUNS = "run_length long, first_rank long, end_rank long, first_sequence long, offset long"
 
@@ -49,7 +51,8 @@ class Ids:
     ids are those of its chunks in order, and equal chunks are encoded once.
     New chunks are encoded many at a time, joined by blanks; each id goes to
     the chunk that holds its first character.  A chunk that only adds final
-    stops and commas to a word takes the word's ids.  Chunks met lately are in
+    stops and commas to a word takes the word's ids.  Chunks of letters alone
+    are told apart by the ids that end a word.  Chunks met lately are in
     two tables of bounded size: one in use moves to the younger, and when that is
     full it becomes the older, whose rest goes; this changes no result.
     """
@@ -65,6 +68,10 @@ class Ids:
         self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
+        # Whether an id ends a word.
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def ids(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of each chunk."""
@@ -72,28 +79,50 @@ class Ids:
             self.younger, self.older = {}, self.younger
         known = self.younger
         known[b""] = b""
-        new = []
-        for c in chunks:
-            if c not in known:
-                if c in self.older:
-                    known[c] = self.older[c]
-                else:
-                    new.append(c)
-        cut = [len(s) if s and s[-1:].isalnum() else len(c) for c in new if (s := c.rstrip(b".,")) is not None]
-        wanted = {c[:n] for c, n in zip(new, cut, strict=True)} | {c[n:] for c, n in zip(new, cut, strict=True)}
-        unknown = []
-        for w in wanted:
-            if w not in known:
-                if w in self.older:
-                    known[w] = self.older[w]
-                else:
-                    unknown.append(w)
-        self._encode(unknown)
-        for c, n in zip(new, cut, strict=True):
-            if n < len(c):
-                known[c] = known[c[:n]] + known[c[n:]]
+        cut, wanted = [], {}
+        for c in self._new(chunks):
+            s = c.rstrip(b".,")
+            if len(s) < len(c) and s and s[-1] in ALNUM:
+                cut.append((c, s, c[len(s) :]))
+            else:
+                wanted[c] = None
+        for _, s, stops in cut:
+            wanted[s] = wanted[stops] = None
+        words, others = [], []
+        for w in self._new(wanted):
+            (words if w.isalpha() else others).append(w)
+        self._encode(others + self._encode_words(words))
+        for c, s, stops in cut:
+            known[c] = known[s] + known[stops]
         return [known[c] for c in chunks]
 
+    def _new(self, chunks: Iterable[bytes]) -> list[bytes]:
+        """The chunks that neither table holds; those of the older one move."""
+        known, older = self.younger, self.older
+        new = [c for c in chunks if c not in known]
+        if not older:
+            return new
+        known.update((c, older[c]) for c in new if c in older)
+        return [c for c in new if c not in older]
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """As ``_encode``, for chunks of ASCII letters alone: where each is one word of the tokenizer, ids that end
+        a word tell them apart and no offsets are needed.  Returns the words that could not be told apart."""
+        if not self.ends_word.any():
+            return words
+        left, step = [], 64 * self.JOINED
+        for some in (words[k : k + step] for k in range(0, len(words), step)):
+            texts = [b" ".join(some[k : k + self.JOINED]).decode() for k in range(0, len(some), self.JOINED)]
+            ids = np.array([i for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in f.ids], "<u4")
+            raw, at = ids.tobytes(), 0
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            if len(ends) != len(some):
+                left += some
+                continue
+            for word, end in zip(some, ends.tolist(), strict=True):
+                self.younger[word], at = raw[at:end], end
+        return left
+
     def _encode(self, chunks: list[bytes]) -> None:
         groups = [chunks[k : k + self.JOINED] for k in range(0, len(chunks), self.JOINED)]
         for k in range(0, len(groups), 64):
@@ -115,13 +144,19 @@ class Ids:
         folded = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         split = pc.ascii_split_whitespace(folded)
         coded = pc.list_flatten(split).dictionary_encode()
-        chunks, at = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices
-        taken = pa.array(self.ids(chunks), pa.large_binary()).take(at)
+        taken = pa.array(self.ids(_values(coded.dictionary)), pa.large_binary()).take(coded.indices)
         ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // 4
         ids = np.frombuffer(taken.buffers()[2] or b"", "<u4")[: ends[-1]]
         return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy())]
 
 
+def _values(strings: pa.Array) -> list[bytes]:
+    """The bytes of each of some large strings."""
+    ends = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1].tolist()
+    raw = strings.buffers()[2].to_pybytes() if strings.buffers()[2] else b""
+    return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 _LOADED: dict[str, Ids] = {}
 
 

@@ -354,6 +354,33 @@ def test_packing_edges(documents):
     assert packing.digest(documents(docs).limit(0)).count() == 0
 
 
+def test_words_are_told_apart_without_offsets():
+    """Chunks of letters alone take no offsets; every chunk gets the ids that the tokenizer gives it alone."""
+    held = packing.Ids(packing.default_tokenizer())
+    whole, offsets = held.tokenizer, []
+
+    class Spied:
+        def encode_batch(self, texts, **kw):
+            offsets.extend(" ".join(texts).split(" "))
+            return whole.encode_batch(texts, **kw)
+
+        def encode_batch_fast(self, texts, **kw):
+            return whole.encode_batch_fast(texts, **kw)
+
+    held.tokenizer = Spied()
+    chunks = [b"of", b"HaAnth.", b"zqxjkv", b"it's", b"12.5", b"a.b.,", b"...", "na\u00efve".encode(), b"don", *(b"w" + b"abcde"[k % 5 : k % 5 + 1] * (k // 5 + 1) for k in range(600))]
+    alone = [np.array(whole.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes() for c in chunks]
+    assert held.ids(chunks) == alone and held.ids(chunks[::-1]) == alone[::-1]
+    assert sorted(offsets) == sorted(["it's", "12.5", "a.b", "...", "na\u00efve", ".", ".,"])
+    # Where no id ends a word, offsets tell the words apart.
+    plain = packing.Ids(packing.default_tokenizer())
+    plain.ends_word[:] = False
+    assert plain.ids(chunks) == alone
+    plain = packing.Ids(packing.default_tokenizer())
+    plain.ends_word[:] = True
+    assert plain.ids(chunks) == alone
+
+
 def test_pack_histogram_against_best_fit():
     rng = random.Random(3)
     for _ in range(60):
