@@ -14,6 +14,10 @@ leaves the table: its subtree is grown in one task, from that bounded number of
 rows, by the same rule.  So the depth of the trees costs no passes over all
 rows, and no larger node is ever gathered.  Features are cut into bins at
 quantiles of a bounded keyed sample.
+
+Rows of equal bins and label are one cell: no tree tells them apart.  Where the
+cells of all rows fit one task, levels need no tables: tasks get each tree's copies
+and rows of every cell, as bytes, and grow whole trees.
 """
 
 from __future__ import annotations
@@ -27,20 +31,25 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import keyed_uniform_sql
+from ..functions.hashing import KeyedDigests, keyed_uniform_sql
 from ..session import delete_path, scratch_path
-from .joins import settle_bounded
+from .joins import settle_bounded, shuffle_partitions
+from .trees import PACKED, node_table, pack_tree, packed_tables
 
 # Tasks get this module's functions with the job, so workers need not find the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bins per feature, rows of the sample their cuts are taken from, and trees that grow together.
 BINS, SAMPLE_ROWS, GROUP_TREES = 32, 20_000, 100
-#: Rows of a node whose subtree is grown in one task.
-FINISH_ROWS = 1 << 17
+#: Rows of a node whose subtree is grown in one task; whole trees are grown there from up to twice as many cells.
+FINISH_ROWS = 1 << 20
+#: Trees of a task that grows whole trees, and counts of (class, cell) that it holds at once.
+TASK_TREES, HELD_COUNTS = 12, 1 << 20
+#: Rows up to which equal ones are not looked for.
+FEW_ROWS = 1 << 14
 _LEAF, _SMALL, _LARGE = 0, 1, 2
 _FOUND = "tree int, node long, f int, b int, gain double, weights array<double>, rows long"
 #: Running sums of Poisson(1): a draw at or above the n-th has more than n copies.
@@ -132,7 +141,7 @@ def _level(active: DataFrame, splits: DataFrame, depth: int, g: Growth) -> DataF
 
     goes_left = F.get("bins", F.col("f")) <= F.col("b")
     child = 2 * F.col("node") + F.when(goes_left, 1).otherwise(2)
-    return active.join(splits, ["tree", "node"]).select("tree", child.alias("node"), "label", "bins", "w", F.when(goes_left, state("left")).otherwise(state("right")).alias("state"))
+    return active.join(splits, ["tree", "node"]).select("tree", child.alias("node"), "label", "bins", "w", "copies", F.when(goes_left, state("left")).otherwise(state("right")).alias("state"))
 
 
 def _drawn_features(nodes: np.ndarray, tree: int, chosen: int, width: int, seed: int) -> np.ndarray:
@@ -143,82 +152,221 @@ def _drawn_features(nodes: np.ndarray, tree: int, chosen: int, width: int, seed:
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         z ^= z >> np.uint64(31)
-    return np.sort(np.argsort(z, axis=1, kind="stable")[:, :chosen], axis=1)
+    # The number of the feature takes the lowest bits of its hash.
+    low = np.uint64((1 << (width - 1).bit_length()) - 1)
+    z = (z & ~low) | np.arange(width, dtype=np.uint64)
+    return np.sort((np.partition(z, chosen - 1, axis=1)[:, :chosen] & low).astype(np.int64), axis=1)
 
 
-def _level_splits(group: np.ndarray, label: np.ndarray, bins: np.ndarray, w: np.ndarray, features: np.ndarray, classes: int, g: Growth) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _level_splits(group: np.ndarray, label: np.ndarray, bins: np.ndarray, w: np.ndarray, features: np.ndarray, classes: int, g: Growth,
+                  scale: np.ndarray | None = None, sizes: np.ndarray | None = None, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The best (feature or -1, bin, gain) of each node of a level, as ``best_splits`` has it.
 
-    ``group`` numbers the rows' nodes; only cells (node, bin) with rows are counted,
-    and each node's cells are added up on their own, from the lowest bin.
+    ``group`` numbers the nodes of the cells, ``w`` holds a cell's copies and ``rows`` its rows (None: one), ``scale``
+    what a copy of a class weighs (None: 1), ``sizes`` the bins of each feature.  Copies are whole numbers, so running
+    sums over all nodes are exact, and a node's are those less what came before it.
     """
-    many = len(features)
+    many, width = len(features), bins.shape[1]
+    scale = np.ones(classes) if scale is None else scale
+    sizes = np.full(width, BINS) if sizes is None else sizes
     best_f, best_b, best_gain = np.full(many, -1), np.zeros(many, np.int64), np.full(many, 1e-12)
+    values, first = bins.ravel(), np.arange(len(group)) * width
     for j in range(features.shape[1]):
-        cell = group * BINS + bins[np.arange(len(group)), features[group, j]]
-        present = np.bincount(cell, minlength=many * BINS)
-        at = np.flatnonzero(present)
-        u = (np.cumsum(present > 0) - 1)[cell]
-        node, n = at // BINS, present[at]
-        left = np.bincount(u * classes + label, w, len(at) * classes).reshape(-1, classes)
-        first = np.searchsorted(node, np.arange(many))
-        last = np.append(first[1:], len(at)) - 1
-        rank = (np.arange(len(at)) - first[node]).astype(np.uint8)
-        order = np.argsort(rank, kind="stable")
-        ends = np.cumsum(np.bincount(rank))
-        for lo, hi in zip(ends[:-1], ends[1:], strict=True):
-            left[order[lo:hi]] += left[order[lo:hi] - 1]
-        so_far = np.cumsum(n)
-        left_n = so_far - (so_far[first] - n[first])[node]
-        all_n = left_n[last][node]
-        on = np.flatnonzero((left_n >= g.min_leaf) & (all_n - left_n >= g.min_leaf))
-        if not len(on):
+        f = features[:, j]
+        size = sizes[f]
+        end = np.cumsum(size)
+        start, total = end - size, int(end[-1])
+        cell = values.take(first + f.take(group, mode="clip"), mode="clip") + start.take(group, mode="clip")
+        left = np.bincount(cell + label * total, w, classes * total).reshape(classes, total)
+        left_n = np.bincount(cell, rows, total)
+        for held in (left, left_n[None]):
+            head = held[:, start]
+            np.cumsum(held, axis=1, out=held)
+            held -= np.repeat(held[:, start] - head, size, axis=1)
+        all_n = left_n[end - 1]
+        on = (left_n >= g.min_leaf) & (np.repeat(all_n, size) - left_n >= g.min_leaf)
+        if not on.any():
             continue
-        node, left, whole = node[on], left[on], left[last]
-        right = whole[node] - left
-        all_w, squares = whole.sum(1)[node], (whole**2).sum(1)[node]
-        gain = ((left**2).sum(1) / left.sum(1) + (right**2).sum(1) / right.sum(1) - squares / all_w) / all_w
-        top = np.full(many, -np.inf)
-        np.maximum.at(top, node, gain)
-        found = np.flatnonzero(gain == top[node])[::-1]
+        whole = left[:, end - 1]
+        right = np.repeat(whole, size, axis=1)
+        right -= left
+        for side in (left, right, whole):
+            side *= scale[:, None]
+        squares = [np.einsum("ij,ij->j", side, side) for side in (left, right, whole)]
+        all_w = whole.sum(0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = squares[0] / left.sum(0) + squares[1] / right.sum(0)
+            gain -= np.repeat(squares[2] / all_w, size)
+            gain /= np.repeat(all_w, size)
+        gain[~on] = -np.inf
+        top = np.maximum.reduceat(gain, start)
+        found = np.flatnonzero(gain == np.repeat(top, size))[::-1]
+        node = np.repeat(np.arange(many), size)[found]
         lowest = np.zeros(many, np.int64)
-        lowest[node[found]] = at[on][found] % BINS  # the lowest bin is assigned last
+        lowest[node] = found - start[node]  # the lowest bin is assigned last
         better = top > best_gain
-        best_f[better], best_b[better], best_gain[better] = features[better, j], lowest[better], top[better]
+        best_f[better], best_b[better], best_gain[better] = f[better], lowest[better], top[better]
     return best_f, best_b, best_gain
 
 
-def finish(small: DataFrame, chosen: int, width: int, classes: int, g: Growth) -> DataFrame:
+def grow_tree(tree: int, root: int, label: np.ndarray, bins: np.ndarray, copies: np.ndarray, rows: np.ndarray | None, scale: np.ndarray, sizes: np.ndarray,
+              chosen: int, g: Growth) -> list[tuple[np.ndarray, ...]]:
+    """The levels below ``root``, each as (node, feature or -1, bin, gain, copies of each class, rows) of its nodes in order.
+
+    The cells lie in the order of their nodes, and go to the children's places after each level.
+    """
+    classes, width = len(scale), bins.shape[1]
+    copies = copies.astype(np.float64)
+    at_once = max(1, HELD_COUNTS // (classes * BINS))
+    nodes, group, levels = np.array([root], np.int64), np.zeros(len(label), np.int64), []
+    while len(nodes):
+        held = np.bincount(group * classes + label, copies, len(nodes) * classes).reshape(-1, classes)
+        n = np.bincount(group, rows, len(nodes)).astype(np.int64)
+        grows = (int(nodes[0] + 1).bit_length() - 1 < g.depth) & (n >= g.min_split) & ((held != 0).sum(1) > 1)
+        f, b, gain = np.full(len(nodes), -1), np.zeros(len(nodes), np.int64), np.full(len(nodes), -1.0)
+        ends = np.cumsum(np.bincount(group, minlength=len(nodes)))
+        for lo in range(0, len(nodes), at_once):
+            some = grows[lo : lo + at_once]
+            if not some.any():
+                continue
+            part = slice(ends[lo - 1] if lo else 0, ends[min(lo + at_once, len(nodes)) - 1])
+            own = group[part] - lo
+            cells = (own, label[part], bins[part], copies[part], None if rows is None else rows[part])
+            if not some.all():
+                kept = np.flatnonzero(some.take(own))
+                cells = tuple(None if v is None else v.take(kept, axis=0, mode="clip") for v in cells)
+                cells = ((np.cumsum(some) - 1).take(cells[0]), *cells[1:])
+            which = lo + np.flatnonzero(some)
+            features = _drawn_features(nodes[which], tree, chosen, width, g.seed)
+            found = _level_splits(cells[0], cells[1], cells[2], cells[3], features, classes, g, scale, sizes, cells[4])
+            f[which], b[which] = found[:2]
+            gain[which] = np.where(found[0] >= 0, found[2], -1.0)
+        levels.append((nodes, f, b, gain, held, n))
+        split = f >= 0
+        nodes = np.stack([2 * nodes[split] + 1, 2 * nodes[split] + 2], axis=1).ravel()
+        if not len(nodes):
+            break
+        # Cells of split nodes go left or right within their node's place.
+        kept = np.flatnonzero(split.take(group))
+        own = group.take(kept)
+        goes_right = bins.ravel().take(kept * width + f.take(own, mode="clip"), mode="clip") > b.take(own, mode="clip")
+        own = (np.cumsum(split) - 1).take(own, mode="clip")
+        sides = np.bincount(2 * own + goes_right, minlength=len(nodes)).reshape(-1, 2)
+        rights = np.cumsum(goes_right) - goes_right
+        lefts_to, rights_before = np.cumsum(sides[:, 0]), np.cumsum(sides[:, 1]) - sides[:, 1]
+        order = np.empty(len(kept), np.int64)
+        order[np.where(goes_right, lefts_to.take(own, mode="clip") + rights, np.arange(len(kept)) - rights + rights_before.take(own, mode="clip"))] = kept
+        label, copies, bins = label.take(order, mode="clip"), copies.take(order, mode="clip"), bins.take(order, axis=0, mode="clip")
+        rows = None if rows is None else rows.take(order, mode="clip")
+        group = np.repeat(np.arange(len(nodes)), sides.ravel())
+    return levels
+
+
+def finish(small: DataFrame, chosen: int, width: int, classes: int, g: Growth, sizes: np.ndarray) -> DataFrame:
     """The nodes of the subtrees under small nodes; a group has ``FINISH_ROWS`` rows at most."""
     schema = pa.schema([("tree", pa.int32()), ("node", pa.int64()), ("f", pa.int32()), ("b", pa.int32()), ("gain", pa.float64()),
                         ("weights", pa.list_(pa.float64())), ("rows", pa.int64())])
 
     def run(rows: pa.Table) -> pa.Table:
         tree = rows["tree"][0].as_py()
-        label, w = rows["label"].to_numpy().astype(np.int64), rows["w"].to_numpy()
-        bins = rows["bins"].combine_chunks().flatten().to_numpy().reshape(len(label), width).astype(np.int64)
-        nodes, group, parts = np.array([rows["node"][0].as_py()], np.int64), np.zeros(len(label), np.int64), []
-        while len(nodes):  # a level of the subtree at a time
-            weights = np.bincount(group * classes + label, w, len(nodes) * classes).reshape(-1, classes)
-            n = np.bincount(group, minlength=len(nodes))
-            grows = (int(nodes[0] + 1).bit_length() - 1 < g.depth) & (n >= g.min_split) & ((weights != 0).sum(1) > 1)
-            f, b, gain = np.full(len(nodes), -1), np.zeros(len(nodes), np.int64), np.zeros(len(nodes))
-            if grows.any():
-                on = grows[group]
-                features = _drawn_features(nodes[grows], tree, chosen, width, g.seed)
-                f[grows], b[grows], gain[grows] = _level_splits((np.cumsum(grows) - 1)[group[on]], label[on], bins[on], w[on], features, classes, g)
-            split = f >= 0
+        label, copies = rows["label"].to_numpy().astype(np.int64), rows["copies"].to_numpy()
+        bins = rows["bins"].combine_chunks().flatten().to_numpy().reshape(len(label), width).astype(np.uint8)
+        scale = np.ones(classes)
+        scale[label] = rows["w"].to_numpy() / copies
+        parts = []
+        for nodes, f, b, gain, held, n in grow_tree(tree, rows["node"][0].as_py(), label, bins, copies, None, scale, sizes, chosen, g):
+            weights = held * scale
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, weights.size + 1, classes), pa.int32()), pa.array(weights.ravel()))
-            cut = [pa.array(v, t, mask=~split) for v, t in ((f, pa.int32()), (b, pa.int32()), (gain, pa.float64()))]
+            cut = [pa.array(v, t, mask=f < 0) for v, t in ((f, pa.int32()), (b, pa.int32()), (gain, pa.float64()))]
             parts.append(pa.Table.from_arrays([pa.array(np.full(len(nodes), tree), pa.int32()), pa.array(nodes), *cut, lists, pa.array(n, pa.int64())], schema=schema))
-            on = split[group]
-            label, w, bins, group = label[on], w[on], bins[on], group[on]
-            right = bins[np.arange(len(group)), f[group]] > b[group]
-            group = 2 * (np.cumsum(split) - 1)[group] + right
-            nodes = np.stack([2 * nodes[split] + 1, 2 * nodes[split] + 2], axis=1).ravel()
         return pa.concat_tables(parts)
 
-    return small.select("tree", "node", "label", "bins", "w").groupBy("tree", "node").applyInArrow(run, _FOUND)
+    return small.select("tree", "node", "label", "bins", "w", "copies").groupBy("tree", "node").applyInArrow(run, _FOUND)
+
+
+_BLOCK = "part int, labels binary, bins binary, kind string, copies binary, rows binary"
+
+
+def bag_blocks(cells: DataFrame, trees: int, seed: int, width: int, merged: bool) -> DataFrame:
+    """Labels and bins of the rows with their copies in each tree's bag (those of ``bags``), in blocks for each ``TASK_TREES`` trees.
+
+    With ``merged`` equal rows next to each other are one cell, with its copies and the rows that were drawn.
+    """
+    text = F.coalesce(F.concat(F.lit("|"), F.col("key").cast("string")), F.lit("")).cast("binary")
+    cuts = [np.uint32(c) for p in POISSON if (c := math.ceil(p * 2**32)) < 2**32]
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            label, bins = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(n, width).astype(np.uint8)
+            digests = KeyedDigests(batch.column(2).to_pylist())
+            copies, rows = np.zeros((4 * -(-trees // 4), n), np.uint8), None
+            for t in range(0, trees, 4):  # a digest holds four draws
+                u = digests.of(f"bag{seed}-{t // 4}".encode())
+                for cut in cuts:
+                    copies[t : t + 4] += u >= cut
+            copies = copies[:trees]
+            if merged:
+                new = np.flatnonzero(np.append(True, (label[1:] != label[:-1]) | (bins[1:] != bins[:-1]).any(1)))
+                rows = np.add.reduceat(copies != 0, new, axis=1, dtype=np.uint32)
+                copies = np.add.reduceat(copies, new, axis=1, dtype=np.uint32)
+                label, bins = label[new], bins[new]
+                if copies.max() < 256:
+                    copies, rows = copies.astype(np.uint8), rows.astype(np.uint8)
+            parts = range(0, trees, TASK_TREES)
+            held = lambda v: [b"" if v is None else v[a : a + TASK_TREES].tobytes() for a in parts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(parts)), pa.int32()), *[pa.array([v.tobytes()] * len(parts), pa.binary()) for v in (label.astype(np.int32), bins)],
+                 pa.array([copies.dtype.str] * len(parts)), *[pa.array(held(v), pa.binary()) for v in (copies, rows)]],
+                ["part", "labels", "bins", "kind", "copies", "rows"])
+
+    return cells.select("label", "bins", text.alias("text")).mapInArrow(run, _BLOCK)
+
+
+def grow_whole(blocks: DataFrame, sizes: np.ndarray, chosen: int, width: int, classes: int, g: Growth) -> DataFrame:
+    """Whole trees (``trees.PACKED``), ``TASK_TREES`` to a task."""
+    parts = -(-g.trees // TASK_TREES)
+
+    def run(batches):
+        held: dict[int, list] = {}
+        for batch in batches:
+            for part, labels, bins, kind, copies, rows in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+                drawn = [None if not v else np.frombuffer(v, kind).reshape(-1, len(labels) // 4) for v in (copies, rows)]
+                held.setdefault(part, []).append((np.frombuffer(labels, np.int32), np.frombuffer(bins, np.uint8).reshape(-1, width), *drawn))
+        for part in sorted(held):
+            blocks = held.pop(part)
+            label, bins = (np.concatenate([b[k] for b in blocks]) for k in (0, 1))
+            for i in range(min(TASK_TREES, g.trees - part * TASK_TREES)):
+                copies = np.concatenate([b[2][i] for b in blocks])
+                on = np.flatnonzero(copies)
+                if not len(on):
+                    continue
+                rows = None if blocks[0][3] is None else np.concatenate([b[3][i] for b in blocks])[on].astype(np.float64)
+                own, copies = label[on].astype(np.int64), copies[on]
+                scale = np.ones(classes)
+                if g.balanced:
+                    n = np.bincount(own, copies, classes)
+                    scale[n > 0] = n.sum() / ((n > 0).sum() * n[n > 0])
+                tree = part * TASK_TREES + i
+                levels = grow_tree(tree, 0, own, bins[on], copies, rows, scale, sizes, chosen, g)
+                yield pack_tree(tree, *(np.concatenate([v[k] for v in levels]) for k in range(1, 6)), scale, width)
+
+    return blocks.repartitionById(parts, F.col("part")).mapInArrow(run, PACKED)
+
+
+def _side_by_side(base: DataFrame, count: int, sizes: DataFrame) -> DataFrame:
+    """Rows of equal label and bins next to each other in a task, but those of a cell that is too large for one."""
+    parts = shuffle_partitions(base)
+    most = -(-count // parts)
+    hot = sizes.where(F.col("n") > most).withColumn("_of", F.ceil(F.col("n") / F.lit(most)))  # less than ``parts`` cells
+    if not hot.isEmpty():
+        base = base.join(F.broadcast(hot.drop("n")), ["label", "bins"], "left")
+        dealt = F.coalesce(F.pmod(F.xxhash64("key"), F.col("_of")), F.lit(0))
+    else:
+        dealt = F.lit(0)
+    return base.repartition(parts, "label", "bins", dealt).sortWithinPartitions("label", "bins").select("key", "label", "bins")
 
 
 def _kept(df: DataFrame, paths: list[str], name: str, by: str | None = None) -> DataFrame:
@@ -229,28 +377,44 @@ def _kept(df: DataFrame, paths: list[str], name: str, by: str | None = None) ->
 
 
 def grow_forest(rows: DataFrame, key: str, label: str, features: str, width: int, classes: int, g: Growth) -> DataFrame:
-    """The node table of a forest over ``rows`` (key, label index, features array<double>).
+    """The node table of a forest over ``rows`` (key, label index, features array<double>)."""
+    packed, cuts = grow_trees(rows, key, label, features, width, classes, g)
+    return node_table(packed, cuts, classes)
+
+
+def grow_trees(rows: DataFrame, key: str, label: str, features: str, width: int, classes: int, g: Growth) -> tuple[DataFrame, list[list[float]]]:
+    """The packed trees of a forest over ``rows`` (key, label index, features array<double>), and the cuts of each feature.
 
     Level tables are deleted as soon as they have been counted.
     """
     spark = rows.sparkSession
     cuts = feature_cuts(rows, key, features, width, g.seed)
+    sizes = np.array([len(own) + 1 for own in cuts])
     base = _kept(rows.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), _binned(features, cuts).alias("bins")), paths := [], "rows")
-    state = _SMALL if base.count() <= FINISH_ROWS else _LARGE
+    count = cells = base.count()
+    if count > FEW_ROWS:
+        equal = _kept(base.groupBy("label", "bins").agg(F.count(F.lit(1)).alias("n")), paths, "cells")
+        cells = equal.count()
+    merged = count > FEW_ROWS and 2 * cells <= count
     chosen = g.features or max(1, int(math.sqrt(width)))
-    found: list[DataFrame] = []
-    for first in range(0, g.trees, GROUP_TREES):
-        bag = bags(base, "key", first, min(first + GROUP_TREES, g.trees), g.seed)
-        weights = settle_bounded(bag_weights(bag, "label", g.balanced).select("tree", "label", "weight"))
-        weighted = bag.join(weights, ["tree", "label"]).select(
-            "tree", F.lit(0).cast("long").alias("node"), "label", "bins", (F.col("copies") * F.col("weight")).alias("w"), F.lit(state).alias("state"))
-        found += _grow_group(weighted, chosen, width, classes, g)
+    if (cells if merged else count) <= 2 * FINISH_ROWS:
+        blocks = bag_blocks(_side_by_side(base, count, equal) if merged else base, g.trees, g.seed, width, merged)
+        packed = _kept(grow_whole(blocks, sizes, chosen, width, classes, g), [], "trees")
+    else:
+        found: list[DataFrame] = []
+        for first in range(0, g.trees, GROUP_TREES):
+            bag = bags(base, "key", first, min(first + GROUP_TREES, g.trees), g.seed)
+            weights = settle_bounded(bag_weights(bag, "label", g.balanced).select("tree", "label", "weight"))
+            weighted = bag.join(weights, ["tree", "label"]).select(
+                "tree", F.lit(0).cast("long").alias("node"), "label", "bins", (F.col("copies") * F.col("weight")).alias("w"), "copies", F.lit(_LARGE).alias("state"))
+            found += _grow_group(weighted, chosen, width, classes, g, sizes)
+        packed = _kept(packed_tables(reduce(DataFrame.unionByName, found), width), [], "trees")
     for path in paths:
         delete_path(spark, path)
-    return _numbered(reduce(DataFrame.unionByName, found), cuts)
+    return packed, cuts
 
 
-def _grow_group(start: DataFrame, chosen: int, width: int, classes: int, g: Growth) -> list[DataFrame]:
+def _grow_group(start: DataFrame, chosen: int, width: int, classes: int, g: Growth, sizes: np.ndarray) -> list[DataFrame]:
     spark = start.sparkSession
     levels: list[str] = []
     splitting: list[str] = []
@@ -261,7 +425,7 @@ def _grow_group(start: DataFrame, chosen: int, width: int, classes: int, g: Grow
     for depth in range(g.depth + 1):
         states = {r["state"] for r in active.select("state").distinct().collect()}
         if _SMALL in states:
-            found.append(_kept(finish(active.where(F.col("state") == _SMALL), chosen, width, classes, g), [], "nodes"))
+            found.append(_kept(finish(active.where(F.col("state") == _SMALL), chosen, width, classes, g, sizes), [], "nodes"))
         if states <= {_SMALL}:
             break
         # What the other nodes of this level hold, and how those that grow are split.
@@ -276,17 +440,3 @@ def _grow_group(start: DataFrame, chosen: int, width: int, classes: int, g: Grow
     for path in levels + splitting:
         delete_path(spark, path)
     return found
-
-
-def _numbered(found: DataFrame, cuts: list[list[float]]) -> DataFrame:
-    """The node table with places 0, 1, ... within each tree in the order of levels."""
-    place = F.row_number().over(Window.partitionBy("tree").orderBy("node")) - 1
-    nodes = found.withColumn("place", place)
-    child = lambda side: nodes.select("tree", F.col("node").alias(f"{side}_node"), F.col("place").alias(side))
-    inner = nodes.where(F.col("f").isNotNull()).withColumns({"left_node": 2 * F.col("node") + 1, "right_node": 2 * F.col("node") + 2})
-    inner = inner.join(child("left"), ["tree", "left_node"]).join(child("right"), ["tree", "right_node"])
-    inner = inner.select("tree", F.col("place").alias("node"), F.col("f").alias("feature"), F.expr(f"{_constant(cuts)}[f][b]").alias("threshold"),
-                         "left", "right", "gain", "weights", "rows")
-    nothing = {"feature": F.lit(-1), "threshold": F.lit(None).cast("double"), "left": F.lit(-1), "right": F.lit(-1), "gain": F.lit(-1.0)}
-    ends = nodes.where(F.col("f").isNull()).withColumns(nothing).select("tree", F.col("place").alias("node"), *nothing, "weights", "rows")
-    return inner.unionByName(ends).withColumn("categories", F.lit(None).cast("array<int>"))

@@ -118,3 +118,49 @@ def test_level_splits_of_many_nodes_match_each_alone():
         assert (f[node], b[node] if f[node] >= 0 else 0) == best[1:] and (f[node] < 0 or gain[node] == pytest.approx(best[0]))
     drawn = grow._drawn_features(np.arange(4000), 1, 3, 12, 7)
     assert np.allclose(np.bincount(drawn.ravel(), minlength=12) / 4000, 0.25, atol=0.05)
+
+
+@pytest.mark.parametrize("balanced", [False, True])
+def test_table_forest_scores_as_the_native_one(spark, points, monkeypatch, balanced):
+    """Trees that stay in a table, scored by groups of trees and blocks of cells, against the native model of the same nodes."""
+    monkeypatch.setattr(trees, "SCORE_ROWS", 100)
+    g = grow.Growth(5, 6, balanced=balanced)
+    packed, cuts = grow.grow_trees(points, "key", "label", "x", 3, 3, g)
+    held = trees.TableForest(packed, cuts, 3)
+    model, vectors = native(spark, trees.node_table(packed, cuts, 3), points, 5)
+    assert (held.getNumTrees, held.totalNumNodes, held.numFeatures) == (5, model.totalNumNodes, 3)
+    assert held.featureImportances.toArray().tolist() == pytest.approx(model.featureImportances.toArray().tolist())
+    # Rows twice and values that training has not seen.
+    odd = spark.createDataFrame([(-1, Vectors.dense([-9.0, 9.0, float("inf")])), (-2, Vectors.sparse(3, [1], [0.4]))], ["key", "features"])
+    rows = vectors.select("key", "features").union(vectors.where("key < 50").select("key", "features")).union(odd)
+    columns = ["key", "features", "rawPrediction", "probability", "prediction"]
+    own, want = (sorted(([tuple(v.toArray()) if hasattr(v, "toArray") else v for v in r] for r in m.transform(rows).select(*columns).collect())) for m in (held, model))
+    assert len(own) == 652 and len({r[4] for r in own}) == 3
+    for a, b in zip(own, want, strict=True):
+        assert a[:2] == b[:2] and a[4] == b[4] and np.allclose(a[2], b[2], atol=1e-12) and np.allclose(a[3], b[3], atol=1e-12)
+
+
+def test_equal_rows_are_one_cell(spark, points, monkeypatch):
+    """Rows of equal label and bins, put together or not, give the same trees; one of them is most of the rows."""
+    many = points.unionByName(points.withColumn("key", F.col("key") + 600)).unionByName(
+        points.where("key = 3").select(F.explode(F.sequence(F.lit(2000), F.lit(2900))).alias("key"), "label", "x"))
+    g = grow.Growth(14, 4, min_leaf=3, min_split=8, balanced=True, features=2)
+    alone = table(grow.grow_forest(many, "key", "label", "x", 3, 3, g))
+    monkeypatch.setattr(grow, "FEW_ROWS", 0)
+    blocks = []
+    monkeypatch.setattr(grow, "grow_whole", lambda b, *rest, whole=grow.grow_whole: blocks.extend(b.where("part = 0").collect()) or whole(b, *rest))
+    together = table(grow.grow_forest(many, "key", "label", "x", 3, 3, g))
+    assert together == alone and len({t[0] for t in alone}) == 14
+    cells = [len(r["labels"]) // 4 for r in blocks]
+    assert sum(cells) < 1200 and sum(map(len, (r["rows"] for r in blocks))) == sum(map(len, (r["copies"] for r in blocks)))
+
+
+def test_copies_of_blocks_are_those_of_the_bags(spark, points):
+    cells = points.select("key", F.col("label").cast("int").alias("label"), F.array(*[F.lit(i).cast("tinyint") for i in range(3)]).alias("bins")).where("key < 40").coalesce(1).orderBy("key")
+    want = {(r["tree"], r["key"]): r["copies"] for r in grow.bags(points.where("key < 40"), "key", 0, 13, 42).collect()}
+    blocks = grow.bag_blocks(cells, 13, 42, 3, False).collect()
+    own = {}
+    for r in blocks:
+        for i, copies in enumerate(np.frombuffer(r["copies"], r["kind"]).reshape(-1, 40)):
+            own |= {(r["part"] * grow.TASK_TREES + i, key): int(c) for key, c in enumerate(copies) if c}
+    assert own == want and len(blocks) == 2

@@ -14,6 +14,7 @@ from placetime.functions import (
     time_code,
     day_code,
 )
+from placetime.functions import hashing
 from placetime.operators import clean
 from placetime.roles import ColumnRoles
 
@@ -100,3 +101,13 @@ def test_enrich_without_day_column_is_filter_stable(spark):
     part = {r["key"]: r["day"] for r in clean.enrich(df.where(F.col("key") < 50), roles).collect()}
     assert all(full[k] == v for k, v in part.items())
     assert set(full.values()) <= {"Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"}
+
+
+def test_keyed_digests_are_those_of_the_columns(spark):
+    keys = [None, *map(str, range(300)), "", "é" * 20, *("k" * n for n in range(40, 130, 3))]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, key string")
+    for seed in ("bag42-7", "bag42-17"):
+        draws = [F.expr(hashing.keyed_uniform_sql(seed, "key", word)) for word in range(4)]
+        want = [list(r) for r in rows.orderBy("i").select(*draws).collect()]
+        own = hashing.KeyedDigests([b"" if k is None else b"|" + k.encode() for k in keys]).of(seed.encode()).T / 2**32
+        assert own.tolist() == want
