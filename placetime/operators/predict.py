@@ -26,7 +26,7 @@ from ..roles import DAY_NAMES, TIME_BANDS
 from .aggregates import top_category
 from .joins import shuffle_partitions
 from .spatial import nearest_center_expr
-from .trees import flat_forest, forest_nodes, mean_probability
+from .trees import TableForest, flat_forest, forest_nodes, mean_probability, shares
 
 # Tasks get this module's functions with the job, so workers need not find the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -81,7 +81,9 @@ def score_scenarios(model, classes: Sequence[str], points: DataFrame, key: str =
     an unknown day (an all-zero day block); each day variant sets its day's
     one-hot slot in that vector.  A task walks the forest's trees for a block of
     points and their variants at once and averages the variants there
-    (``trees.mean_probability``); only a point's asked ranks leave the block.
+    (``trees.mean_probability``); only a point's asked ranks leave the block.  With
+    a ``TableForest`` the variants of each different cell are scored once, by a job,
+    and their average is joined to the points of the cell.
 
     Returns (best, ranked): best = (key, prediction, confidence), the first
     class in order on ties; ranked = (key, class, probability, rank), with
@@ -100,15 +102,17 @@ def score_scenarios(model, classes: Sequence[str], points: DataFrame, key: str =
     x = x.select(key, vector_to_array(fcol).alias("_base"))
     # A day unseen in training stays all-zero, as one-hot "ignore" does.
     slots = [names.index(f"cat__{day}_{d}") if f"cat__{day}_{d}" in names else None for d in DAY_NAMES]
-    shares = [w for _, w in _day_weights(weights)]
-    width = forest.numFeatures
-    flat = flat_forest(forest_nodes(points.sparkSession, forest), slots)
+    of_days = [w for _, w in _day_weights(weights)]
+    if isinstance(forest, TableForest):
+        x, flat, width = _with_means(forest, x, key, slots, of_days), None, len(classes)
+    else:
+        flat, width = flat_forest(forest_nodes(points.sparkSession, forest), slots), forest.numFeatures
 
     def means(batches):
         for batch in batches:
             if batch.num_rows:
-                base = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
-                yield batch.column(0), mean_probability(flat, base, slots, shares)
+                held = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+                yield batch.column(0), held if flat is None else mean_probability(flat, held, slots, of_days)
 
     def first(batches):
         for keys, mean in means(batches):
@@ -134,6 +138,20 @@ def score_scenarios(model, classes: Sequence[str], points: DataFrame, key: str =
     return best, ranked
 
 
+def _with_means(forest: TableForest, x: DataFrame, key: str, slots: Sequence[int | None], of_days: Sequence[float]) -> DataFrame:
+    """(key, class probabilities of the point averaged over its day variants), for points (key, ``_base``)."""
+    x = x.select(key, forest.cell("_base").alias("_cell"))
+    days = [F.struct(F.lit(d).alias("d"), F.lit(w).alias("w"), (F.col("_cell") if slot is None else forest.with_slot(F.col("_cell"), slot, 1.0)).alias("cell"))
+            for d, (slot, w) in enumerate(zip(slots, of_days, strict=True))]
+    variants = x.select("_cell").distinct().select("_cell", F.inline(F.array(*days)))
+    each = variants.join(forest.votes(variants.select("cell")), "cell").withColumn("p", shares("votes"))
+    held = each.groupBy("_cell").agg(F.array_sort(F.collect_list(F.struct("d", "w", "p"))).alias("held"))
+    none = F.array_repeat(F.lit(0.0), forest.numClasses)
+    added = F.aggregate("held", none, lambda a, v: F.zip_with(a, v["p"], lambda s, p: s + p * v["w"]))
+    total = float(np.cumsum(of_days)[-1])
+    return x.join(held.select("_cell", F.transform(added, lambda s: s / F.lit(total)).alias("_mean")), "_cell").select(key, "_mean")
+
+
 def top_probabilities(ranked: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most probable classes per point (ranks are per row already)."""
     return ranked.where(F.col("rank") <= F.lit(int(n)))

@@ -18,6 +18,7 @@ from ..functions import features as fx
 from ..functions.hashing import keyed_int, keyed_range, keyed_uniform
 from ..operators import aggregates as agg
 from ..operators import clean, correlation, filters, grow, metrics, ml, pivot, predict, replicate, sort, spatial, split, trees
+from ..operators.joins import shuffle_partitions
 from ..roles import (
     DAY_NAMES,
     LAT_LOW,
@@ -860,7 +861,9 @@ def _day_averages(res, pts: DataFrame) -> DataFrame:
 def _scenarios_agree(spark, d, res) -> DataFrame:
     pts = predict.scenario_features(_inc(spark, d).select("key", "hour", "lat", "lon"), centers=CENTERS)
     best, ranked = predict.score_scenarios(res.model, res.classes, pts, "key")
-    both = ranked.join(_day_averages(res, pts), ["key", "class"], "full").join(best, "key")
+    # Seven rows of a point are preprocessed and scored: dealt evenly, like the points that score_scenarios takes.
+    dealt = pts.repartition(shuffle_partitions(pts))
+    both = ranked.join(_day_averages(res, dealt), ["key", "class"], "full").join(best, "key")
     near = F.coalesce(F.abs(F.col("probability") - F.col("mean")) < 1e-9, F.lit(False))
     return both.groupBy("key").agg(F.bool_and(near).alias("same"), F.count(F.lit(1)).alias("classes"),
                                    (F.max("confidence") == F.max("probability")).alias("best_is_greatest"),

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
-from placetime.operators import grow, ml, trees
+from placetime.operators import grow, ml, predict, trees
 
 
 @pytest.fixture(scope="module")
@@ -164,3 +164,31 @@ def test_copies_of_blocks_are_those_of_the_bags(spark, points):
         for i, copies in enumerate(np.frombuffer(r["copies"], r["kind"]).reshape(-1, 40)):
             own |= {(r["part"] * grow.TASK_TREES + i, key): int(c) for key, c in enumerate(copies) if c}
     assert own == want and len(blocks) == 2
+
+
+def test_scenarios_of_a_table_forest_are_those_of_the_native_one(spark, monkeypatch):
+    """Day averages of a grown preset: each different cell and its day variants are scored once, here against the walked native trees."""
+    rng = np.random.default_rng(8)
+    days = ["Monday", "Tuesday", "Sunday"]  # four days are unseen
+    rows = [(i, "abc"[int(x > 0.4) + int(h > 15 and d == 2)], int(h), float(x), float(y), days[d]) for i, (h, x, y, d) in enumerate(
+        zip(rng.integers(0, 24, 400), rng.random(400), rng.random(400), rng.integers(0, 3, 400), strict=True))]
+    df = spark.createDataFrame(rows, "key long, category string, hour int, lat double, lon double, day string")
+    preset = ml.ForestPreset(7, 6, min_instances=2, balanced=True, min_split=4, grown=True)
+    res = ml.train_classifier(df, "category", "key", preset, numeric=("hour", "lat", "lon"), categorical=("day",))
+    forest = res.model.stages[-1]
+    assert isinstance(forest, trees.TableForest) and res.ready and res.accuracy > 0.7
+    template = ml.forest(ml.ForestPreset(7, 0)).fit(ml.PipelineModel(res.model.stages[:-1]).transform(df).select("label", "features"))
+    native_model = ml.PipelineModel([*res.model.stages[:-1], trees.as_model(trees.node_table(forest.packed, forest.cuts, 3), template)])
+    points = df.select("key", "hour", "lat", "lon").where("key < 60")
+    points = points.unionByName(points.where("key < 5"))
+    weights = {"Monday": 2.0, "Sunday": 1.0, "Friday": 0.5}
+    for top in (None, 2):
+        own, want = (predict.score_scenarios(m, res.classes, points, "key", weights=weights, top=top) for m in (res.model, native_model))
+        for a, b in zip(own, want, strict=True):
+            a, b = (sorted(map(tuple, t.collect()), key=lambda r: (r[0], r[-1] if len(r) == 4 else 0, r[1])) for t in (a, b))
+            assert len(a) == len(b) == 65 * (1 if len(a[0]) == 3 else top or 3)
+            for x, y in zip(a, b, strict=True):
+                assert [v for v in x if not isinstance(v, float)] == [v for v in y if not isinstance(v, float)]
+                assert [v for v in x if isinstance(v, float)] == pytest.approx([v for v in y if isinstance(v, float)], abs=1e-12)
+    own, want = (predict.score_scenarios(m, res.classes, points, "key")[1].groupBy("class").agg(F.sum("probability")).collect() for m in (res.model, native_model))
+    assert dict(own) == pytest.approx(dict(want))
